@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 
 from quayside.functions.money import REVENUE_TYPE, coerce_revenue_lenient, is_not_finite
 from quayside.functions.payload import (
-    DOCUMENT,
+    IS_OBJECT,
     drop_fields,
-    is_object,
     source_field,
-    with_document,
     with_payload_fields,
 )
 from quayside.functions.text import clean_string, normalise_state, strip
@@ -86,8 +84,7 @@ def _extraction_error() -> Column:
     """
     zip_code, revenue = source_field("zip_code"), source_field("revenue")
     return (
-        F.when(F.col(DOCUMENT).isNull(), "response is not a single JSON value")
-        .when(~is_object(F.col(DOCUMENT)), "response is not a JSON object")
+        F.when(~F.col(IS_OBJECT), "response is not a single JSON object")
         .when(
             ~zip_code.is_missing & ~zip_code.is_string, "zip_code: Input should be a valid string"
         )
@@ -101,12 +98,10 @@ def _extraction_error() -> Column:
 
 def with_extraction(responses: DataFrame, raw: str = "raw") -> DataFrame:
     """Add ``attempt_error`` and ``extracted`` (typed struct, null when unusable)."""
-    split = with_payload_fields(
-        with_document(responses, strip_code_fence(F.col(raw))), EXTRACTED_FIELDS
-    )
+    split = with_payload_fields(responses, strip_code_fence(F.col(raw)), EXTRACTED_FIELDS)
     checked = split.withColumn("attempt_error", _extraction_error())
     typed = F.when(F.col("attempt_error").isNull(), _typed_extraction())
-    return drop_fields(checked.withColumn("extracted", typed), EXTRACTED_FIELDS).drop(DOCUMENT)
+    return drop_fields(checked.withColumn("extracted", typed), EXTRACTED_FIELDS)
 
 
 def missing_fields(extracted: Column) -> Column:

@@ -1,8 +1,8 @@
-"""JSON payloads: strict parsing, typed field access and content hashes.
+"""JSON payloads: strict typed access to fields and content hashes.
 
-Parsed values are put into columns of their own before they are used. An expression that occurs
-several times in one projection may be evaluated several times; a column that a later projection
-uses more than once is not folded back into it by the optimizer.
+Spark's JSON readers stop after the first value and accept single quotes; here a text counts only
+when it is exactly one JSON value. To see that, the text is read as first element of an array
+whose second element is a marker made from the text itself.
 """
 
 from __future__ import annotations
@@ -20,28 +20,13 @@ DELIVERY_FIELDS = ("received_at", "correlation_id", "retry_count", "source_ip")
 # Fields every pipeline payload must carry, in message order.
 PIPELINE_REQUIRED = ("company_id", "company_name", "revenue", "industry", "state")
 
-DOCUMENT = "_document"
+_STRICT = {"allowSingleQuotes": "false"}
+_END = "_end"
+IS_OBJECT = "is_object"
 
 
-def with_document(df: DataFrame, text: Column, name: str = DOCUMENT) -> DataFrame:
-    """Add the VARIANT of a text that is exactly one JSON value, null for any other text.
-
-    ``try_parse_json`` stops after the first value, so the text is put in an array in front of
-    a marker that only shows up as second element when the text was one whole value.
-    """
-    marker = F.hex(F.xxhash64("_text"))
-    wrapped = F.try_parse_json(F.concat(F.lit("["), F.col("_text"), F.lit(',"'), marker, F.lit('"]')))
-    whole = F.try_variant_get("_wrapped", "$[1]", "string") == marker
-    return (
-        df.withColumn("_text", text)
-        .withColumn("_wrapped", wrapped)
-        .withColumn(name, F.when(whole, F.try_variant_get("_wrapped", "$[0]", "variant")))
-        .drop("_text", "_wrapped")
-    )
-
-
-def is_object(document: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(document).startswith("OBJECT"), F.lit(False))
+def _marker(text: Column) -> Column:
+    return F.hex(F.xxhash64(text))
 
 
 def with_content_key(
@@ -50,18 +35,24 @@ def with_content_key(
     """Add the hex SHA-256 of the payload without the excluded top-level fields.
 
     Field order does not matter: VARIANT objects keep their keys sorted at every level, so
-    writing one back is canonical. Text that is no JSON object is hashed as it is.
+    writing one out is canonical. Text that is no JSON object is hashed as it is.
     """
     exclude = tuple(exclude)
-    parsed = with_document(df, F.col(payload))
+    text = F.col(payload)
+    array = F.concat(F.lit("["), text, F.lit(',"'), _marker(text), F.lit('"]'))
+    read = df.withColumn("_read", F.from_json(array, "array<variant>", _STRICT))
+    whole = (F.size("_read") == 2) & (
+        F.try_variant_get(F.get("_read", F.lit(1)), "$", "string") == _marker(text)
+    )
+    value = F.get("_read", F.lit(0))
     if exclude:
-        fields = F.from_json(payload, "map<string,variant>")
-        kept = F.map_filter(fields, lambda name, _: ~name.isin(*exclude))
-        content = F.to_json(F.try_parse_json(F.to_json(kept)))
+        fields = F.try_variant_get(value, "$", "map<string,variant>")
+        content = F.to_json(F.map_filter(fields, lambda name, _: ~name.isin(*exclude)))
     else:
-        content = F.to_json(F.col(DOCUMENT))
-    canonical = F.when(is_object(F.col(DOCUMENT)), content)
-    return parsed.withColumn(key, F.sha2(F.coalesce(canonical, F.col(payload)), 256)).drop(DOCUMENT)
+        content = F.try_variant_get(value, "$", "string")
+    canonical = F.when(whole & F.schema_of_variant(value).startswith("OBJECT"), content)
+    hashed = F.sha2(F.coalesce(canonical, text), 256)
+    return read.withColumn(key, hashed).drop("_read")
 
 
 @dataclass(frozen=True)
@@ -107,24 +98,32 @@ def source_field(name: str) -> Field:
     return Field(F.col(_text_name(name)), F.col(_shape_name(name)))
 
 
-def field_columns(name: str) -> tuple[str, str]:
-    return _text_name(name), _shape_name(name)
-
-
 def drop_fields(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.drop(*map(_text_name, names), *map(_shape_name, names))
+    return df.drop(IS_OBJECT, *map(_text_name, names), *map(_shape_name, names))
 
 
-def with_payload_fields(df: DataFrame, names: Sequence[str], document: str = DOCUMENT) -> DataFrame:
-    """Split the named fields of a parsed document into text and shape columns."""
-    values = {
-        f"_{name}_value": F.try_variant_get(document, f"$.{name}", "variant") for name in names
-    }
-    parts = {}
+def with_payload_fields(df: DataFrame, text: Column, names: Sequence[str]) -> DataFrame:
+    """Split the named fields of a JSON object text into text and shape columns, and add
+    ``is_object``: whether the text is one JSON object at all.
+
+    The columns come out of a one-element generator. A later filter on them stays above it;
+    pushed below, it would parse the text once for every mention of a field.
+    """
+    fields = ", ".join(f"{name}: variant" for name in names)
+    schema = f"array<struct<{fields}, {_END}: string>>"
+    source = F.col("_source")
+    array = F.concat(
+        F.lit("["), source, F.lit(f',{{"{_END}":"'), _marker(source), F.lit('"}]')
+    )
+    read = df.withColumn("_source", text).withColumn("_read", F.from_json(array, schema, _STRICT))
+    whole = (F.size("_read") == 2) & (F.get("_read", F.lit(1))[_END] == _marker(source))
+    first = read.withColumn("_object", F.when(whole, F.get("_read", F.lit(0))))
+    parts = [F.col("_object").isNotNull().alias(IS_OBJECT)]
     for name in names:
-        parts[_text_name(name)] = F.try_variant_get(f"_{name}_value", "$", "string")
-        parts[_shape_name(name)] = F.schema_of_variant(f"_{name}_value")
-    return df.withColumns(values).withColumns(parts).drop(*values)
+        value = F.col("_object")[name]
+        parts.append(F.try_variant_get(value, "$", "string").alias(_text_name(name)))
+        parts.append(F.schema_of_variant(value).alias(_shape_name(name)))
+    return first.select(*df.columns, F.inline(F.array(F.struct(*parts))))
 
 
 def _column_shape(dtype: T.DataType) -> str:

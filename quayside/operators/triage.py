@@ -17,7 +17,6 @@ from quayside.functions.payload import (
     Field,
     source_field,
     with_column_fields,
-    with_document,
     with_payload_fields,
 )
 from quayside.functions.text import normalise_state, quoted, strip, title_case
@@ -102,7 +101,7 @@ def validate_submissions(
     if payload is None:
         split = with_column_fields(raw, SUBMISSION_FIELDS)
     else:
-        split = with_payload_fields(with_document(raw, F.col(payload)), SUBMISSION_FIELDS)
+        split = with_payload_fields(raw, F.col(payload), SUBMISSION_FIELDS)
     split = split.withColumn("_revenue", revenue_of(source_field("revenue")))
     errors = F.concat_ws(
         _SEPARATOR,

@@ -172,9 +172,9 @@ def _triage_firsts(firsts: DataFrame) -> DataFrame:
 
 
 def _stored_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Results of an earlier run, over the deliveries received before 1993."""
+    """Results of an earlier run, over the deliveries received before 1996."""
     earlier = feed(spark, sf_dir, "deliveries").filter(
-        F.col("received_at") < F.lit("1993-01-01").cast("timestamp")
+        F.col("received_at") < F.lit("1996-01-01").cast("timestamp")
     )
     keys = first_deliveries(with_key(earlier)).select(KEY)
     return keys.select(KEY, F.lit("stored").alias("status"), F.lit("earlier run").alias("reason"))
@@ -333,7 +333,7 @@ def breaker_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _earlier_contexts(spark: SparkSession, sf_dir: str, risk: DataFrame) -> DataFrame:
     """Ledger of an earlier run without rules or known companies."""
     earlier = feed(spark, sf_dir, "deliveries").filter(
-        F.col("received_at") < F.lit("1993-01-01").cast("timestamp")
+        F.col("received_at") < F.lit("1996-01-01").cast("timestamp")
     )
     return run_pipeline(earlier, rules=[], risk=risk).fresh
 
@@ -376,8 +376,8 @@ def intake_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def intake_circuit_open(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deliveries of 1995 met an open circuit."""
-    year = F.year("received_at") == 1995
+    """Deliveries of 1997 met an open circuit."""
+    year = F.year("received_at") == 1997
     deliveries = feed(spark, sf_dir, "deliveries").withColumn("circuit_open", year)
     known = feed(spark, sf_dir, "known_companies")
     risk = feed(spark, sf_dir, "risk")

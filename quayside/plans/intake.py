@@ -16,13 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions.payload import (
-    DOCUMENT,
+    IS_OBJECT,
     PIPELINE_REQUIRED,
-    field_columns,
-    is_object,
     missing_required,
     source_field,
-    with_document,
     with_payload_fields,
 )
 from quayside.functions.text import quoted
@@ -62,12 +59,8 @@ def add_text(column: str, text: Column, when: Column) -> Column:
 
 def new_contexts(firsts: DataFrame, enrichment_type: T.StructType) -> DataFrame:
     """Wrap first deliveries: status pending, nothing known yet, payload fields split out."""
-    parsed = with_document(firsts, F.col("payload"))
-    is_json = is_object(F.col(DOCUMENT)).alias("is_object")
-    return with_payload_fields(parsed, SUBMISSION_FIELDS).select(
-        *firsts.columns,
-        *[c for name in SUBMISSION_FIELDS for c in field_columns(name)],
-        is_json,
+    return with_payload_fields(firsts, F.col("payload"), SUBMISSION_FIELDS).select(
+        "*",
         F.lit(PENDING).alias("status"),
         F.lit(None).cast("string").alias("company_id"),
         F.lit(None).cast("string").alias("triage_reason"),
@@ -81,7 +74,7 @@ def new_contexts(firsts: DataFrame, enrichment_type: T.StructType) -> DataFrame:
 def validate(contexts: DataFrame) -> DataFrame:
     """Presence of the required fields; rows lacking one end as errors."""
     message = F.when(
-        F.col("is_object"),
+        F.col(IS_OBJECT),
         F.concat(F.lit("Missing required fields: ["), F.col("_missing"), F.lit("]")),
     ).otherwise(F.lit("Payload is not a JSON object"))
     failed = running() & (F.col("_missing") != "")

@@ -89,7 +89,7 @@ firsts as (
 
 _STORED = """
 stored as (
-  select distinct idempotency_key from keyed where received_at < timestamp '1993-01-01'
+  select distinct idempotency_key from keyed where received_at < timestamp '1996-01-01'
 )"""
 
 _BODIES = r"""
@@ -102,8 +102,8 @@ bodies as (
 ),
 attempts as (
   select *,
-    case when doc is null then 'response is not a single JSON value'
-         when json_type(doc) <> 'OBJECT' then 'response is not a JSON object'
+    case when doc is null or json_type(doc) <> 'OBJECT'
+           then 'response is not a single JSON object'
          when coalesce(json_type(doc, '$.zip_code'), 'NULL') not in ('NULL', 'VARCHAR')
            then 'zip_code: Input should be a valid string' end as problem,
     nullif(trim(json_extract_string(doc, '$.company_name')), '') as company_name,
@@ -256,7 +256,7 @@ select seq, idempotency_key, was_replay, status, company_id, triage_reason,
   case when alive and refused then 'circuit_open' end as enrichment_reason,
   case when alive and not refused then risk_score end as risk_score,
   case when alive and not refused then region end as region,
-  case when not alive then '' else array_to_string(list_filter([
+  case when not alive then DEAD else array_to_string(list_filter([
     AUDIT
     case when not earlier and fired = 'manual_review'
       then 'Manual review required: ' || fired_reason end,
@@ -274,12 +274,14 @@ def _contexts(
     earlier: str = "false",
     refused: str = "false",
     audit: str = "",
+    dead: str = "''",
     known: bool = True,
 ) -> str:
     sql = (
         _CONTEXTS.replace("REPLAY", replay)
         .replace("EARLIER", earlier)
         .replace("OPEN as refused", f"({refused}) as refused")
+        .replace("DEAD", dead)
         .replace("AUDIT", audit)
     )
     if not known:
@@ -332,6 +334,7 @@ select dependency, seq,
   case when failure_run >= 2 then 'open' else 'closed' end as state_after
 from states"""
     whole_chain = _contexts()
+    audited = "'audited ''' || raw_id || ''''"
     triaged = (_CHECKED, _TRIAGED)
     content = (_CHECKED, _CONTENT_KEYED, _FIRSTS, _STORED)
     return {
@@ -476,8 +479,10 @@ select dependency, seq, failure_run, failure_run >= 2 as threshold_reached from
             "select status, was_replay, count(*) as n from (select seq, was_replay, status,",
         )
         + ") x group by all",
-        "intake_circuit_open": _contexts(refused="year(f.received_at) = 1995"),
+        "intake_circuit_open": _contexts(refused="year(f.received_at) = 1997"),
         "intake_custom_stage": _contexts(
-            audit="'audited ''' || raw_id || '''',", known=False
+            audit=f"{audited},",
+            dead=f"case when nameless then '' else {audited} end",
+            known=False,
         ),
     }
