@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quayside.functions.text import PYTHON_WHITESPACE
+
 REVENUE_TYPE = "decimal(38,6)"
 SUFFIX_FACTORS = {"k": 1_000, "m": 1_000_000, "b": 1_000_000_000}
 
 
 def clean_amount(text: Column) -> Column:
     """Drop currency signs, thousands separators, whitespace and digit-group underscores."""
-    return F.regexp_replace(text, r"(?U)[$,_\s\x1c-\x1f]", "")
+    return F.translate(text, "$,_" + PYTHON_WHITESPACE, "")
 
 
 def parse_revenue_strict(text: Column) -> Column:

@@ -51,7 +51,9 @@ def with_content_key(
     else:
         content = F.try_variant_get(value, "$", "string")
     canonical = F.when(whole & F.schema_of_variant(value).startswith("OBJECT"), content)
-    hashed = F.sha2(F.coalesce(canonical, text), 256)
+    # Never null, so that joins on the key add no null filter; pushed down, that filter would
+    # parse and hash every payload again.
+    hashed = F.coalesce(F.sha2(F.coalesce(canonical, text), 256), F.lit(""))
     return read.withColumn(key, hashed).drop("_read")
 
 

@@ -39,8 +39,12 @@ def title_case(c: Column) -> Column:
     ``initcap`` only sees spaces as word boundaries, so one is put, behind a mark, wherever a
     letter follows something else, and taken out again.
     """
-    split_words = F.regexp_replace(strip(c), r"(?<=[^\p{L}])(?=\p{L})", "\x01 ")
-    return F.replace(F.initcap(split_words), F.lit("\x01 "), F.lit(""))
+    text = strip(c)
+    split_words = F.regexp_replace(text, r"([^\p{L} ])(?=\p{L})", "$1\x01 ")
+    plain = F.translate(F.lower(text), "abcdefghijklmnopqrstuvwxyz ", "") == ""
+    return F.when(plain, F.initcap(text)).otherwise(
+        F.replace(F.initcap(split_words), F.lit("\x01 "), F.lit(""))
+    )
 
 
 def normalise_company_name(c: Column) -> Column:

@@ -13,7 +13,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quayside.functions.money import REVENUE_TYPE
+from quayside.functions.money import REVENUE_TYPE, amount_text
 from quayside.functions.text import quoted
 
 APPROVED = "approved"
@@ -29,7 +29,11 @@ NEW_YORK = ("NY", "NEW YORK", "NEW YORK STATE")
 
 @dataclass(frozen=True)
 class Rule:
-    """``predicate`` and ``reason`` may use any column of the validated submission."""
+    """``predicate`` and ``reason`` may use any column of the validated submission.
+
+    Those are the normalised fields, and ``revenue_source``, the revenue as it was written.
+    A reason is only computed for rows its rule decides.
+    """
 
     name: str
     predicate: Column
@@ -45,7 +49,8 @@ def revenue_out_of_appetite(
     min_revenue: Decimal = MIN_REVENUE, max_revenue: Decimal = MAX_REVENUE
 ) -> list[Rule]:
     """Decline revenue above the maximum or below the minimum; both bounds are acceptable."""
-    revenue, shown = F.col("revenue"), F.col("revenue_text")
+    revenue = F.col("revenue")
+    shown = amount_text(revenue, F.col("revenue_source"))
     low, high = Decimal(min_revenue), Decimal(max_revenue)
     return [
         Rule(

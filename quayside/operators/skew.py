@@ -23,12 +23,14 @@ NULL_SLOTS = 1024
 
 
 def is_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> bool:
-    """True when the optimizer's size estimate is below ``limit``; runs no job.
+    """True when the tables ``df`` reads are below ``limit`` together; runs no job.
 
-    An input this small fits in a task or two, whatever its key distribution.
+    Input this small fits in a task or two, whatever its key distribution. The optimizer's
+    estimate of ``df`` itself is no use here: for a join it multiplies the sides.
     """
-    plan = df._jdf.queryExecution().optimizedPlan()
-    return int(plan.stats().sizeInBytes()) < limit
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(sizes) < limit
 
 
 def heavy_keys(rows: DataFrame, keys: Sequence[str], slice_rows: int = SLICE_ROWS) -> DataFrame:

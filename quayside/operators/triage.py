@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from quayside.functions.money import (
     REVENUE_TYPE,
-    amount_text,
     is_not_finite,
     parse_revenue_strict,
 )
@@ -82,7 +81,7 @@ def submission_columns(revenue: str) -> dict[str, Column]:
         "company_id": source_field("company_id").text,
         "company_name": source_field("company_name").text,
         "revenue": F.col(revenue),
-        "revenue_text": amount_text(F.col(revenue), source_field("revenue").text),
+        "revenue_source": source_field("revenue").text,
         "industry": title_case(source_field("industry").text),
         "state": normalise_state(source_field("state").text),
         "zip_code": source_field("zip_code").text,

@@ -7,8 +7,12 @@ spread over the rows by their keys; no feed leaves out rows to become smaller.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 
+from quayside.operators.skew import is_small
+
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -124,10 +128,16 @@ def with_feeds(query: str) -> str:
     return "with " + ",\n".join(parts) + "\n" + query
 
 
+@lru_cache(maxsize=256)
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    """Reading the footer and listing files takes a job; once per session and file is enough."""
+    return spark.read.parquet(path)
+
+
 def load_tables(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = BASE_TABLES) -> None:
     """Register base tables as temporary views."""
     for name in names:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+        _read(spark, f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
 
 
 # The base tables behind each feed.
@@ -143,9 +153,18 @@ _USES = {
 }
 
 
+# Feeds whose rows hold JSON to parse.
+_COSTLY = ("deliveries", "responses")
+_FEW_BYTES = 1 << 30
+
+
 def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One feed as a DataFrame over the tables in ``sf_dir``."""
     load_tables(spark, sf_dir, _USES[name])
     needed = list(FEEDS)[: list(FEEDS).index(name) + 1]
     parts = [f"{n} as ({FEEDS[n].strip()})" for n in needed if set(_USES[n]) <= set(_USES[name])]
-    return spark.sql("with " + ",\n".join(parts) + f"\nselect * from {name}")
+    rows = spark.sql("with " + ",\n".join(parts) + f"\nselect * from {name}")
+    if name in _COSTLY and is_small(rows, _FEW_BYTES):
+        # A small table is one file and one task; the parsing that follows can use all cores.
+        rows = rows.repartition(spark.sparkContext.defaultParallelism, "seq")
+    return rows
