@@ -8,8 +8,10 @@ al. 2008), which loses no pair:
 * Turning name A into B with D deletions and I insertions destroys at most q*D + (q-1)*I of the
   q-grams of A. At threshold t the distance D + I is bounded by the two lengths, so A has a
   computable bound k on the grams that B may lack.
-* Order all grams by one fixed order. If A and B share a gram at all, the first k_A + 1 grams of
-  A and the first k_B + 1 grams of B share one. These prefixes are the signatures.
+* Order all grams by one fixed order, equal ones by position. The smallest gram that survives
+  is among the first k_A + 1 grams of A, since all before it are destroyed, and for the same
+  reason among the first k_B + 1 grams of B. These prefixes are the signatures. A surviving gram
+  moves by at most the distance, so a match also needs positions that close.
 * A name too short for the bound to leave a gram over gets a common signature besides, so that
   such names still meet; the whole name is a signature as well and finds equal names.
 
@@ -24,12 +26,14 @@ from pyspark.sql import functions as F
 from quayside.functions.similarity import (
     distance_share,
     lcs_length,
+    max_distance,
     ratio_from_lcs,
     reaches,
     within_distance,
 )
 from quayside.functions.text import normalise_company_name, token_sort, zip_prefix
-from quayside.operators.skew import SLICE_ROWS, fan_out_join, grid_join
+from quayside.operators.skew import SLICE_ROWS, fan_out_join, grid_join, is_small
+from quayside.session import shared_folder
 
 SIMILARITY_THRESHOLD = 90.0
 ZIP_PREFIX_LENGTH = 5
@@ -81,10 +85,13 @@ def distinct_names(blocked: DataFrame, seq: str = "seq") -> DataFrame:
     )
 
 
-def _grams(name: Column) -> Column:
+def _gram_starts(name: Column) -> Column:
     n = F.char_length(name) - (GRAM - 1)
-    starts = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.substring(name, i, F.lit(GRAM))))
+    return F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+
+
+def _gram(name: Column, start: Column) -> Column:
+    return F.substring(name, start, F.lit(GRAM))
 
 
 def _bucket(gram: Column) -> Column:
@@ -93,9 +100,10 @@ def _bucket(gram: Column) -> Column:
 
 def gram_frequencies(names: DataFrame) -> list[int]:
     """Histogram of hashed grams: always ``HISTOGRAM_BUCKETS`` numbers, whatever the input."""
+    name = F.col("sorted_name")
     counted = (
-        names.select(F.explode(_grams(F.col("sorted_name"))).alias("gram"))
-        .groupBy(_bucket(F.col("gram")).alias("bucket"))
+        names.select("sorted_name", F.explode(_gram_starts(name)).alias("at"))
+        .groupBy(_bucket(_gram(name, F.col("at"))).alias("bucket"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     histogram = [0] * HISTOGRAM_BUCKETS
@@ -105,7 +113,7 @@ def gram_frequencies(names: DataFrame) -> list[int]:
 
 
 def signatures(name: Column, threshold: float, histogram: list[int]) -> Column:
-    """Signatures of a word-sorted name, as an array of strings."""
+    """Signatures of a word-sorted name: array of (signature, position)."""
     share = distance_share(threshold)
     length = F.char_length(name)
     # Bounds over all partner lengths that are possible at all: only deletions down to the
@@ -120,26 +128,34 @@ def signatures(name: Column, threshold: float, histogram: list[int]) -> Column:
     frequency = F.split(F.lit(",".join(map(str, histogram))), ",").cast("array<bigint>")
     ranked = F.array_sort(
         F.transform(
-            _grams(name),
-            lambda g: F.struct(
-                F.element_at(frequency, _bucket(g) + 1).alias("n"), g.alias("gram")
+            _gram_starts(name),
+            lambda at: F.struct(
+                F.element_at(frequency, _bucket(_gram(name, at)) + 1).alias("n"),
+                _gram(name, at).alias("gram"),
+                at.alias("at"),
             ),
         )
     )
-    prefix = F.transform(F.slice(ranked, F.lit(1), n_lost + 1), lambda r: r["gram"])
+    prefix = F.transform(
+        F.slice(ranked, F.lit(1), n_lost + 1), lambda r: _signature(r["gram"], r["at"])
+    )
     unsure = n_lost >= length - (GRAM - 1)
-    none = F.array().cast("array<string>")
+    none = F.array().cast("array<struct<signature:string,at:int>>")
     # "=" and "*" cannot start a gram: names hold letters, digits, "_" and spaces only.
     return F.concat(
-        F.array(F.concat(F.lit("="), name)),
+        F.array(_signature(F.concat(F.lit("="), name), F.lit(0))),
         F.when(can_differ, prefix).otherwise(none),
-        F.when(can_differ & unsure, F.array(F.lit("*"))).otherwise(none),
+        F.when(can_differ & unsure, F.array(_signature(F.lit("*"), F.lit(0)))).otherwise(none),
     )
 
 
+def _signature(text: Column, at: Column) -> Column:
+    return F.struct(text.alias("signature"), at.alias("at"))
+
+
 def _signed(names: DataFrame, threshold: float, histogram: list[int]) -> DataFrame:
     marks = signatures(F.col("sorted_name"), threshold, histogram)
-    return names.withColumn("signature", F.explode(marks))
+    return names.select("*", F.inline(marks))
 
 
 def similar_names(
@@ -151,13 +167,16 @@ def similar_names(
 ) -> DataFrame:
     """Best known name for each wanted (block, sorted_name); names without one are left out.
 
-    Highest similarity wins, then the earliest position. Pairs that meet under several
-    signatures do no harm: the best-of aggregate ignores repeats.
+    Highest similarity wins, then the earliest position. A pair may meet under several
+    signatures; those that pass the cheap bounds are made distinct before they are scored.
     """
     histogram = gram_frequencies(known)
     a = _signed(wanted.select("block", "sorted_name"), threshold, histogram)
-    b = _signed(known.select("block", "sorted_name", "position"), threshold, histogram)
-    b = b.withColumnRenamed("sorted_name", "known_name")
+    b = (
+        _signed(known.select("block", "sorted_name", "position"), threshold, histogram)
+        .withColumnRenamed("sorted_name", "known_name")
+        .withColumnRenamed("at", "known_at")
+    )
     met = grid_join(
         a,
         b,
@@ -166,11 +185,17 @@ def similar_names(
         F.col("known_name"),
         slice_rows,
         balance,
-    ).drop("signature")
+    )
     x, y = F.col("sorted_name"), F.col("known_name")
+    bound = max_distance(F.char_length(x), F.char_length(y), threshold)
+    pairs = (
+        met.filter(F.abs(F.col("at") - F.col("known_at")) <= bound)
+        .filter(within_distance(x, y, threshold))
+        .select("block", "sorted_name", "known_name", "position")
+        .distinct()
+    )
     scored = (
-        met.filter(within_distance(x, y, threshold))
-        .withColumn("lcs", lcs_length(x, y))
+        pairs.withColumn("lcs", lcs_length(x, y))
         .filter(reaches(F.col("lcs"), x, y, threshold))
         .withColumn("score", ratio_from_lcs(F.col("lcs"), x, y))
     )
@@ -195,6 +220,10 @@ def find_duplicates(
     """
     asked = with_block(candidates, prefix)
     known = distinct_names(with_block(existing, prefix), seq)
+    if balance or (balance is None and not is_small(existing)):
+        # Needed three times, and much smaller than the records it comes from.
+        shared_folder(known.sparkSession)
+        known = known.checkpoint()
     wanted = asked.filter(F.col("normalised_name") != "").select("block", "sorted_name").distinct()
     best = similar_names(wanted, known, threshold, slice_rows, balance)
     matches = best.join(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.http import attempt_error_text, classify_http, enrichment_error_text
 from quayside.operators.skew import SLICE_ROWS, fan_out_join
+from quayside.session import shared_folder
 
 MAX_ATTEMPTS = 3
 
@@ -100,6 +101,7 @@ def fetch_attempts(
     data (JSON text) per call; it does not raise. ``partitions`` is the number of concurrent
     callers. The log is checkpointed so that no call is made twice.
     """
+    shared_folder(companies.sparkSession)
     ids = companies.select(key).distinct()
     if partitions:
         ids = ids.repartition(partitions, key)

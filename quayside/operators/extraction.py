@@ -16,6 +16,8 @@ from quayside.functions.extraction import (
     with_extraction,
 )
 
+from quayside.session import shared_folder
+
 DEFAULT_ATTEMPTS = 2
 
 
@@ -89,6 +91,7 @@ def extract_texts(
     The responses of an attempt are checkpointed: a model call is dear, and asking again could
     give another answer.
     """
+    shared_folder(texts.sparkSession)
     waiting, answered = texts.select(key, text), []
     for number in range(1, max_attempts + 1):
         responses = complete_attempt(waiting, complete, number, key, text).checkpoint()

@@ -100,12 +100,19 @@ def grid_join(
 
     A heavy key becomes a grid of (left slot, right slot) cells; each left row goes to one grid
     row, each right row to one grid column, and every pair meets in exactly one cell.
+
+    Such a join costs far more than the bytes it reads, so both sides are spread over all shuffle
+    partitions rather than left to be merged into a few by size.
     """
     keys = list(keys)
+    spark = left.sparkSession
+    n_tasks = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    )
     if balance is None:
         balance = not (is_small(left) and is_small(right))
     if not balance:
-        return left.join(right, keys)
+        return left.repartition(n_tasks, *keys).join(right.repartition(n_tasks, *keys), keys)
     heavy_left = heavy_keys(left.select(*keys), keys, slice_rows)
     heavy_right = heavy_keys(right.select(*keys), keys, slice_rows)
     cuts = heavy_left.withColumnRenamed("_slots", "_rows").join(
@@ -118,4 +125,7 @@ def grid_join(
     a = _repeat(a, n_cols, "_col").drop("_rows", "_cols")
     b = right.join(cuts, keys, "left").withColumn("_col", _slot_of(right_spread, n_cols))
     b = _repeat(b, n_rows, "_row").drop("_rows", "_cols")
-    return a.join(b, [*keys, "_row", "_col"]).drop("_row", "_col")
+    cell = [*keys, "_row", "_col"]
+    return (
+        a.repartition(n_tasks, *cell).join(b.repartition(n_tasks, *cell), cell).drop("_row", "_col")
+    )

@@ -92,7 +92,7 @@ def submission_columns(revenue: str) -> dict[str, Column]:
 def validate_submissions(
     raw: DataFrame, payload: str | None = None, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per input row: normalised fields plus ``validation_errors`` (null when valid).
+    """One row per input row: normalised fields, ``is_valid`` and ``validation_errors``.
 
     Source fields are own columns, or those of a JSON ``payload`` column. Errors of all fields
     are collected; a blank id is only reported when the rest is fine.
@@ -116,23 +116,28 @@ def validate_submissions(
     found = F.when(F.col("_errors") != "", F.split("_errors", _SEPARATOR)).when(
         blank_id, F.array(F.lit("Value error, company_id must not be blank"))
     )
+    # The same conditions without texts: where only valid rows matter, no text is built.
+    valid = ~blank_id & F.col("_revenue").isNotNull()
+    for name in ("company_id", "company_name", "industry", "state"):
+        valid = valid & source_field(name).is_string
+    for name in ("zip_code", "broker_id"):
+        valid = valid & (source_field(name).is_missing | source_field(name).is_string)
     normalised = [c.alias(name) for name, c in submission_columns("_revenue").items()]
     return split.withColumn("_errors", errors).select(
-        *keep, *normalised, found.alias("validation_errors")
+        *keep,
+        *normalised,
+        F.coalesce(valid, F.lit(False)).alias("is_valid"),
+        found.alias("validation_errors"),
     )
 
 
-def is_valid() -> Column:
-    return F.col("validation_errors").isNull()
-
-
 def valid_only(validated: DataFrame) -> DataFrame:
-    return validated.filter(is_valid()).drop("validation_errors")
+    return validated.filter("is_valid").drop("is_valid", "validation_errors")
 
 
 def rejects(validated: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Invalid rows with their id and all errors, for a dead-letter table."""
-    return validated.filter(~is_valid()).select(*keep, "company_id", "validation_errors")
+    return validated.filter("not is_valid").select(*keep, "company_id", "validation_errors")
 
 
 def decide(valid: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:

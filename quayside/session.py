@@ -26,17 +26,18 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """Folder every executor can reach, as named by ``spark.checkpoint.dir``, set for use by
+    ``checkpoint()``.
 
     Only a local master, where driver and executors share one disk, may fall back to a
     temporary folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
     current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured and not current:
+        spark.sparkContext.setCheckpointDir(configured)
+    if configured or current:
+        return configured or current
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     folder = tempfile.mkdtemp(prefix="quayside-")
