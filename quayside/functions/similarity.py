@@ -35,13 +35,18 @@ def _common_subsequence(a: str, b: str) -> int:
 
 
 @F.pandas_udf(T.IntegerType())
-def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
+def _lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(
         [None if x is None or y is None else _common_subsequence(x, y) for x, y in zip(a, b)],
         dtype="Int32",
     )
 
 
+# Declared non-deterministic so that a filter on the result is not pushed below it, which would
+# compute the length twice.
+lcs_length = _lcs_length.asNondeterministic()
+
+
 def ratio_from_lcs(lcs: Column, a: Column, b: Column) -> Column:
     total = F.char_length(a) + F.char_length(b)
     return F.when(total == 0, F.lit(100.0)).otherwise(F.lit(200.0) * lcs / total)
@@ -73,7 +78,8 @@ def within_distance(a: Column, b: Column, threshold: float) -> Column:
     the difference in length."""
     la, lb = F.char_length(a), F.char_length(b)
     bound = max_distance(la, lb, threshold)
-    return (F.abs(la - lb) <= bound) & (F.call_function("levenshtein", a, b, bound) >= 0)
+    near = F.call_function("levenshtein", a, b, bound) >= 0
+    return F.when(F.abs(la - lb) <= bound, near).otherwise(F.lit(False))
 
 
 def reaches(lcs: Column, a: Column, b: Column, threshold: float) -> Column:

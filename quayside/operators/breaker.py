@@ -27,14 +27,28 @@ def _seconds(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp")) / F.lit(1e6)
 
 
-def _summaries(numbered: DataFrame) -> DataFrame:
+# Comes before every time bucket; holds what earlier batches of a stream left.
+_CARRIED_BUCKET = -(1 << 62)
+
+
+def _summaries(numbered: DataFrame, carried: DataFrame | None) -> DataFrame:
     """One row per dependency and bucket: what it passes on to the next one."""
     last_ok = F.coalesce(F.max(F.when(F.col("ok"), F.col("_n"))), F.lit(0))
     per_bucket = numbered.groupBy("dependency", "_bucket").agg(
         (F.max("_n") - last_ok).alias("_tail"),
         F.max("ok").alias("_has_ok"),
-        F.max(F.struct("_n", "ts")).alias("_last"),
+        F.max_by("ts", "_n").alias("_last_ts"),
     )
+    if carried is not None:
+        per_bucket = per_bucket.unionByName(
+            carried.select(
+                "dependency",
+                F.lit(_CARRIED_BUCKET).alias("_bucket"),
+                F.col("failure_run").alias("_tail"),
+                F.lit(True).alias("_has_ok"),
+                F.col("ts").alias("_last_ts"),
+            )
+        )
     timeline = W.partitionBy("dependency").orderBy("_bucket")
     # Failures at the end of a bucket add up over all-failure buckets since one with a success.
     stretch = F.sum(F.col("_has_ok").cast("int")).over(timeline)
@@ -45,15 +59,20 @@ def _summaries(numbered: DataFrame) -> DataFrame:
         "dependency",
         "_bucket",
         F.lag("_run_out", 1, 0).over(timeline).alias("_run_in"),
-        F.lag("_last.ts").over(timeline).alias("_ts_in"),
+        F.lag("_last_ts").over(timeline).alias("_ts_in"),
     )
 
 
-def failure_runs(outcomes: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+def failure_runs(
+    outcomes: DataFrame,
+    bucket_seconds: int = BUCKET_SECONDS,
+    carried: DataFrame | None = None,
+) -> DataFrame:
     """Add ``failure_run``: failures in a row up to and including the row, 0 after a success.
 
     ``outcomes`` has dependency, seq, ts and ok; ``seq`` breaks ties of equal times. The added
-    ``previous_ts`` and ``previous_run`` describe the row before.
+    ``previous_ts`` and ``previous_run`` describe the row before. ``carried`` (dependency,
+    failure_run, ts) tells how an earlier part of the log ended, see ``last_runs``.
     """
     bucket = F.floor(_seconds(F.col("ts")) / bucket_seconds).alias("_bucket")
     rows = outcomes.select("dependency", "seq", "ts", "ok", bucket)
@@ -63,7 +82,7 @@ def failure_runs(outcomes: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> D
         order.rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     joined = numbered.withColumn("_last_ok", last_ok).join(
-        _summaries(numbered), ["dependency", "_bucket"]
+        _summaries(numbered, carried), ["dependency", "_bucket"]
     )
     run = F.col("_n") - F.coalesce(F.col("_last_ok"), -F.col("_run_in"))
     with_run = joined.withColumn("failure_run", F.when(F.col("ok"), F.lit(0)).otherwise(run))
@@ -95,9 +114,10 @@ def circuit_states(
     threshold: int = FAILURE_THRESHOLD,
     recovery_s: float = RECOVERY_SECONDS,
     bucket_seconds: int = BUCKET_SECONDS,
+    carried: DataFrame | None = None,
 ) -> DataFrame:
     """State in front of and after every outcome, and whether a request was admitted then."""
-    runs = failure_runs(outcomes, bucket_seconds)
+    runs = failure_runs(outcomes, bucket_seconds, carried)
     before = state_at(
         F.col("previous_run"), F.col("previous_ts"), F.col("ts"), threshold, recovery_s
     )
@@ -115,6 +135,16 @@ def circuit_states(
     )
 
 
+def last_runs(states: DataFrame, carried: DataFrame | None = None) -> DataFrame:
+    """How the log ended per dependency; dependencies without new rows keep what they had."""
+    ends = states.groupBy("dependency").agg(
+        F.max(F.struct("ts", "seq", "failure_run")).alias("_end")
+    ).select("dependency", F.col("_end.failure_run").alias("failure_run"), F.col("_end.ts").alias("ts"))
+    if carried is None:
+        return ends
+    return ends.unionByName(carried.join(ends, "dependency", "left_anti"))
+
+
 def open_intervals(states: DataFrame, recovery_s: float = RECOVERY_SECONDS) -> DataFrame:
     """Times at which requests are refused: from each opening until the next outcome, at most
     for the recovery time."""

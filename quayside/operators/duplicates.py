@@ -188,11 +188,12 @@ def similar_names(
     )
     x, y = F.col("sorted_name"), F.col("known_name")
     bound = max_distance(F.char_length(x), F.char_length(y), threshold)
+    close = F.abs(F.col("at") - F.col("known_at")) <= bound
     pairs = (
-        met.filter(F.abs(F.col("at") - F.col("known_at")) <= bound)
-        .filter(within_distance(x, y, threshold))
-        .select("block", "sorted_name", "known_name", "position")
-        .distinct()
+        # CASE keeps the order: cheap position test first, edit distance only then.
+        met.filter(F.when(close, within_distance(x, y, threshold)).otherwise(F.lit(False)))
+        .groupBy("block", "sorted_name", "known_name")
+        .agg(F.min("position").alias("position"))
     )
     scored = (
         pairs.withColumn("lcs", lcs_length(x, y))

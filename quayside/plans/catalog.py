@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.functions.extraction import render_prompt
 from quayside.functions.http import attempt_error_text, classify_http
@@ -36,10 +38,11 @@ from quayside.operators.triage import (
     validate_submissions,
 )
 from quayside.plans import oracles
-from quayside.plans.feeds import feed, load_tables
+from quayside.plans.feeds import feed, load_tables, streamed_feed
 from quayside.plans.intake import (
     PipelineStage,
     add_text,
+    context_schema,
     default_stages,
     insert_after,
     run_pipeline,
@@ -52,6 +55,16 @@ from quayside.plans.reports import (
     replay_rate,
     status_counts,
 )
+from quayside.session import shared_folder
+from quayside.streaming.jobs import (
+    append_stream,
+    circuit_state_stream,
+    dedupe_stream,
+    enrich_stream,
+    idempotent_stream,
+    intake_stream,
+    triage_stream,
+)
 
 # Settings of the example queries; the SQL in ``oracles`` uses the same numbers.
 BREAKER_THRESHOLD = 2
@@ -399,6 +412,82 @@ def intake_custom_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _contexts(run_pipeline(deliveries, risk=risk, stages=stages).records)
 
 
+# -- streams -----------------------------------------------------------------------------------
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """New folder for one run in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _appended(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    folder = _scratch(spark, name)
+    append_stream(rows, f"{folder}/rows", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{folder}/rows")
+
+
+def stream_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arriving = streamed_feed(spark, sf_dir, "submissions", "customer")
+    return _appended(spark, triage_stream(arriving, keep=["seq"]), "triage")
+
+
+def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arriving = streamed_feed(spark, sf_dir, "submissions", "customer").select("seq", "company_id")
+    return _appended(spark, enrich_stream(arriving, feed(spark, sf_dir, "risk")), "enrich")
+
+
+def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of a stream of deliveries; which delivery of a key arrives first is left open."""
+    arriving = streamed_feed(spark, sf_dir, "order_deliveries", "orders")
+    unique = dedupe_stream(arriving, lifetime="7300 days").select(KEY)
+    return _appended(spark, unique, "dedupe")
+
+
+def stream_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _scratch(spark, "idempotent")
+    arriving = streamed_feed(spark, sf_dir, "order_deliveries", "orders")
+    ledger = T.StructType([T.StructField(c, T.StringType()) for c in (KEY, "status", "reason")])
+    idempotent_stream(
+        arriving,
+        _triage_firsts,
+        ledger,
+        f"{folder}/ledger",
+        f"{folder}/records",
+        f"{folder}/checkpoint",
+    ).awaitTermination()
+    return spark.read.parquet(f"{folder}/records").drop("batch")
+
+
+def stream_circuit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _scratch(spark, "circuit")
+    circuit_state_stream(
+        streamed_feed(spark, sf_dir, "outcomes", "events"),
+        f"{folder}/runs",
+        f"{folder}/states",
+        f"{folder}/checkpoint",
+        BREAKER_THRESHOLD,
+        BREAKER_RECOVERY_S,
+    ).awaitTermination()
+    return spark.read.parquet(f"{folder}/states").select(
+        "dependency", "seq", "state_before", "allowed", "state_after"
+    )
+
+
+def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _scratch(spark, "intake")
+    risk = feed(spark, sf_dir, "risk")
+    intake_stream(
+        streamed_feed(spark, sf_dir, "order_deliveries", "orders"),
+        context_schema(risk),
+        f"{folder}/ledger",
+        f"{folder}/records",
+        f"{folder}/checkpoint",
+        existing_ids=feed(spark, sf_dir, "known_companies"),
+        risk=risk,
+    ).awaitTermination()
+    return _contexts(spark.read.parquet(f"{folder}/records"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: q
     for q in (
@@ -439,6 +528,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         intake_status_counts,
         intake_circuit_open,
         intake_custom_stage,
+        stream_triage,
+        stream_enrich,
+        stream_dedupe,
+        stream_idempotent,
+        stream_circuit,
+        stream_intake,
     )
 }
 

@@ -47,11 +47,9 @@ from (select c_custkey as k, c_name, c_mktsegment, c_nationkey as n,
           * case when c_custkey % 10 = 0 then 1000 else 1 end as rev
       from customer) b
 """,
-    # At-least-once input: every (order, line) is one delivery of the order's submission. All
-    # deliveries of an order are byte-identical; deliveries of a customer differ in received_at.
-    "deliveries": """
-select l.l_orderkey * 10 + l.l_linenumber as seq, l.l_orderkey as order_seq,
-  s.seq as submission_seq, o.o_orderdate as received_at,
+    # One delivery per order; orders of a customer differ in received_at only.
+    "order_deliveries": """
+select o.o_orderkey as seq, s.seq as submission_seq, o.o_orderdate as received_at,
   concat('{"company_id":"', s.company_id, '",',
     case when s.company_name is null then ''
          else concat('"company_name":"', s.company_name, '",') end,
@@ -60,9 +58,14 @@ select l.l_orderkey * 10 + l.l_linenumber as seq, l.l_orderkey as order_seq,
          else concat('"', s.revenue, '"') end,
     ',"industry":"', s.industry, '","state":"', s.state,
     '","received_at":"', cast(o.o_orderdate as string), '"}') as payload
+from orders o join submissions s on s.seq = o.o_custkey
+""",
+    # At-least-once input: every (order, line) delivers the order once more, byte by byte.
+    "deliveries": """
+select l.l_orderkey * 10 + l.l_linenumber as seq, l.l_orderkey as order_seq,
+  o.submission_seq, o.received_at, o.payload
 from (select distinct l_orderkey, l_linenumber from lineitem) l
-join orders o on o.o_orderkey = l.l_orderkey
-join submissions s on s.seq = o.o_custkey
+join order_deliveries o on o.seq = l.l_orderkey
 """,
     # Model responses: the lines of an order are the attempts for one text.
     "responses": """
@@ -143,6 +146,7 @@ def load_tables(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = BASE_
 # The base tables behind each feed.
 _USES = {
     "submissions": ("customer",),
+    "order_deliveries": ("customer", "orders"),
     "deliveries": ("customer", "orders", "lineitem"),
     "responses": ("customer", "orders", "lineitem"),
     "names": ("part",),
@@ -154,7 +158,7 @@ _USES = {
 
 
 # Feeds whose rows hold JSON to parse.
-_COSTLY = ("deliveries", "responses")
+_COSTLY = ("order_deliveries", "deliveries", "responses")
 _FEW_BYTES = 1 << 30
 
 
@@ -168,3 +172,21 @@ def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         # A small table is one file and one task; the parsing that follows can use all cores.
         rows = rows.repartition(spark.sparkContext.defaultParallelism, "seq")
     return rows
+
+
+def streamed_feed(spark: SparkSession, sf_dir: str, name: str, table: str) -> DataFrame:
+    """The same feed with one of its base tables read as a stream of files."""
+    load_tables(spark, sf_dir, _USES[name])
+    path = f"{sf_dir}/{table}.parquet"
+    # A pattern, because a stream source takes no path of a single file.
+    pattern = f"{sf_dir}/{table}.parq*"
+    stream = spark.readStream.schema(_read(spark, path).schema).parquet(pattern)
+    stream.createOrReplaceTempView(f"{table}_stream")
+    parts = []
+    for needed in list(FEEDS)[: list(FEEDS).index(name) + 1]:
+        sql = FEEDS[needed].strip()
+        if set(_USES[needed]) <= set(_USES[name]):
+            if table in _USES[needed]:
+                sql = sql.replace(f"from {table}", f"from {table}_stream")
+            parts.append(f"{needed} as ({sql})")
+    return spark.sql("with " + ",\n".join(parts) + f"\nselect * from {name}")

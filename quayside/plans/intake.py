@@ -255,6 +255,18 @@ def enrichment_schema(risk: DataFrame | None) -> T.StructType:
     )
 
 
+def context_schema(risk: DataFrame | None) -> T.StructType:
+    """Columns of the ledger: the key and the context."""
+    types = {
+        "enrichment": enrichment_schema(risk),
+        "warnings": T.ArrayType(T.StringType()),
+        "errors": T.ArrayType(T.StringType()),
+    }
+    return T.StructType(
+        [T.StructField(c, types.get(c, T.StringType())) for c in (KEY, *CONTEXT_COLUMNS)]
+    )
+
+
 def run_pipeline(
     deliveries: DataFrame,
     *,

@@ -82,6 +82,14 @@ _FULL_KEYED = _KEYED.replace(
     "REC", """'"received_at":"', cast(d.received_at as varchar), '",',"""
 )
 
+_BY_ORDER = "(select seq, seq as order_seq, submission_seq, received_at from order_deliveries) d"
+
+
+def _per_order(sql: str) -> str:
+    """The same check over one delivery per order."""
+    return sql.replace("from deliveries d join submissions", f"from {_BY_ORDER} join submissions")
+
+
 _FIRSTS = """
 firsts as (
   select *, min(seq) over (partition by idempotency_key) as first_seq from keyed
@@ -337,7 +345,7 @@ from states"""
     audited = "'audited ''' || raw_id || ''''"
     triaged = (_CHECKED, _TRIAGED)
     content = (_CHECKED, _CONTENT_KEYED, _FIRSTS, _STORED)
-    return {
+    checks = {
         "triage_decisions": _sql("select * from triaged", *triaged),
         "triage_payloads": _sql(
             """
@@ -486,3 +494,12 @@ select dependency, seq, failure_run, failure_run >= 2 as threshold_reached from
             known=False,
         ),
     }
+    checks["stream_triage"] = checks["triage_decisions"]
+    checks["stream_enrich"] = checks["enrich_lookup"]
+    checks["stream_dedupe"] = _per_order(
+        _sql("select distinct idempotency_key from keyed", *content)
+    )
+    checks["stream_idempotent"] = _per_order(checks["idem_first_delivery"])
+    checks["stream_circuit"] = checks["breaker_states"]
+    checks["stream_intake"] = _per_order(checks["intake_results"])
+    return checks
