@@ -145,10 +145,51 @@ def last_runs(states: DataFrame, carried: DataFrame | None = None) -> DataFrame:
     return ends.unionByName(carried.join(ends, "dependency", "left_anti"))
 
 
-def open_intervals(states: DataFrame, recovery_s: float = RECOVERY_SECONDS) -> DataFrame:
-    """Times at which requests are refused: from each opening until the next outcome, at most
-    for the recovery time."""
-    until = F.col("opened_at") + F.make_dt_interval(secs=F.lit(recovery_s))
-    return states.filter(F.col("opened_at").isNotNull()).select(
-        "dependency", F.col("opened_at").alias("open_from"), until.alias("open_until")
+def open_intervals(
+    outcomes: DataFrame,
+    threshold: int = FAILURE_THRESHOLD,
+    recovery_s: float = RECOVERY_SECONDS,
+    bucket_seconds: int = BUCKET_SECONDS,
+) -> DataFrame:
+    """Times at which requests are refused: from an opening to the next outcome, at most for the
+    recovery time. The intervals of a dependency do not overlap."""
+    runs = failure_runs(outcomes, bucket_seconds)
+    wait = F.make_dt_interval(secs=F.lit(recovery_s))
+    between = runs.filter(F.col("previous_run") >= threshold).select(
+        "dependency",
+        F.col("previous_ts").alias("open_from"),
+        F.least(F.col("previous_ts") + wait, F.col("ts")).alias("open_until"),
+    )
+    at_the_end = (
+        last_runs(runs)
+        .filter(F.col("failure_run") >= threshold)
+        .select("dependency", F.col("ts").alias("open_from"), (F.col("ts") + wait).alias("open_until"))
+    )
+    return between.unionByName(at_the_end)
+
+
+def mark_circuit_open(
+    rows: DataFrame, intervals: DataFrame, at: str, recovery_s: float = RECOVERY_SECONDS
+) -> DataFrame:
+    """Add ``circuit_open``: whether the row's time lies in one of a dependency's intervals.
+
+    Times are cut into slices of the recovery time, so an interval touches two slices at most
+    and the range join becomes an equality join.
+    """
+
+    def slice_of(ts: Column) -> Column:
+        return F.floor(_seconds(ts) / recovery_s)
+
+    sliced = intervals.select(
+        "open_from",
+        "open_until",
+        F.explode(F.sequence(slice_of(F.col("open_from")), slice_of(F.col("open_until")))).alias(
+            "_slice"
+        ),
+    )
+    inside = (F.col(at) >= F.col("open_from")) & (F.col(at) < F.col("open_until"))
+    left = rows.withColumn("_slice", slice_of(F.col(at)))
+    joined = left.join(sliced, (left["_slice"] == sliced["_slice"]) & inside, "left")
+    return joined.select(
+        *[left[c] for c in rows.columns], F.col("open_from").isNotNull().alias("circuit_open")
     )

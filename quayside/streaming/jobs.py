@@ -25,11 +25,18 @@ from quayside.operators.breaker import (
     last_runs,
 )
 from quayside.operators.enrichment import enrich
-from quayside.operators.idempotency import KEY, Process, Processed, process_once, with_key
+from quayside.operators.idempotency import (
+    FIRST,
+    KEY,
+    Process,
+    Processed,
+    process_once,
+    with_key,
+)
 from quayside.operators.rules import Rule
 from quayside.operators.triage import triage
 from quayside.plans.intake import run_pipeline
-from quayside.sources.tables import ledger_exists, upsert_ledger
+from quayside.sources.tables import ledger_exists
 
 KEY_LIFETIME = "24 hours"
 BATCH = "batch"
@@ -94,16 +101,27 @@ def _process_batches(
     records_path: str,
     checkpoint: str,
     lifetime_s: float | None,
+    seq: str,
+    exclude: Iterable[str],
 ) -> StreamingQuery:
     stored = T.StructType([*result_schema.fields, T.StructField("stored_at", T.TimestampType())])
+    results = result_schema.names
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        earlier = _earlier_rows(batch.sparkSession, ledger_path, stored, batch_id)
-        ledger = _fresh_only(earlier, lifetime_s)
-        done = run(batch, ledger)
-        # Results are stored first and replays read them back, so a result is computed once.
-        fresh = done.fresh.select(*result_schema.names)
-        upsert_ledger(fresh.withColumn("stored_at", F.current_timestamp()), ledger_path, batch_id)
+        spark = batch.sparkSession
+        ledger = _fresh_only(_earlier_rows(spark, ledger_path, stored, batch_id), lifetime_s)
+        fresh = run(batch, ledger).fresh.select(*results)
+        _write_batch(
+            fresh.withColumn("stored_at", F.current_timestamp()), ledger_path, batch_id
+        )
+        # Deliveries get the results as stored, so nothing is processed a second time.
+        new = spark.read.schema(stored).parquet(_batch_folder(ledger_path, batch_id))
+
+        def look_up(firsts: DataFrame) -> DataFrame:
+            return firsts.select(KEY, FIRST).join(new.select(*results), KEY)
+
+        known = None if ledger is None else ledger.select(*results)
+        done = process_once(batch, look_up, known, seq=seq, exclude=exclude)
         _write_batch(done.records, records_path, batch_id)
 
     return (
@@ -123,18 +141,21 @@ def idempotent_stream(
     checkpoint: str,
     lifetime_s: float | None = None,
     seq: str = "seq",
+    exclude: Iterable[str] = DELIVERY_FIELDS,
 ) -> StreamingQuery:
     """Every delivery with the result of its key and ``was_replay``; each key processed once.
 
     ``result_schema`` is that of the ledger: idempotency_key and the result columns. With
     ``lifetime_s`` older ledger rows no longer count, so their keys are processed anew.
     """
+    exclude = tuple(exclude)
 
     def run(batch: DataFrame, ledger: DataFrame | None) -> Processed:
-        return process_once(batch, process, ledger, seq=seq)
+        return process_once(batch, process, ledger, seq=seq, exclude=exclude)
 
     return _process_batches(
-        deliveries, run, result_schema, ledger_path, records_path, checkpoint, lifetime_s
+        deliveries, run, result_schema, ledger_path, records_path, checkpoint, lifetime_s, seq,
+        exclude,
     )
 
 
@@ -148,16 +169,17 @@ def intake_stream(
     existing_ids: DataFrame | None = None,
     risk: DataFrame | None = None,
     lifetime_s: float | None = None,
+    seq: str = "seq",
 ) -> StreamingQuery:
     """The whole chain per micro-batch; the ledger grows after the chain has run."""
 
     def run(batch: DataFrame, ledger: DataFrame | None) -> Processed:
         return run_pipeline(
-            batch, rules=rules, existing_ids=existing_ids, risk=risk, ledger=ledger
+            batch, rules=rules, existing_ids=existing_ids, risk=risk, ledger=ledger, seq=seq
         )
 
     return _process_batches(
-        deliveries, run, result_schema, ledger_path, records_path, checkpoint, lifetime_s
+        deliveries, run, result_schema, ledger_path, records_path, checkpoint, lifetime_s, seq, ()
     )
 
 
