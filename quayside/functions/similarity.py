@@ -73,6 +73,36 @@ def max_distance(la: Column, lb: Column, threshold: float) -> Column:
     return ((scaled - scaled % share.denominator) / share.denominator).cast("int")
 
 
+def character_bag(c: Column) -> Column:
+    """The characters of a string as bits of a BIGINT, one hashed bit per character and
+    repetition. Inserting or deleting one character changes at most one bit."""
+    characters = F.array_sort(F.filter(F.split(c, ""), lambda ch: ch != ""))
+
+    def bits(chars: Column) -> Column:
+        repetition = lambda ch, i: i - F.array_position(chars, ch)
+        return F.transform(
+            chars,
+            lambda ch, i: F.call_function(
+                "shiftleft",
+                F.lit(1).cast("bigint"),
+                F.pmod(F.xxhash64(ch, repetition(ch, i)), F.lit(64)).cast("int"),
+            ),
+        )
+
+    # The one-element array binds the sorted characters, which would otherwise be sorted again
+    # for every character.
+    return F.aggregate(
+        F.element_at(F.transform(F.array(characters), bits), 1),
+        F.lit(0).cast("bigint"),
+        lambda bag, bit: bag.bitwiseOR(bit),
+    )
+
+
+def bags_within(bag_a: Column, bag_b: Column, bound: Column) -> Column:
+    """Cheap necessary test for an indel distance of at most ``bound``."""
+    return F.bit_count(bag_a.bitwiseXOR(bag_b)) <= bound
+
+
 def within_distance(a: Column, b: Column, threshold: float) -> Column:
     """Cheap necessary test: edit distance never exceeds indel distance, and neither is below
     the difference in length."""

@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.similarity import (
+    bags_within,
+    character_bag,
     distance_share,
     lcs_length,
     max_distance,
@@ -155,7 +157,8 @@ def _signature(text: Column, at: Column) -> Column:
 
 def _signed(names: DataFrame, threshold: float, histogram: list[int]) -> DataFrame:
     marks = signatures(F.col("sorted_name"), threshold, histogram)
-    return names.select("*", F.inline(marks))
+    bagged = names.withColumn("bag", character_bag(F.col("sorted_name")))
+    return bagged.select("*", F.inline(marks))
 
 
 def similar_names(
@@ -176,6 +179,7 @@ def similar_names(
         _signed(known.select("block", "sorted_name", "position"), threshold, histogram)
         .withColumnRenamed("sorted_name", "known_name")
         .withColumnRenamed("at", "known_at")
+        .withColumnRenamed("bag", "known_bag")
     )
     met = grid_join(
         a,
@@ -188,9 +192,11 @@ def similar_names(
     )
     x, y = F.col("sorted_name"), F.col("known_name")
     bound = max_distance(F.char_length(x), F.char_length(y), threshold)
-    close = F.abs(F.col("at") - F.col("known_at")) <= bound
+    close = (F.abs(F.col("at") - F.col("known_at")) <= bound) & bags_within(
+        F.col("bag"), F.col("known_bag"), bound
+    )
     pairs = (
-        # CASE keeps the order: cheap position test first, edit distance only then.
+        # CASE keeps the order: cheap tests of positions and bags first, then edit distance.
         met.filter(F.when(close, within_distance(x, y, threshold)).otherwise(F.lit(False)))
         .groupBy("block", "sorted_name", "known_name")
         .agg(F.min("position").alias("position"))

@@ -10,7 +10,13 @@ from quayside.functions.extraction import render_prompt, strip_code_fence
 from quayside.functions.money import amount_text, coerce_revenue_lenient, parse_revenue_strict
 from quayside.functions.naming import camel_to_snake, snake_case_json, snake_case_schema
 from quayside.functions.payload import with_content_key, with_payload_fields
-from quayside.functions.similarity import indel_ratio, lcs_length, within_distance
+from quayside.functions.similarity import (
+    bags_within,
+    character_bag,
+    indel_ratio,
+    lcs_length,
+    within_distance,
+)
 from quayside.functions.text import (
     normalise_company_name,
     normalise_state,
@@ -170,6 +176,9 @@ def test_lcs_matches_dynamic_programming(spark, longest):
         & ((F.length("a") + F.length("b") - 2 * F.col("n")) * 10 <= F.length("a") + F.length("b"))
     )
     assert lost.count() == 0
+    distance = F.length("a") + F.length("b") - 2 * F.col("n")
+    bags = bags_within(character_bag(F.col("a")), character_bag(F.col("b")), distance)
+    assert df.filter(~bags).count() == 0
 
 
 def test_indel_ratio_edges(spark):
