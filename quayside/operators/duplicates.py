@@ -225,9 +225,11 @@ def find_duplicates(
 
     Both sides have company_id, company_name, zip_code and an order column ``seq``.
     """
+    if balance is None:
+        balance = not (is_small(candidates) and is_small(existing))
     asked = with_block(candidates, prefix)
     known = distinct_names(with_block(existing, prefix), seq)
-    if balance or (balance is None and not is_small(existing)):
+    if balance:
         # Needed three times, and much smaller than the records it comes from.
         shared_folder(known.sparkSession)
         known = known.checkpoint()

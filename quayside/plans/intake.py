@@ -25,7 +25,7 @@ from quayside.functions.payload import (
 from quayside.functions.text import quoted
 from quayside.operators.idempotency import FIRST, KEY, Processed, process_once
 from quayside.operators.rules import DECLINED, Rule, default_rules, first_match
-from quayside.operators.skew import SLICE_ROWS, fan_out_join
+from quayside.operators.skew import SLICE_ROWS, fan_out_join, is_small
 from quayside.operators.triage import SUBMISSION_FIELDS, revenue_of, submission_columns
 
 PENDING, APPROVED, ERROR = "pending", "approved", "error"
@@ -286,6 +286,8 @@ def run_pipeline(
     ``circuit_open`` says that the risk API was refused at that delivery. ``stages`` replaces the
     default chain. ``ledger`` holds idempotency_key and the context columns of earlier runs.
     """
+    if balance is None:
+        balance = not is_small(deliveries)
     chain = stages or default_stages(rules, existing_ids, risk, slice_rows, balance)
     enrichment_type = enrichment_schema(risk)
     carry = ["circuit_open"] if "circuit_open" in deliveries.columns else []
