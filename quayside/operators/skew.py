@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.session import shared_folder
+
 MAX_HEAVY_KEYS = 1024
 SLICE_ROWS = 1_000_000
 SMALL_INPUT_BYTES = 64 * 1024 * 1024
@@ -49,6 +51,13 @@ def heavy_keys(rows: DataFrame, keys: Sequence[str], slice_rows: int = SLICE_ROW
     )
 
 
+def _fixed(heavy: DataFrame) -> DataFrame:
+    """The list written out once: both sides of a join must use the very same slots, and finding
+    the keys reads the whole input."""
+    shared_folder(heavy.sparkSession)
+    return F.broadcast(heavy.checkpoint())
+
+
 def _slot_of(spread_by: Column, slots: Column) -> Column:
     return F.pmod(F.xxhash64(spread_by), slots).cast("int")
 
@@ -76,7 +85,7 @@ def fan_out_join(
         balance = not is_small(left)
     if not balance:
         return left.join(right, keys, how)
-    heavy = F.broadcast(heavy_keys(left.select(*keys), keys, slice_rows))
+    heavy = _fixed(heavy_keys(left.select(*keys), keys, slice_rows))
     no_key = F.lit(False)
     for key in keys:
         no_key = no_key | F.col(key).isNull()
@@ -118,7 +127,7 @@ def grid_join(
     cuts = heavy_left.withColumnRenamed("_slots", "_rows").join(
         heavy_right.withColumnRenamed("_slots", "_cols"), keys, "full"
     )
-    cuts = F.broadcast(cuts)
+    cuts = _fixed(cuts)
     n_rows = F.coalesce(F.col("_rows"), F.lit(1))
     n_cols = F.coalesce(F.col("_cols"), F.lit(1))
     a = left.join(cuts, keys, "left").withColumn("_row", _slot_of(left_spread, n_rows))
