@@ -1,0 +1,22 @@
+"""Stages of the corpus pipeline and the run over all of them."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from quayside.llm.simhash import drop_near_duplicates
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_near_duplicates(docs)
+
+
+STAGES = [("simhash_near_dedup", near_dedup)]
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
+    return docs
