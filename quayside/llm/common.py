@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,7 +45,7 @@ def texts_of(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray
         column = column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
     column = column.cast(pa.large_binary())
     if column.null_count:
-        column = pa.compute.fill_null(column, b"")
+        column = pc.fill_null(column, b"")
     if len(column) == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()
@@ -125,3 +127,23 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+
+
+def range_cuts(ids: DataFrame, column: str, parts: int) -> np.ndarray:
+    """At most ``parts`` - 1 numbers that cut the ids into ranges of about equal numbers of rows."""
+    if parts < 2:
+        return np.zeros(0, np.int64)
+    wanted = [i / parts for i in range(1, parts)]
+    found = ids.agg(F.percentile_approx(column, wanted, 20 * parts)).first()[0]
+    return np.unique(np.array(found or [], dtype=np.int64))
+
+
+def range_of(column: Column, cuts: np.ndarray) -> Column:
+    """Number of the range an id falls in; a null id is in the last."""
+
+    @F.pandas_udf("int")
+    def number(ids: pd.Series) -> pd.Series:
+        at = np.searchsorted(cuts, ids.fillna(0).to_numpy().astype(np.int64), "left")
+        return pd.Series(np.where(ids.isna(), len(cuts), at).astype(np.int32))
+
+    return number(column)

@@ -14,6 +14,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm.substrings import find_repeats
+
+    found = find_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quayside.llm.simhash import simhash_groups
 
@@ -21,8 +28,17 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm.mixing import mix_report, mix_sources
+
+    report = mix_report(mix_sources(_table(spark, sf_dir, "documents")))
+    return report.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_source_mixing": op10_source_mixing,
 }
 
 ORACLES: dict[str, str] = {}
