@@ -14,6 +14,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of an installed public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quayside.llm.substrings import find_repeats
 
@@ -21,6 +28,37 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
+    from quayside.llm.sentencepiece_fst import crc_of_ids, decode_column, encode_documents, read_model
+
+    model = read_model(model_path or tokenizer_path("piece_bpe_32k.model"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("original"))
+    coded = encode_documents(docs, model)
+    decoded = decode_column(F.col("ids"), model, spark)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        "n_fallback",
+        crc_of_ids(F.col("ids")).alias("ids_crc32"),
+        (decoded == F.coalesce("original", F.lit(""))).alias("round_trip"),
+    )
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm import toxicity
+    from quayside.llm.common import in_fold
+
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        in_fold(F.col("doc_id"), toxicity.FOLDS, toxicity.HELD_OUT).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quayside.llm.simhash import simhash_groups
 
@@ -37,6 +75,8 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op6_sentencepiece": op6_sentencepiece,
+    "op7_toxicity": op7_toxicity,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_source_mixing": op10_source_mixing,
 }
