@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from quayside.llm.common import ROW, binary_array, n_partitions, packed, range_cuts, range_of
 
 CHUNK_BYTES = 4 << 20
-_MANY = 8
+# Chunks and buckets per partition: messages number chunks times buckets.
+_MANY = 2
 # kind 0: questions and answers; kind 1: what a chunk passes on to its own next pass.
 MESSAGE = "bucket int, chunk int, kind int, data binary, more binary"
 _KEY_BITS = 40
@@ -44,7 +45,7 @@ class Chunks:
         )
         size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         self.chunks = max(_MANY * self.tasks, -(-size // chunk_bytes))
-        self.buckets = 4 * self.tasks
+        self.buckets = _MANY * self.tasks
         if ordered:
             cuts = range_cuts(given, "doc_id", self.chunks)
             ids = given.withColumn("chunk", range_of(F.col("doc_id"), cuts))
