@@ -28,6 +28,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm.near_vectors import near_vectors
+
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
     from quayside.llm.sentencepiece_fst import crc_of_ids, decode_column, encode_documents, read_model
 
@@ -75,6 +81,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_toxicity": op7_toxicity,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
