@@ -65,6 +65,13 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm.posting_lists import nearest
+
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quayside.llm.simhash import simhash_groups
 
@@ -84,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_toxicity": op7_toxicity,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_source_mixing": op10_source_mixing,
 }
