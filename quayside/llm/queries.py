@@ -34,6 +34,19 @@ def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    from uuid import uuid4
+
+    from quayside.llm.token_files import read_tokens, token_digest, write_tokens
+    from quayside.session import shared_folder
+
+    with open(tokenizer or tokenizer_path("byte_bpe_50k.json"), "rb") as file:
+        json_bytes = file.read()
+    path = f"{shared_folder(spark).rstrip('/')}/tokens-{uuid4().hex}"
+    write_tokens(_table(spark, sf_dir, "documents"), json_bytes, path)
+    return token_digest(read_tokens(spark, path))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
     from quayside.llm.sentencepiece_fst import crc_of_ids, decode_column, encode_documents, read_model
 
@@ -89,6 +102,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
+    "op3_token_files": op3_token_files,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_toxicity": op7_toxicity,
     "op8_nearest_neighbours": op8_nearest_neighbours,
