@@ -22,11 +22,12 @@ from quayside.llm.common import ROW, binary_array, n_partitions, packed, range_c
 CHUNK_BYTES = 4 << 20
 # Chunks and buckets per partition: messages number chunks times buckets.
 _MANY = 2
-# kind 0: questions and answers; kind 1: what a chunk passes on to its own next pass.
+# kind 1: what a chunk passes on to its own next pass; other kinds: questions and their answers.
+KEEP = 1
 MESSAGE = "bucket int, chunk int, kind int, data binary, more binary"
 _KEY_BITS = 40
 
-Send = Callable[[int, pa.Table, dict], pa.RecordBatch]
+Send = Callable[[int, pa.Table, dict], list[pa.RecordBatch]]
 Settle = Callable[[pa.Table], pa.RecordBatch]
 
 
@@ -56,7 +57,7 @@ class Chunks:
     def first_round(self, send: Send) -> DataFrame:
         def run(key, table):
             chunk = key[0].as_py()
-            return pa.Table.from_batches([send(chunk, in_order(table), {})])
+            return pa.Table.from_batches(send(chunk, in_order(table), {}))
 
         return self.docs.groupBy("chunk").applyInArrow(run, MESSAGE)
 
@@ -75,23 +76,24 @@ class Chunks:
                 rows = rows[np.argsort(buckets[rows], kind="stable")]
                 part = told.take(pa.array(rows))
                 got[int(kind)] = (joined(part["data"]), joined(part["more"]))
-            return pa.Table.from_batches([send(chunk, in_order(docs), got)])
+            return pa.Table.from_batches(send(chunk, in_order(docs), got))
 
         told = answers.repartition(self.tasks, "chunk").groupBy("chunk")
         return self.docs.groupBy("chunk").cogroup(told).applyInArrow(run, schema)
 
-    def settle(self, messages: DataFrame, answer: Settle) -> DataFrame:
-        """``answer`` gets the questions of one bucket and returns their answers; what a chunk keeps for
-        itself goes through unchanged."""
+    def settle(self, messages: DataFrame, settlers: dict[int, Settle]) -> DataFrame:
+        """A settler gets the questions of its kind in one bucket, in the order of chunks, and returns
+        their answers; what a chunk keeps for itself goes through unchanged."""
 
         def run(key, table):
             table = table.combine_chunks()
             kinds = table["kind"].to_numpy()
-            asked = table.filter(pa.array(kinds == 0))
-            out = [table.filter(pa.array(kinds != 0))]
-            if asked.num_rows:
-                order = np.argsort(asked["chunk"].to_numpy(), kind="stable")
-                out.append(pa.Table.from_batches([answer(asked.take(pa.array(order)))]).cast(out[0].schema))
+            out = [table.filter(pa.array(kinds == KEEP))]
+            for kind, settler in settlers.items():
+                asked = table.filter(pa.array(kinds == kind))
+                if asked.num_rows:
+                    order = np.argsort(asked["chunk"].to_numpy(), kind="stable")
+                    out.append(pa.Table.from_batches([settler(asked.take(pa.array(order)))]).cast(out[0].schema))
             return pa.concat_tables(out)
 
         return messages.repartition(self.tasks, "bucket").groupBy("bucket").applyInArrow(run, MESSAGE)
@@ -107,39 +109,41 @@ def bucket_bounds(n_buckets: int, hashes: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def questions(
-    n_buckets: int,
-    chunk: int,
-    hashes: np.ndarray,
-    data: np.ndarray,
-    more: np.ndarray | None = None,
-    keep: np.ndarray | None = None,
+    n_buckets: int, chunk: int, hashes: np.ndarray, data: np.ndarray, more: np.ndarray | None = None,
+    kind: int = 0, to_all: bool = False,
 ) -> pa.RecordBatch:
-    """Messages about sorted ``hashes``: ``data`` and ``more`` are byte matrices with one row per
-    hash; ``keep`` are bytes for the chunk's next pass."""
+    """Messages about sorted ``hashes``: ``data`` and ``more`` are byte matrices with one row per hash.
+    ``to_all`` sends one to every bucket, even without a question."""
     buckets, bounds = bucket_bounds(n_buckets, hashes)
+    if to_all:
+        counts = np.zeros(n_buckets, np.int64)
+        counts[buckets] = np.diff(bounds)
+        buckets, bounds = np.arange(n_buckets, dtype=np.int32), np.concatenate([[0], np.cumsum(counts)])
     n = len(buckets)
-    own = 0 if keep is None else 1
-    width = data.shape[1]
-    data_off = bounds * width
-    more_bytes = np.zeros(0, np.uint8) if more is None else np.ascontiguousarray(more).reshape(-1)
-    more_off = bounds * (0 if more is None else more.shape[1])
-    flat = np.ascontiguousarray(data).reshape(-1)
-    if own:
-        flat = np.concatenate([flat, keep])
-        data_off = np.append(data_off, len(flat))
-        more_off = np.append(more_off, more_off[-1])
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(np.append(buckets, [chunk % n_buckets] * own).astype(np.int32)),
-            pa.array(np.full(n + own, chunk, np.int32)),
-            pa.array(np.append(np.zeros(n, np.int32), [1] * own).astype(np.int32)),
-            binary_array(flat, data_off),
-            binary_array(more_bytes, more_off),
+            pa.array(buckets.astype(np.int32)),
+            pa.array(np.full(n, chunk, np.int32)),
+            pa.array(np.full(n, kind, np.int32)),
+            binary_array(np.ascontiguousarray(data).reshape(-1), bounds * data.shape[1]),
+            binary_array(
+                np.zeros(0, np.uint8) if more is None else np.ascontiguousarray(more).reshape(-1),
+                bounds * (0 if more is None else more.shape[1]),
+            ),
         ],
         names=["bucket", "chunk", "kind", "data", "more"],
     )
 
 
+def keep(n_buckets: int, chunk: int, data: bytes) -> pa.RecordBatch:
+    """What the chunk passes on to its own next pass, by way of some bucket."""
+    ints = [pa.array([v], pa.int32()) for v in (chunk % n_buckets, chunk, KEEP)]
+    return pa.RecordBatch.from_arrays(
+        [*ints, pa.array([data], pa.binary()), pa.array([b""], pa.binary())],
+        names=["bucket", "chunk", "kind", "data", "more"],
+    )
+
+
 def in_order(docs: pa.Table) -> pa.Table:
     """Documents by (id, text), null ids last: the same order in each pass."""
     return docs.sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks()

@@ -47,6 +47,20 @@ def op3_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = No
     return token_digest(read_tokens(spark, path))
 
 
+def op4_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm.suffix_tree import score_documents
+
+    return score_documents(_table(spark, sf_dir, "documents"))
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quayside.llm import html_text
+
+    pages = _table(spark, sf_dir, "pages")
+    found = html_text.extract_pages(pages.select("page_id", "url", "html"), html_text.fit(pages))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
     from quayside.llm.sentencepiece_fst import crc_of_ids, decode_column, encode_documents, read_model
 
@@ -103,6 +117,8 @@ QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_token_files": op3_token_files,
+    "op4_suffix_tree_scores": op4_suffix_tree_scores,
+    "op5_html_text": op5_html_text,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_toxicity": op7_toxicity,
     "op8_nearest_neighbours": op8_nearest_neighbours,

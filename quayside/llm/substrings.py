@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.chunks import Chunks, answers, joined, lengths, narrow, questions, widen
+from quayside.llm.chunks import KEEP, Chunks, answers, joined, keep, lengths, narrow, questions, widen
 from quayside.llm.common import ROW, texts_of
 from quayside.llm.wordhash import Words, windows
 
@@ -111,7 +111,7 @@ def find_repeats(
         words = Words(*texts_of(table["text"]))
         distinct, flags, _, _ = _probes(words, block)
         keys = (distinct << np.uint64(2)) | flags
-        return questions(buckets, chunk, distinct, narrow(keys, _KEY))
+        return [questions(buckets, chunk, distinct, narrow(keys, _KEY))]
 
     def extend(chunk, table, got):
         words = Words(*texts_of(table["text"]))
@@ -121,13 +121,16 @@ def find_repeats(
         a, b, _, _ = _window_groups(words, window, starts)
         mask = np.zeros(len(words), bool)
         mask[starts] = True
-        return questions(buckets, chunk, a, narrow(a, _KEY), narrow(b, 4), keep=np.packbits(mask))
+        return [
+            questions(buckets, chunk, a, narrow(a, _KEY), narrow(b, 4)),
+            keep(buckets, chunk, np.packbits(mask).tobytes()),
+        ]
 
     def cut(chunk, table, got):
         words = Words(*texts_of(table["text"]))
         starts = np.zeros(0, np.int64)
-        if 1 in got:
-            starts = np.flatnonzero(np.unpackbits(got[1][0], count=len(words)))
+        if KEEP in got:
+            starts = np.flatnonzero(np.unpackbits(got[KEEP][0], count=len(words)))
         removed = np.zeros(len(words) + 1, np.int64)
         if len(starts):
             _, _, group, first = _window_groups(words, window, starts)
@@ -135,7 +138,7 @@ def find_repeats(
             np.add.at(removed, again, 1)
             np.subtract.at(removed, again + window, 1)
         gone = np.cumsum(removed)[:-1] > 0
-        return _result(table, words, gone)
+        return [_result(table, words, gone)]
 
     fields = {f.name: f for f in chunks.docs.schema.fields}
     row_type = fields[ROW].dataType.simpleString()
@@ -144,9 +147,9 @@ def find_repeats(
         "spans array<struct<start:int,length:int>>, kept_text string"
     )
     probes = chunks.first_round(probe)
-    hits = chunks.settle(probes, _settle_probes)
+    hits = chunks.settle(probes, {0: _settle_probes})
     asked = chunks.next_round(hits, extend)
-    told = chunks.settle(asked, _settle_windows)
+    told = chunks.settle(asked, {0: _settle_windows})
     return chunks.next_round(told, cut, schema)
 
 
