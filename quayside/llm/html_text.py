@@ -37,7 +37,7 @@ BLOCKS = frozenset(
     "form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody "
     "td tfoot th thead tr ul".split()
 )
-ZONES = frozenset("article aside dialog div footer form header main menu nav section table td ul ol figure details".split())
+ZONES = frozenset("article aside dialog div footer form main menu nav section table td ul ol figure details".split())
 UNSEEN = frozenset("head title script style noscript template iframe object svg math canvas audio video textarea select button".split())
 RAW = frozenset("script style noscript iframe textarea title template xmp".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -56,7 +56,8 @@ _PARTS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 
 @dataclass(frozen=True)
 class Token:
-    """A tag (no text) or the text between two tags; ``zone`` and ``block`` tell where it stands."""
+    """A tag (no text) or the text between two tags; ``zone`` and ``block`` tell where it stands.
+    ``aside`` is true in what stands apart inside a content zone, such as an advert in an article."""
 
     text: str | None
     zone: str
@@ -64,6 +65,7 @@ class Token:
     marked: bool
     breaks: bool
     hidden: bool
+    aside: bool
 
 
 def _zone(tag: str, attributes: str) -> str:
@@ -75,14 +77,14 @@ def tokens_of(page: str) -> Iterator[Token]:
     """Tokens of a page in order. Unclosed elements end with the element around them; what scripts,
     styles and comments hold is not text."""
     stack: list[tuple[str, str]] = []
-    zone, block, marked, hidden = "body", "body", 0, 0
+    zone, block, marked, hidden, aside = "body", "body", 0, 0, False
     raw: str | None = None
     for found in _TOKEN.finditer(page):
         tag = found[2]
         if tag is None:
             text = found[0]
             if raw is None and not text.startswith(("<!", "<?")):
-                yield Token(html.unescape(text), zone, block, marked > 0, False, hidden > 0)
+                yield Token(html.unescape(text), zone, block, marked > 0, False, hidden > 0, aside)
             continue
         tag = tag.lower()
         if raw is not None and not (found[1] and tag == raw):
@@ -104,12 +106,16 @@ def tokens_of(page: str) -> Iterator[Token]:
             stack.append((tag, _zone(tag, found[3])))
             raw = tag if tag in RAW else None
         zone = next((z for t, z in reversed(stack) if t in ZONES), "body")
-        apart = next((z for t, z in stack if _opinion(z) < 0), None)
-        zone = apart if apart is not None else zone
+        content = aside = False
+        for _, name in stack:
+            if _opinion(name) < 0 and not (content and name == "header"):
+                zone, aside = name, content
+                break
+            content |= _opinion(name) >= PRIOR
         block = next((t for t, _ in reversed(stack) if t in BLOCKS), "body")
         marked = sum(t in MARKED for t, _ in stack)
         hidden = sum(t in UNSEEN for t, _ in stack)
-        yield Token(None, zone, block, marked > 0, tag in BLOCKS, hidden > 0)
+        yield Token(None, zone, block, marked > 0, tag in BLOCKS, hidden > 0, aside)
 
 
 def _opinion(zone: str) -> float:
@@ -143,7 +149,8 @@ class PageModel:
 
 def extract(page: str | None, model: PageModel) -> str:
     """Text of the best run: its blocks joined by one newline, white space inside a block turned into one
-    space. Words of places that speak against content are left out inside the run too."""
+    space. Inside the run, words of places that speak against content are left out; those that stand apart
+    in a content zone weigh no more than a tag."""
     tokens = list(tokens_of(page or ""))
     best, best_at, total, begin = 0.0, (0, 0), 0.0, 0
     weights: dict[tuple[str, str], float] = {}
@@ -155,7 +162,8 @@ def extract(page: str | None, model: PageModel) -> str:
             key = (token.zone, token.block)
             if key not in weights:
                 weights[key] = model.weight(*key)
-            score = 0.0 if not token.text.strip() else -8.0 if token.hidden else weights[key] * len(token.text.split())
+            words = len(token.text.split())
+            score = TAG_WEIGHT * (words > 0) if token.hidden or token.aside else weights[key] * words
         scores.append(score)
         if total <= 0:
             total, begin = 0.0, i
@@ -168,7 +176,7 @@ def extract(page: str | None, model: PageModel) -> str:
             if token.breaks:
                 blocks.append(current)
                 current = []
-        elif score >= 0:
+        elif score >= 0 and not token.hidden and not token.aside:
             current.append(token.text)
     blocks.append(current)
     lines = (" ".join("".join(b).split()) for b in blocks)
@@ -180,7 +188,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for page in batch.column(0).to_pylist():
             for token in tokens_of(page or ""):
-                if token.text is not None and not token.hidden and (n := len(token.text.split())):
+                if token.text is not None and not token.hidden and not token.aside and (n := len(token.text.split())):
                     counts[(token.zone, token.block, token.marked)] += n
     keys = sorted(counts)
     yield pa.RecordBatch.from_arrays(
