@@ -169,7 +169,7 @@ def fit(
     )
     sample = checkpointed(
         docs.select(docs[id_col].cast("long").alias("_qs_doc"), docs[text_col].cast("string").alias("text"))
-        .join(known, F.col("_qs_doc") == F.col("_qs_id"))
+        .join(F.broadcast(known), F.col("_qs_doc") == F.col("_qs_id"))
         .select("text", F.col("_qs_label").alias("label"))
     )
     sides = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
