@@ -32,8 +32,10 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 # Weight of a character that no piece covers, beyond that of any piece.
 FALLBACK_WEIGHT = 10.0
-# Segments and pairs of pieces remembered by a worker before it starts anew.
-REMEMBERED = 400_000
+# Segments, and pairs of pieces, remembered by a worker: two generations of at most so many each.
+REMEMBERED = 100_000
+# Documents encoded at a time.
+SLICE_ROWS = 256
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -67,6 +69,27 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
         yield tag >> 3, value
 
 
+class _Memory:
+    """A bounded memory: when the young generation is full it becomes the old one, which is forgotten;
+    what is met again in the old one is young anew."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.most:
+            self.young, self.old = {}, self.young
+        self.young[key] = value
+
+
 class PieceTransducer:
     """The compiled machines of one model."""
 
@@ -99,8 +122,8 @@ class PieceTransducer:
         # Inputs may be cut before a run of spaces if no piece goes on across such a place.
         across = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         self.cut = None if across else re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        self._segments: dict[str, np.ndarray] = {}
-        self._pairs: dict[tuple[str, str], bool] = {}
+        self._segments = _Memory(REMEMBERED)
+        self._pairs = _Memory(REMEMBERED)
 
     def _add(self, piece: str, score: float, kind: int) -> None:
         at = len(self.pieces)
@@ -144,12 +167,11 @@ class PieceTransducer:
     def compatible(self, before: str, piece: str) -> bool:
         """Whether BPE leaves the two pieces apart and whole when they meet; an empty ``before``
         asks for the piece alone."""
-        key = (before, piece)
+        key = f"{before}\n{piece}"
         known = self._pairs.get(key)
         if known is None:
-            if len(self._pairs) >= REMEMBERED:
-                self._pairs.clear()
-            known = self._pairs[key] = self._merged(before + piece) == ([before, piece] if before else [piece])
+            known = self._merged(before + piece) == ([before, piece] if before else [piece])
+            self._pairs.put(key, known)
         return known
 
     def _path(self, text: str) -> list[str]:
@@ -182,11 +204,9 @@ class PieceTransducer:
             end = came[end]
         return out[::-1]
 
-    def _segment(self, text: str) -> np.ndarray:
+    def _segment(self, text: str) -> bytes:
         known = self._segments.get(text)
         if known is None:
-            if len(self._segments) >= REMEMBERED:
-                self._segments.clear()
             out: list[int] = []
             for piece in self._path(text):
                 at = self.ids.get(piece)
@@ -198,7 +218,7 @@ class PieceTransducer:
                     out.append(self.unknown)
             known = np.array(out, dtype=np.int32).tobytes()
             if len(text) <= 64:
-                self._segments[text] = known
+                self._segments.put(text, known)
         return known
 
     def encode(self, text: str | None) -> np.ndarray:
@@ -207,7 +227,7 @@ class PieceTransducer:
         if not normal:
             return np.zeros(0, np.int32)
         segments = [normal] if self.cut is None else self.cut.findall(normal)
-        known = self._segments.get
+        known = self._segments.young.get
         return np.frombuffer(b"".join([known(s) or self._segment(s) for s in segments]), dtype=np.int32)
 
     def decode(self, ids) -> str:
@@ -253,15 +273,17 @@ def encode_documents(
         is_byte = np.zeros(len(machine.pieces), bool)
         is_byte[list(machine.byte_of)] = True
         for batch in batches:
-            found = [machine.encode(t) for t in batch.column(1).to_pylist()]
-            flat = np.concatenate([np.zeros(0, np.int32), *found])
-            bounds = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
-            total = np.concatenate([[0], np.cumsum(is_byte[flat])])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)),
-                 pa.array(total[bounds[1:]] - total[bounds[:-1]])],
-                names=[ROW, "ids", "n_fallback"],
-            )
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                found = [machine.encode(t) for t in part.column(1).to_pylist()]
+                flat = np.concatenate([np.zeros(0, np.int32), *found])
+                bounds = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
+                total = np.concatenate([[0], np.cumsum(is_byte[flat])])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)),
+                     pa.array(total[bounds[1:]] - total[bounds[:-1]])],
+                    names=[ROW, "ids", "n_fallback"],
+                )
 
     given = docs.select(packed(docs, text_col, ids, n_fallback), docs[text_col].cast("string").alias("text"))
     row_type = given.schema[ROW].dataType.simpleString()
@@ -286,8 +308,10 @@ def decode_column(column, model: bytes, spark):
 def crc_of_ids(column):
     """Unsigned crc32 of ids as little-endian unsigned 32-bit integers."""
 
-    @F.pandas_udf("long")
-    def crc(ids: pd.Series) -> pd.Series:
-        return pd.Series([None if x is None else zlib.crc32(np.asarray(x, dtype="<u4").tobytes()) for x in ids], dtype="Int64")
+    def crc(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for ids in parts:
+            found = [None if x is None else zlib.crc32(np.asarray(x, dtype="<u4").tobytes()) for x in ids]
+            yield pd.Series(found, dtype="Int64")
 
-    return crc(column)
+    crc.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return F.pandas_udf(crc, "long")(column)
