@@ -26,6 +26,7 @@ from quayside.llm.common import checkpointed
 SAMPLE_PAGES = 4_000
 MAX_KINDS = 20_000
 TAG_WEIGHT = -0.5
+INLINE_WEIGHT = -0.1
 # Log odds before anything is counted, and how many words that opinion counts for.
 PRIOR = 3.0
 PRIOR_WORDS = 4.0
@@ -157,7 +158,7 @@ def extract(page: str | None, model: PageModel) -> str:
     scores = []
     for i, token in enumerate(tokens):
         if token.text is None:
-            score = TAG_WEIGHT
+            score = TAG_WEIGHT if token.breaks else INLINE_WEIGHT
         else:
             key = (token.zone, token.block)
             if key not in weights:
