@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm.common import ROW, binary_array, n_partitions, packed, range_cuts, range_of
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 # Chunks and buckets per partition: messages number chunks times buckets.
 _MANY = 2
 # kind 1: what a chunk passes on to its own next pass; other kinds: questions and their answers.

@@ -19,7 +19,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
