@@ -1,6 +1,7 @@
 """Chunks of documents, and question rounds between chunks and buckets of hashed keys.
 
-A chunk holds whole documents, sent to its task once; later passes over it read the same shuffle files. In a
+A chunk holds whole documents, sent to its task once, as compressed Arrow data; later passes over it read the
+same shuffle files. In a
 round every chunk asks about the distinct keys of its documents, once each, however often they occur in
 it. Keys are split over buckets by their leading bits, so each bucket sees every chunk that has a
 key, settles it, and answers in the order asked. A key that a third of all documents hold costs
@@ -9,7 +10,7 @@ one entry per chunk.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,11 +18,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import ROW, binary_array, n_partitions, packed, range_cuts, range_of
+from quayside.llm.common import ROW, binary_array, n_partitions, packed, range_cuts
+from quayside.llm.wordhash import mix
 
 CHUNK_BYTES = 2 << 20
 # Chunks and buckets per partition: messages number chunks times buckets.
 _MANY = 2
+# Documents a task packs at a time.
+_PACK_BYTES = 16 << 20
 # kind 1: what a chunk passes on to its own next pass; other kinds: questions and their answers.
 KEEP = 1
 MESSAGE = "bucket int, chunk int, kind int, data binary, more binary"
@@ -45,29 +49,37 @@ class Chunks:
             packed(docs, text_col),
         )
         size = given.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        self.chunks = max(_MANY * self.tasks, -(-size // chunk_bytes))
+        self.row_type = given.schema[ROW].dataType.simpleString()
+        n_chunks = self.chunks = max(_MANY * self.tasks, -(-size // chunk_bytes))
         self.buckets = _MANY * self.tasks
-        if ordered:
-            cuts = range_cuts(given, "doc_id", self.chunks)
-            ids = given.withColumn("chunk", range_of(F.col("doc_id"), cuts))
-        else:
-            ids = given.withColumn("chunk", F.pmod(F.xxhash64("doc_id", ROW), self.chunks).cast("int"))
-        self.docs = ids.repartition(self.tasks, "chunk")
+        cuts = range_cuts(given, "doc_id", self.chunks) if ordered else None
+
+        def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, size = [], 0
+            for batch in batches:
+                held.append(batch)
+                size += batch.nbytes
+                if size >= _PACK_BYTES:
+                    yield _packed_by_chunk(held, n_chunks, cuts)
+                    held, size = [], 0
+            if held:
+                yield _packed_by_chunk(held, n_chunks, cuts)
+
+        self.docs = given.mapInArrow(dealt, "chunk int, docs binary").repartition(self.tasks, "chunk")
 
     def first_round(self, send: Send) -> DataFrame:
         def run(key, table):
             chunk = key[0].as_py()
-            return pa.Table.from_batches(send(chunk, in_order(table), {}))
+            return pa.Table.from_batches(send(chunk, unpacked(table), {}))
 
         return self.docs.groupBy("chunk").applyInArrow(run, MESSAGE)
 
     def next_round(self, answers: DataFrame, send: Send, schema: str = MESSAGE) -> DataFrame:
-        """``send`` gets the chunk, its documents and {kind: answers joined in the order asked}."""
+        """``send`` gets the chunk, its documents and {kind: answers joined in the order asked, and how
+        much of the second part each row brought}."""
 
         def run(key, docs, told):
             chunk = key[0].as_py()
-            if docs.num_rows == 0:
-                docs = docs.slice(0, 0)
             got = {}
             kinds = told["kind"].to_numpy()
             buckets = told["bucket"].to_numpy()
@@ -75,8 +87,8 @@ class Chunks:
                 rows = np.flatnonzero(kinds == kind)
                 rows = rows[np.argsort(buckets[rows], kind="stable")]
                 part = told.take(pa.array(rows))
-                got[int(kind)] = (joined(part["data"]), joined(part["more"]))
-            return pa.Table.from_batches(send(chunk, in_order(docs), got))
+                got[int(kind)] = (joined(part["data"]), joined(part["more"]), lengths(part["more"]))
+            return pa.Table.from_batches(send(chunk, unpacked(docs), got))
 
         told = answers.repartition(self.tasks, "chunk").groupBy("chunk")
         return self.docs.groupBy("chunk").cogroup(told).applyInArrow(run, schema)
@@ -144,6 +156,35 @@ def keep(n_buckets: int, chunk: int, data: bytes) -> pa.RecordBatch:
     )
 
 
+def _packed_by_chunk(batches: list[pa.RecordBatch], n_chunks: int, cuts: np.ndarray | None) -> pa.RecordBatch:
+    """One value of compressed Arrow data per chunk that has documents among ``batches``."""
+    table = pa.Table.from_batches(batches).combine_chunks()
+    missing = table["doc_id"].is_null().to_numpy()
+    ids = pc.fill_null(table["doc_id"], 0).to_numpy()
+    if cuts is None:
+        chunk = (mix(ids.astype(np.uint64)) % np.uint64(n_chunks)).astype(np.int32)
+    else:
+        chunk = np.where(missing, len(cuts), np.searchsorted(cuts, ids, "left")).astype(np.int32)
+    order = np.argsort(chunk, kind="stable")
+    table = table.take(pa.array(order))
+    chunk = chunk[order]
+    begin = np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1])) if len(chunk) else np.zeros(0, np.int64)
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
+    values = []
+    for s, e in zip(begin, np.append(begin[1:], len(chunk)), strict=True):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema, options=options) as writer:
+            writer.write_table(table.slice(s, e - s))
+        values.append(sink.getvalue().to_pybytes())
+    return pa.RecordBatch.from_arrays([pa.array(chunk[begin]), pa.array(values, pa.binary())], names=["chunk", "docs"])
+
+
+def unpacked(rows: pa.Table) -> pa.Table:
+    """The documents of a chunk in order."""
+    parts = [pa.ipc.open_stream(value.as_buffer()).read_all() for value in rows["docs"]]
+    return in_order(pa.concat_tables(parts))
+
+
 def in_order(docs: pa.Table) -> pa.Table:
     """Documents by (id, text), null ids last: the same order in each pass."""
     return docs.sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks()

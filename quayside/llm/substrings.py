@@ -140,10 +140,8 @@ def find_repeats(
         gone = np.cumsum(removed)[:-1] > 0
         return [_result(table, words, gone)]
 
-    fields = {f.name: f for f in chunks.docs.schema.fields}
-    row_type = fields[ROW].dataType.simpleString()
     schema = (
-        f"{ROW} {row_type}, doc_id long, text string, n_words long, n_removed long, "
+        f"{ROW} {chunks.row_type}, doc_id long, text string, n_words long, n_removed long, "
         "spans array<struct<start:int,length:int>>, kept_text string"
     )
     probes = chunks.first_round(probe)

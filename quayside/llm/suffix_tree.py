@@ -27,6 +27,8 @@ from quayside.llm.wordhash import Words, windows
 FOLDS = 7
 HELD_OUT = 2
 DEPTH = 2
+# Larger chunks than elsewhere: the more documents, the more often a word is asked for just once.
+CHUNK_BYTES = 4 << 20
 # Occurrences a context needs, and a next word needs to be in its distribution.
 MIN_CONTEXT = 16
 MIN_NEXT = 2
@@ -92,9 +94,27 @@ class _Counted:
         return out
 
 
-def _settle_counts(key_bytes: int, owner: bool, min_count: int):
-    """Sums the counts of equal keys. Answers are the sums as 8 bytes (nothing below ``min_count``), and which
-    chunk is the first to ask; each answer row also brings the bucket's tokens and distinct tokens."""
+_SMALL = 127
+
+
+def _short(counts: np.ndarray, owner: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Counts as one byte each, with those of 127 and more in a list besides; the top bit marks an owner."""
+    large = counts >= _SMALL
+    low = np.where(large, _SMALL, counts).astype(np.uint8)
+    if owner is not None:
+        low |= owner.astype(np.uint8) << 7
+    return low, large
+
+
+def _long(low: np.ndarray, large: np.ndarray) -> np.ndarray:
+    counts = (low & 127).astype(np.int64)
+    counts[counts == _SMALL] = large
+    return counts
+
+
+def _settle_counts(key_bytes: int, with_sums: bool, min_count: int):
+    """Sums the counts of equal keys. Answers are the sums (0 below ``min_count``) and, ``with_sums``, the
+    bucket's tokens and distinct tokens in each row, or else which chunk is the first to ask."""
 
     def settle(asked: pa.Table) -> pa.RecordBatch:
         keys = widen(joined(asked["data"]), key_bytes) if key_bytes < 8 else joined(asked["data"]).view("<u8")
@@ -105,15 +125,18 @@ def _settle_counts(key_bytes: int, owner: bool, min_count: int):
         begin = np.flatnonzero(np.append(True, value[1:] != value[:-1])) if len(value) else np.zeros(0, np.int64)
         total = np.add.reduceat(counts[order], begin) if len(value) else counts
         size = np.diff(np.append(begin, len(value)))
-        out = np.zeros(len(keys), np.uint64)
-        out[order] = np.repeat(np.where(total >= min_count, total, 0), size).astype(np.uint64)
-        if owner:
-            out[order[begin]] |= np.uint64(1 << 63)
-            return answers(asked, narrow(out, 8), None, per_row)
-        sums = np.array([total.sum(), (total > 0).sum()], dtype="<i8").view(np.uint8)
-        made = answers(asked, narrow(out, 8), None, per_row)
-        more = pa.array([sums.tobytes()] * asked.num_rows, pa.binary())
-        return pa.RecordBatch.from_arrays([*made.columns[:4], more], names=made.schema.names)
+        out = np.zeros(len(keys), np.int64)
+        out[order] = np.repeat(np.where(total >= min_count, total, 0), size)
+        owner = None
+        if not with_sums:
+            owner = np.zeros(len(keys), bool)
+            owner[order[begin]] = True
+        low, large = _short(out, owner)
+        sums = np.array([total.sum(), (total > 0).sum()], dtype="<i8").tobytes() if with_sums else b""
+        ends = np.cumsum(per_row)
+        more = [sums + out[s:e][large[s:e]].astype("<i8").tobytes() for s, e in zip(ends - per_row, ends, strict=True)]
+        made = answers(asked, low.reshape(-1, 1), None, per_row)
+        return pa.RecordBatch.from_arrays([*made.columns[:4], pa.array(more, pa.binary())], names=made.schema.names)
 
     return settle
 
@@ -133,7 +156,7 @@ def _settle_states(asked: pa.Table) -> pa.RecordBatch:
 
 
 def _pack(state: dict) -> bytes:
-    return zlib.compress(pickle.dumps(state, protocol=5), 1)
+    return zlib.compress(pickle.dumps(state, protocol=5), 4)
 
 
 def _unpack(data: np.ndarray) -> dict:
@@ -151,33 +174,20 @@ class _Model:
         self.prob = None
         if "words" not in state:
             return
-        self._have(1, _Counted(tokens, 1, np.arange(n)), state["words"])
+        self._have(1, _Counted(tokens, 1, np.arange(n)), _long(*state["words"]))
         self.total, self.distinct = state["total"], state["distinct"]
         self.prob = (self.count[1] + 1.0) / (self.total + self.distinct + 1.0)
         for d in range(1, s.depth + 1):
             if f"runs{d}" not in state:
                 break
-            self._have(d + 1, self.ask_runs(d), self._full(state[f"runs{d}"]))
+            self._have(d + 1, self.ask_runs(d), _long(*state[f"runs{d}"]))
             if f"states{d}" not in state:
                 break
             self.prob = self._deeper(d, self.prob, self.ask_states(d), state[f"states{d}"])
 
     def _have(self, n: int, counted: _Counted, values: np.ndarray) -> None:
         self.runs[n] = counted
-        self.count[n] = counted.spread(values.astype(np.int64), len(self.t.hash))
-
-    @staticmethod
-    def thin(values: np.ndarray):
-        """Sparse form of mostly empty answers."""
-        some = values != 0
-        return np.packbits(some), len(values), values[some]
-
-    @staticmethod
-    def _full(thin) -> np.ndarray:
-        bits, n, some = thin
-        out = np.zeros(n, np.int64)
-        out[np.flatnonzero(np.unpackbits(bits, count=n))] = some
-        return out
+        self.count[n] = counted.spread(values, len(self.t.hash))
 
     def ask_runs(self, d: int) -> _Counted:
         """Runs of d + 1 tokens whose context is frequent enough and whose last d tokens may count."""
@@ -233,7 +243,7 @@ def score_documents(
     are told apart by 64-bit hashes, longer runs by 40 bits and their bucket.
     """
     s = settings or Settings()
-    chunks = Chunks(docs, id_col, text_col, ordered=False)
+    chunks = Chunks(docs, id_col, text_col, ordered=False, chunk_bytes=CHUNK_BYTES)
     buckets = chunks.buckets
 
     def counts_of(counted: _Counted, chunk: int, key_bytes: int, to_all: bool = False) -> pa.RecordBatch:
@@ -248,13 +258,18 @@ def score_documents(
         """The model after the answers of pass ``d``, and which of the newest runs the chunk owns."""
         state = _unpack(got[KEEP][0]) if KEEP in got else {}
         owned = None
+        none = np.zeros(0, np.uint8)
+        low, more, sizes = got.get(_COUNTS, (none, none, np.zeros(0, np.int64)))
         if d == 1:
-            sums = got[_COUNTS][1].view("<i8").reshape(-1, 2).sum(axis=0)
-            state |= {"words": got[_COUNTS][0].view("<u8").astype(np.int64), "total": int(sums[0]), "distinct": int(sums[1])}
+            # Each row begins with the two sums of its bucket.
+            more = more.view("<i8")
+            head = (np.cumsum(sizes) - sizes) // 8
+            total, distinct = int(more[head].sum()), int(more[head + 1].sum())
+            large = np.delete(more, np.concatenate([head, head + 1]))
+            state |= {"words": (low, large), "total": total, "distinct": distinct}
         else:
-            told = got[_COUNTS][0].view("<u8") if _COUNTS in got else np.zeros(0, np.uint64)
-            owned = (told >> np.uint64(63)).astype(bool)
-            state[f"runs{d - 1}"] = _Model.thin((told & np.uint64((1 << 63) - 1)).astype(np.int64))
+            owned = (low >> 7).astype(bool)
+            state[f"runs{d - 1}"] = (low & 127, more.view("<i8"))
         if d > 2:
             state[f"states{d - 2}"] = (got[_STATES][0] if _STATES in got else np.zeros(0, np.uint8)).view("<f4").reshape(-1, 3)
         return _Model(_Tokens(table, s), s, state), owned
@@ -298,8 +313,8 @@ def score_documents(
         ]
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    told = chunks.settle(chunks.first_round(ask_words), {_COUNTS: _settle_counts(8, False, 0)})
-    settlers = {_COUNTS: _settle_counts(_NGRAM_KEY, True, s.min_next), _STATES: _settle_states}
+    told = chunks.settle(chunks.first_round(ask_words), {_COUNTS: _settle_counts(8, True, 0)})
+    settlers = {_COUNTS: _settle_counts(_NGRAM_KEY, False, s.min_next), _STATES: _settle_states}
     for d in range(1, s.depth + 2):
         told = chunks.settle(chunks.next_round(told, pass_number(d)), settlers)
     return chunks.next_round(told, finish, schema)
