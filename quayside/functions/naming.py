@@ -78,11 +78,15 @@ def snake_case_json(document: Column) -> Column:
     """Rename the keys of a JSON text at every depth.
 
     A key is a quoted string in front of a colon; whole string literals are consumed first, so
-    quoted text inside values is never taken for a key.
+    quoted text inside values is never taken for a key. Escaped backslashes and quotes are kept out of the way as
+    control characters, which JSON text cannot hold: then a literal is a run without quotes, and matching it
+    takes no stack, however long it is.
     """
-    token = r'("(?:[^"\\]|\\.)*"\s*:|"(?:[^"\\]|\\.)*"|[^"]+)'
-    pieces = F.regexp_extract_all(document, F.lit(token), F.lit(1))
-    is_key = lambda piece: piece.rlike(r'(?s)^".*:$')
-    return F.array_join(
+    hidden = F.replace(F.replace(document, F.lit("\\\\"), F.lit("\x02")), F.lit('\\"'), F.lit("\x01"))
+    token = r'("[^"]*+"\s*+:|"[^"]*+"|[^"]++)'
+    pieces = F.regexp_extract_all(hidden, F.lit(token), F.lit(1))
+    is_key = lambda piece: piece.startswith('"') & piece.endswith(":")
+    renamed = F.array_join(
         F.transform(pieces, lambda p: F.when(is_key(p), camel_to_snake(p)).otherwise(p)), ""
     )
+    return F.replace(F.replace(renamed, F.lit("\x01"), F.lit('\\"')), F.lit("\x02"), F.lit("\\\\"))

@@ -22,6 +22,8 @@ PIPELINE_REQUIRED = ("company_id", "company_name", "revenue", "industry", "state
 
 _STRICT = {"allowSingleQuotes": "false"}
 _END = "_end"
+# A number that VARIANT may round: with an exponent, or with more than 37 digits and points.
+_INEXACT = r"((?:\d[\d.]*+[eE][+-]?\d++)|(?:\d[\d.]{37,}+))"
 IS_OBJECT = "is_object"
 
 
@@ -35,7 +37,8 @@ def with_content_key(
     """Add the hex SHA-256 of the payload without the excluded top-level fields.
 
     Field order does not matter: VARIANT objects keep their keys sorted at every level, so
-    writing one out is canonical. Text that is no JSON object is hashed as it is.
+    writing one out is canonical. Text that is no JSON object is hashed as it is. VARIANT holds numbers with an
+    exponent or of over 38 digits as DOUBLE; such numbers are hashed besides, as they are written.
     """
     exclude = tuple(exclude)
     text = F.col(payload)
@@ -50,6 +53,8 @@ def with_content_key(
         content = F.to_json(F.map_filter(fields, lambda name, _: ~name.isin(*exclude)))
     else:
         content = F.try_variant_get(value, "$", "string")
+    inexact = F.array_join(F.array_sort(F.regexp_extract_all(text, F.lit(_INEXACT), F.lit(1))), " ")
+    content = F.when(text.rlike(_INEXACT), F.concat(content, F.lit("\n"), inexact)).otherwise(content)
     canonical = F.when(whole & F.schema_of_variant(value).startswith("OBJECT"), content)
     # Never null, so that joins on the key add no null filter; pushed down, that filter would
     # parse and hash every payload again.

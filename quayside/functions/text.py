@@ -65,5 +65,20 @@ def zip_prefix(c: Column, length: int = 5) -> Column:
 
 
 def quoted(c: Column) -> Column:
-    """Text in single quotes for messages."""
-    return F.concat(F.lit("'"), c, F.lit("'"))
+    """Text in quotes for messages, as Python writes a string: in double quotes when it holds a
+    single quote and no double one, with backslashes, line ends, tabs and control characters escaped."""
+    text = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    for char, written in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        text = F.replace(text, F.lit(char), F.lit(written))
+    code = lambda ch: F.lower(F.lpad(F.hex(F.ascii(ch)), 2, "0"))
+    hidden = r"[\x00-\x1f\x7f-\u00a0\u00ad]"
+    escaped = F.array_join(
+        F.transform(F.split(text, ""), lambda ch: F.when(ch.rlike(hidden), F.concat(F.lit("\\x"), code(ch))).otherwise(ch)), ""
+    )
+    text = F.when(text.rlike(hidden), escaped).otherwise(text)
+    single, double = c.contains("'"), c.contains('"')
+    return (
+        F.when(single & ~double, F.concat(F.lit('"'), text, F.lit('"')))
+        .when(single, F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("\\'")), F.lit("'")))
+        .otherwise(F.concat(F.lit("'"), text, F.lit("'")))
+    )

@@ -29,6 +29,8 @@ def _seconds(ts: Column) -> Column:
 
 # Comes before every time bucket; holds what earlier batches of a stream left.
 _CARRIED_BUCKET = -(1 << 62)
+# Rows without a time come before all that have one.
+_TIMELESS_BUCKET = _CARRIED_BUCKET + 1
 
 
 def _summaries(numbered: DataFrame, carried: DataFrame | None) -> DataFrame:
@@ -70,20 +72,22 @@ def failure_runs(
 ) -> DataFrame:
     """Add ``failure_run``: failures in a row up to and including the row, 0 after a success.
 
-    ``outcomes`` has dependency, seq, ts and ok; ``seq`` breaks ties of equal times. The added
+    ``outcomes`` has dependency, seq, ts and ok; ``seq`` breaks ties of equal times. No row is lost: a null
+    dependency is one of its own, and rows with a null time come first. The added
     ``previous_ts`` and ``previous_run`` describe the row before. ``carried`` (dependency,
     failure_run, ts) tells how an earlier part of the log ended, see ``last_runs``.
     """
-    bucket = F.floor(_seconds(F.col("ts")) / bucket_seconds).alias("_bucket")
+    bucket = F.coalesce(F.floor(_seconds(F.col("ts")) / bucket_seconds), F.lit(_TIMELESS_BUCKET)).alias("_bucket")
     rows = outcomes.select("dependency", "seq", "ts", "ok", bucket)
     order = W.partitionBy("dependency", "_bucket").orderBy("ts", "seq")
     numbered = rows.withColumn("_n", F.row_number().over(order))
     last_ok = F.max(F.when(F.col("ok"), F.col("_n"))).over(
         order.rowsBetween(W.unboundedPreceding, W.currentRow)
     )
-    joined = numbered.withColumn("_last_ok", last_ok).join(
-        _summaries(numbered, carried), ["dependency", "_bucket"]
-    )
+    before = _summaries(numbered, carried).withColumnRenamed("dependency", "_of").withColumnRenamed("_bucket", "_in")
+    # Null-safe: rows without a dependency are a circuit of their own.
+    same = F.col("dependency").eqNullSafe(F.col("_of")) & (F.col("_bucket") == F.col("_in"))
+    joined = numbered.withColumn("_last_ok", last_ok).join(before, same)
     run = F.col("_n") - F.coalesce(F.col("_last_ok"), -F.col("_run_in"))
     with_run = joined.withColumn("failure_run", F.when(F.col("ok"), F.lit(0)).otherwise(run))
     return with_run.select(
@@ -142,7 +146,8 @@ def last_runs(states: DataFrame, carried: DataFrame | None = None) -> DataFrame:
     ).select("dependency", F.col("_end.failure_run").alias("failure_run"), F.col("_end.ts").alias("ts"))
     if carried is None:
         return ends
-    return ends.unionByName(carried.join(ends, "dependency", "left_anti"))
+    gone_on = ends.select(F.col("dependency").alias("_of"))
+    return ends.unionByName(carried.join(gone_on, F.col("dependency").eqNullSafe(F.col("_of")), "left_anti"))
 
 
 def open_intervals(
@@ -169,18 +174,25 @@ def open_intervals(
 
 
 def mark_circuit_open(
-    rows: DataFrame, intervals: DataFrame, at: str, recovery_s: float = RECOVERY_SECONDS
+    rows: DataFrame,
+    intervals: DataFrame,
+    at: str,
+    dependency: Column,
+    recovery_s: float = RECOVERY_SECONDS,
 ) -> DataFrame:
-    """Add ``circuit_open``: whether the row's time lies in one of a dependency's intervals.
+    """Add ``circuit_open``: whether the row's time lies in an interval of the row's ``dependency``
+    (a column, or a literal for a call that always goes to the same one).
 
     Times are cut into slices of the recovery time, so an interval touches two slices at most
-    and the range join becomes an equality join.
+    and the range join becomes an equality join. The intervals of a dependency do not overlap, so a
+    row meets one at most and none is doubled.
     """
 
     def slice_of(ts: Column) -> Column:
         return F.floor(_seconds(ts) / recovery_s)
 
     sliced = intervals.select(
+        F.col("dependency").alias("_of"),
         "open_from",
         "open_until",
         F.explode(F.sequence(slice_of(F.col("open_from")), slice_of(F.col("open_until")))).alias(
@@ -188,8 +200,9 @@ def mark_circuit_open(
         ),
     )
     inside = (F.col(at) >= F.col("open_from")) & (F.col(at) < F.col("open_until"))
-    left = rows.withColumn("_slice", slice_of(F.col(at)))
-    joined = left.join(sliced, (left["_slice"] == sliced["_slice"]) & inside, "left")
+    left = rows.withColumn("_slice", slice_of(F.col(at))).withColumn("_for", dependency)
+    same = (left["_slice"] == sliced["_slice"]) & F.col("_for").eqNullSafe(F.col("_of"))
+    joined = left.join(sliced, same & inside, "left")
     return joined.select(
         *[left[c] for c in rows.columns], F.col("open_from").isNotNull().alias("circuit_open")
     )

@@ -34,7 +34,7 @@ from quayside.functions.similarity import (
     within_distance,
 )
 from quayside.functions.text import normalise_company_name, token_sort, zip_prefix
-from quayside.operators.skew import SLICE_ROWS, fan_out_join, grid_join, is_small
+from quayside.operators.skew import SLICE_ROWS, grid_join
 from quayside.session import shared_folder
 
 SIMILARITY_THRESHOLD = 90.0
@@ -166,7 +166,6 @@ def similar_names(
     known: DataFrame,
     threshold: float = SIMILARITY_THRESHOLD,
     slice_rows: int = SLICE_ROWS,
-    balance: bool | None = None,
 ) -> DataFrame:
     """Best known name for each wanted (block, sorted_name); names without one are left out.
 
@@ -188,7 +187,6 @@ def similar_names(
         F.col("sorted_name"),
         F.col("known_name"),
         slice_rows,
-        balance,
     )
     x, y = F.col("sorted_name"), F.col("known_name")
     bound = max_distance(F.char_length(x), F.char_length(y), threshold)
@@ -219,33 +217,29 @@ def find_duplicates(
     prefix: int = ZIP_PREFIX_LENGTH,
     seq: str = "seq",
     slice_rows: int = SLICE_ROWS,
-    balance: bool | None = None,
 ) -> DataFrame:
     """One row per candidate: flag, matched id, score and name (null / 0.0 when none).
 
     Both sides have company_id, company_name, zip_code and an order column ``seq``.
     """
-    if balance is None:
-        balance = not (is_small(candidates) and is_small(existing))
     asked = with_block(candidates, prefix)
     known = distinct_names(with_block(existing, prefix), seq)
-    if balance:
-        # Needed three times, and much smaller than the records it comes from.
-        shared_folder(known.sparkSession)
-        known = known.checkpoint()
+    # Needed several times, and much smaller than the records it comes from.
+    shared_folder(known.sparkSession)
+    known = known.checkpoint()
     wanted = asked.filter(F.col("normalised_name") != "").select("block", "sorted_name").distinct()
-    best = similar_names(wanted, known, threshold, slice_rows, balance)
-    matches = best.join(
+    # A name that exists scores 100, which nothing beats: only the others are compared.
+    equal = wanted.join(known, ["block", "sorted_name"]).select(
+        "block", "sorted_name", F.lit(100.0).alias("score"), "matched_id", "matched_name"
+    )
+    others = wanted.join(known, ["block", "sorted_name"], "left_anti").checkpoint()
+    best = similar_names(others, known, threshold, slice_rows)
+    near = best.join(
         known.select("block", F.col("sorted_name").alias("known_name"), "matched_id", "matched_name"),
         ["block", "known_name"],
-    ).drop("known_name")
-    answered = fan_out_join(
-        asked.select(seq, "company_id", "block", "sorted_name"),
-        matches,
-        ["block", "sorted_name"],
-        spread_by=F.col(seq),
-        slice_rows=slice_rows,
-        balance=balance,
+    ).select("block", "sorted_name", "score", "matched_id", "matched_name")
+    answered = asked.select(seq, "company_id", "block", "sorted_name").join(
+        equal.unionByName(near), ["block", "sorted_name"], "left"
     )
     return answered.select(
         seq,

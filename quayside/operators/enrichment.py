@@ -2,35 +2,38 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.http import attempt_error_text, classify_http, enrichment_error_text
-from quayside.operators.skew import SLICE_ROWS, fan_out_join
+from quayside.functions.naming import snake_case_json
+from quayside.functions.text import quoted
 from quayside.session import shared_folder
 
 MAX_ATTEMPTS = 3
 
 
+def one_per_company(risk: DataFrame, key: str = "company_id", order: Sequence[str] = ()) -> DataFrame:
+    """One row per company: the last by ``order`` and then by the other columns in turn, nulls first."""
+    rest = [*order, *(c for c in risk.columns if c != key and c not in order)]
+    last = risk.groupBy(key).agg(F.max(F.struct(*rest)).alias("_last"))
+    return last.select(*[F.col(c) if c == key else F.col(f"_last.`{c}`").alias(c) for c in risk.columns])
+
+
 def enrich(
-    submissions: DataFrame,
-    risk: DataFrame,
-    spread_by: Column,
-    key: str = "company_id",
-    slice_rows: int = SLICE_ROWS,
-    balance: bool | None = None,
+    submissions: DataFrame, risk: DataFrame, key: str = "company_id", order: Sequence[str] = ()
 ) -> DataFrame:
-    """Left join to risk data, at most one row per company.
+    """Left join to risk data: one row per submission, with the last row of its company.
 
     A miss is a missing key; a hit whose data are all null still counts as success.
     """
-    found = risk.withColumn("success", F.lit(True))
-    joined = fan_out_join(submissions, found, [key], spread_by, "left", slice_rows, balance)
+    found = one_per_company(risk, key, order).withColumn("success", F.lit(True))
+    joined = submissions.join(found, key, "left")
     success = F.coalesce(F.col("success"), F.lit(False))
-    warning = F.concat(F.lit("No enrichment data found for '"), F.col(key), F.lit("'"))
+    warning = F.concat(F.lit("No enrichment data found for "), quoted(F.col(key)))
     return joined.withColumn("success", success).withColumn(
         "warning", F.when(~F.col("success"), warning)
     )
@@ -48,7 +51,8 @@ def resolve_api_attempts(
     """Outcome per company of walking its attempts in order.
 
     The first success or client error ends the walk; otherwise the last permitted attempt does.
-    One aggregate with a partial step; attempts beyond the limit are ignored.
+    One aggregate with a partial step; attempts beyond the limit are ignored. The JSON text of a
+    success comes with its keys in snake case.
     """
     lost = F.col(transport_error) if transport_error else None
     classed = attempts.filter(F.col(attempt) <= max_attempts).select(
@@ -76,7 +80,7 @@ def resolve_api_attempts(
         ).alias("error"),
     ]
     if data:
-        columns.append(F.when(success, F.col("_final.data")).alias("data"))
+        columns.append(F.when(success, snake_case_json(F.col("_final.data"))).alias("data"))
     return final.select(*columns)
 
 

@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.payload import DELIVERY_FIELDS, with_content_key
-from quayside.operators.skew import SLICE_ROWS, fan_out_join, is_small
 
 KEY = "idempotency_key"
 FIRST = "first_seq"
+STORED = "_stored"
 
 Process = Callable[[DataFrame], DataFrame]
 
@@ -63,8 +63,6 @@ def process_once(
     exclude: Iterable[str] = DELIVERY_FIELDS,
     carry: Sequence[str] = (),
     keep: Sequence[str] = (),
-    slice_rows: int = SLICE_ROWS,
-    balance: bool | None = None,
 ) -> Processed:
     """Run ``process`` on the first delivery of every unseen key; later ones are replays.
 
@@ -78,30 +76,26 @@ def process_once(
     todo = firsts if ledger is None else unseen_keys(firsts, ledger)
     done = process(todo)
     fresh = done.drop(FIRST)
-    results = done
+    results = done.withColumn(STORED, F.lit(False))
     if ledger is not None:
-        known = ledger.select(*fresh.columns).withColumn(FIRST, F.lit(None).cast(done.schema[FIRST].dataType))
-        results = done.unionByName(known)
-    if balance is None:
-        balance = not is_small(deliveries)
-    records = fan_out_join(
-        keyed.select(seq, KEY, *keep),
-        results,
-        [KEY],
-        spread_by=F.col(seq),
-        slice_rows=slice_rows,
-        balance=balance,
-    )
-    return Processed(records.withColumn("was_replay", _was_replay(seq, done)).drop(FIRST), fresh)
-
-
-def _was_replay(seq: str, done: DataFrame) -> Column:
-    """A delivery replays a result when it is not the one that produced it."""
-    result = [c for c in done.columns if c not in (KEY, FIRST)]
-    has_result = F.lit(False)
-    for name in result:
-        has_result = has_result | F.col(name).isNotNull()
-    return F.coalesce(F.col(seq) != F.col(FIRST), has_result)
+        # Of the ledger only what this run asks for, one row per key.
+        asked = seen_rows(firsts, ledger.select(*fresh.columns))
+        known = asked.withColumn(FIRST, F.lit(None).cast(done.schema[FIRST].dataType))
+        results = results.unionByName(known.withColumn(STORED, F.lit(True)))
+    records = keyed.select(seq, KEY, *keep).join(results, KEY, "left")
+    # A delivery replays a result when it is not the one that produced it, whatever the result holds.
+    replay = F.coalesce(F.col(STORED) | (F.col(seq) != F.col(FIRST)), F.lit(False))
+    return Processed(records.withColumn("was_replay", replay).drop(FIRST, STORED), fresh)
+
+
+def seen_rows(incoming: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Ledger rows of incoming keys, one per key: the last by its columns in turn."""
+    asked = ledger.join(incoming.select(KEY), KEY, "left_semi")
+    rest = [c for c in ledger.columns if c != KEY]
+    if not rest:
+        return asked.distinct()
+    last = asked.groupBy(KEY).agg(F.max(F.struct(*rest)).alias("_last"))
+    return last.select(*[F.col(c) if c == KEY else F.col(f"_last.`{c}`").alias(c) for c in ledger.columns])
 
 
 def mark_replays(
@@ -111,21 +105,15 @@ def mark_replays(
     seq: str = "seq",
     payload: str = "payload",
     exclude: Iterable[str] = DELIVERY_FIELDS,
-    slice_rows: int = SLICE_ROWS,
-    balance: bool | None = None,
 ) -> DataFrame:
     """Deliveries with their key and ``was_replay`` only; nothing is processed."""
     keyed = with_key(deliveries, payload, exclude)
     firsts = first_deliveries(keyed, seq)
     if ledger is not None:
-        known = ledger.select(KEY).withColumn("_seen", F.lit(True))
+        known = ledger.select(KEY).distinct().withColumn("_seen", F.lit(True))
         firsts = firsts.join(known, KEY, "left")
     else:
         firsts = firsts.withColumn("_seen", F.lit(False))
-    if balance is None:
-        balance = not is_small(deliveries)
-    marked = fan_out_join(
-        keyed.drop(payload), firsts, [KEY], F.col(seq), "inner", slice_rows, balance
-    )
+    marked = keyed.drop(payload).join(firsts, KEY)
     replay = F.coalesce(F.col("_seen"), F.lit(False)) | (F.col(seq) != F.col(FIRST))
     return marked.withColumn("was_replay", replay).drop("_seen", FIRST)

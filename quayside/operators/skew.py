@@ -1,12 +1,10 @@
-"""Joins that stay balanced when a few keys hold most of the rows.
+"""Joins in which both sides may hold many rows of one key.
 
-A hash join sends all rows of one key to one task. Here the heaviest keys are found by a
-pre-aggregated count and their rows are spread over numbered slots; the other side repeats its
-rows of those keys once per slot. No row is dropped and nothing is decided by a sample.
-
-The list of heavy keys holds at most ``MAX_HEAVY_KEYS`` rows, so it can always be broadcast. A
-key left out of it has fewer rows than each of the ``MAX_HEAVY_KEYS`` listed ones, i.e. less
-than a 1/``MAX_HEAVY_KEYS`` share.
+A join that hands at most one row per key to the other side needs nothing of its own: Spark splits a
+large partition of a sort-merge join at run time (``spark.sql.adaptive.skewJoin``) and repeats the other side's
+small part. That goes by bytes, though, and says nothing about a join whose output is the product of two groups. Here
+the heaviest keys of both sides are counted, and their products cut into cells. No row is dropped, nothing is
+sampled, and the same happens at every size.
 """
 
 from __future__ import annotations
@@ -18,46 +16,34 @@ from pyspark.sql import functions as F
 
 from quayside.session import shared_folder
 
-MAX_HEAVY_KEYS = 1024
 SLICE_ROWS = 1_000_000
-SMALL_INPUT_BYTES = 64 * 1024 * 1024
-NULL_SLOTS = 1024
+# Most keys a list may hold, so that it can be broadcast: see ``heavy_keys``.
+LISTED_KEYS = 65_536
 
 
-def is_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> bool:
-    """True when the tables ``df`` reads are below ``limit`` together; runs no job.
+def heavy_keys(
+    rows: DataFrame, keys: Sequence[str], slice_rows: int = SLICE_ROWS, listed: int = LISTED_KEYS
+) -> DataFrame:
+    """Keys with more rows than a slice, and the number of slots each should get.
 
-    Input this small fits in a task or two, whatever its key distribution. The optimizer's
-    estimate of ``df`` itself is no use here: for a join it multiplies the sides.
+    A slice has ``slice_rows`` rows; if more than ``listed`` keys exceed that, it grows to the
+    rows of all of them divided by ``listed``. At most ``listed`` keys can exceed it then, and every key
+    that does is in the list: what bounds the list is arithmetic, not a cut. The counts are
+    written to the shared checkpoint folder, so all users see the same slots.
     """
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
-    return sum(sizes) < limit
-
-
-def heavy_keys(rows: DataFrame, keys: Sequence[str], slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """Keys with more than ``slice_rows`` rows and the number of slots each should get."""
-    counted = (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > slice_rows)
-    )
+    shared_folder(rows.sparkSession)
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > slice_rows)
     for key in keys:
         counted = counted.filter(F.col(key).isNotNull())
-    return (
-        counted.orderBy(F.desc("_n"), *keys)
-        .limit(MAX_HEAVY_KEYS)
-        .select(*keys, F.ceil(F.col("_n") / slice_rows).cast("int").alias("_slots"))
+    counted = counted.checkpoint()
+    n_keys, n_rows = counted.agg(F.count(F.lit(1)), F.sum("_n")).first()
+    if n_keys > listed:
+        slice_rows = -(-n_rows // listed)
+    return counted.filter(F.col("_n") > slice_rows).select(
+        *keys, F.ceil(F.col("_n") / slice_rows).cast("int").alias("_slots")
     )
 
 
-def _fixed(heavy: DataFrame) -> DataFrame:
-    """The list written out once: both sides of a join must use the very same slots, and finding
-    the keys reads the whole input."""
-    shared_folder(heavy.sparkSession)
-    return F.broadcast(heavy.checkpoint())
-
-
 def _slot_of(spread_by: Column, slots: Column) -> Column:
     return F.pmod(F.xxhash64(spread_by), slots).cast("int")
 
@@ -66,36 +52,6 @@ def _repeat(df: DataFrame, slots: Column, name: str) -> DataFrame:
     return df.withColumn(name, F.explode(F.sequence(F.lit(0), slots - 1)))
 
 
-def fan_out_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    spread_by: Column,
-    how: str = "left",
-    slice_rows: int = SLICE_ROWS,
-    balance: bool | None = None,
-) -> DataFrame:
-    """Join a large, possibly skewed ``left`` to a ``right`` with at most one row per key.
-
-    ``spread_by`` must be a deterministic column that differs between left rows of one key.
-    Left rows with a null key match nothing and are spread as well.
-    """
-    keys = list(keys)
-    if balance is None:
-        balance = not is_small(left)
-    if not balance:
-        return left.join(right, keys, how)
-    heavy = _fixed(heavy_keys(left.select(*keys), keys, slice_rows))
-    no_key = F.lit(False)
-    for key in keys:
-        no_key = no_key | F.col(key).isNull()
-    slots = F.when(no_key, F.lit(NULL_SLOTS)).otherwise(F.coalesce(F.col("_slots"), F.lit(1)))
-    spread = left.join(heavy, keys, "left").withColumn("_slot", _slot_of(spread_by, slots))
-    repeated = _repeat(right.join(heavy, keys, "left"), F.coalesce(F.col("_slots"), F.lit(1)), "_slot")
-    joined = spread.drop("_slots").join(repeated.drop("_slots"), [*keys, "_slot"], how)
-    return joined.drop("_slot")
-
-
 def grid_join(
     left: DataFrame,
     right: DataFrame,
@@ -103,7 +59,6 @@ def grid_join(
     left_spread: Column,
     right_spread: Column,
     slice_rows: int = SLICE_ROWS,
-    balance: bool | None = None,
 ) -> DataFrame:
     """Inner join in which both sides may hold many rows of one key.
 
@@ -118,16 +73,13 @@ def grid_join(
     n_tasks = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
     )
-    if balance is None:
-        balance = not (is_small(left) and is_small(right))
-    if not balance:
-        return left.repartition(n_tasks, *keys).join(right.repartition(n_tasks, *keys), keys)
     heavy_left = heavy_keys(left.select(*keys), keys, slice_rows)
     heavy_right = heavy_keys(right.select(*keys), keys, slice_rows)
-    cuts = heavy_left.withColumnRenamed("_slots", "_rows").join(
-        heavy_right.withColumnRenamed("_slots", "_cols"), keys, "full"
+    cuts = F.broadcast(
+        heavy_left.withColumnRenamed("_slots", "_rows").join(
+            heavy_right.withColumnRenamed("_slots", "_cols"), keys, "full"
+        )
     )
-    cuts = _fixed(cuts)
     n_rows = F.coalesce(F.col("_rows"), F.lit(1))
     n_cols = F.coalesce(F.col("_cols"), F.lit(1))
     a = left.join(cuts, keys, "left").withColumn("_row", _slot_of(left_spread, n_rows))

@@ -69,7 +69,7 @@ from quayside.streaming.jobs import (
 # Settings of the example queries; the SQL in ``oracles`` uses the same numbers.
 BREAKER_THRESHOLD = 2
 BREAKER_RECOVERY_S = 43_200.0
-HIGH_VALUE = 10_000_000
+LARGE_SHOP = 2_000_000
 
 
 def _joined(column: str) -> Column:
@@ -105,23 +105,15 @@ def triage_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def custom_rules() -> list[Rule]:
-    """A priority broker passes in front of all rules; large Florida risks are reviewed."""
-    priority = Rule(
-        "priority_broker",
-        F.col("broker_id").isin("BROKER-GOLD-001", "BROKER-GOLD-002"),
-        APPROVED,
-        F.lit("Priority broker — fast-tracked."),
-    )
-    florida = Rule(
-        "high_value_florida",
-        (F.col("state") == "FL") & (F.col("revenue") > HIGH_VALUE),
+    """Clients of a house broker pass in front of all rules; large shops are looked at behind them."""
+    house = Rule("house_broker", F.col("broker_id").startswith("HB-"), APPROVED, F.lit("Placed by a house broker"))
+    shops = Rule(
+        "large_retail",
+        (F.col("industry") == "Retail") & (F.col("revenue") > LARGE_SHOP),
         MANUAL_REVIEW,
-        F.lit(
-            f"Florida submissions over ${HIGH_VALUE:,} require manual review "
-            "due to hurricane exposure."
-        ),
+        F.concat(F.lit("Retail above "), F.lit(str(LARGE_SHOP)), F.lit(" goes to an underwriter")),
     )
-    return [priority, *default_rules(), florida]
+    return [house, *default_rules(), shops]
 
 
 def triage_custom_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,7 +255,7 @@ def dedup_one_block(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def enrich_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     submissions = feed(spark, sf_dir, "submissions").select("seq", "company_id")
-    return enrich(submissions, feed(spark, sf_dir, "risk"), F.col("seq"))
+    return enrich(submissions, feed(spark, sf_dir, "risk"))
 
 
 def enrich_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,7 +263,7 @@ def enrich_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     load_tables(spark, sf_dir, ("documents", "labels"))
     documents = spark.table("documents").select(F.col("doc_id").alias("company_id"))
     labels = spark.table("labels").withColumnRenamed("doc_id", "company_id")
-    return enrich(documents, labels, F.col("company_id"))
+    return enrich(documents, labels)
 
 
 def enrich_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,6 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.operators.skew import is_small
 
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -41,7 +40,7 @@ select k as seq,
        when n < 13 then 'FL' else 'ca' end as state,
   case when k % 31 = 0 then null
        else concat('1000', cast(n % 10 as string), '-', cast(k as string)) end as zip_code,
-  case when k % 41 = 0 then 'BROKER-GOLD-001' end as broker_id
+  case when k % 41 = 0 then 'HB-17' end as broker_id
 from (select c_custkey as k, c_name, c_mktsegment, c_nationkey as n,
         cast(round(c_acctbal * 100) as bigint)
           * case when c_custkey % 10 = 0 then 1000 else 1 end as rev
@@ -159,7 +158,6 @@ _USES = {
 
 # Feeds whose rows hold JSON to parse.
 _COSTLY = ("order_deliveries", "deliveries", "responses")
-_FEW_BYTES = 1 << 30
 
 
 def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -168,8 +166,8 @@ def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     needed = list(FEEDS)[: list(FEEDS).index(name) + 1]
     parts = [f"{n} as ({FEEDS[n].strip()})" for n in needed if set(_USES[n]) <= set(_USES[name])]
     rows = spark.sql("with " + ",\n".join(parts) + f"\nselect * from {name}")
-    if name in _COSTLY and is_small(rows, _FEW_BYTES):
-        # A small table is one file and one task; the parsing that follows can use all cores.
+    if name in _COSTLY:
+        # A table may be one file and one task; the parsing that follows can use all cores.
         rows = rows.repartition(spark.sparkContext.defaultParallelism, "seq")
     return rows
 

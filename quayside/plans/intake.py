@@ -25,7 +25,7 @@ from quayside.functions.payload import (
 from quayside.functions.text import quoted
 from quayside.operators.idempotency import FIRST, KEY, Processed, process_once
 from quayside.operators.rules import DECLINED, Rule, default_rules, first_match
-from quayside.operators.skew import SLICE_ROWS, fan_out_join, is_small
+from quayside.operators.enrichment import one_per_company
 from quayside.operators.triage import SUBMISSION_FIELDS, revenue_of, submission_columns
 
 PENDING, APPROVED, ERROR = "pending", "approved", "error"
@@ -128,8 +128,6 @@ def triage_with(rules: Sequence[Rule]) -> Stage:
 def company_lookup(
     existing_ids: DataFrame | None,
     risk: DataFrame | None,
-    slice_rows: int = SLICE_ROWS,
-    balance: bool | None = None,
 ) -> Stage:
     """Attach ``_known`` (id already exists) and ``_risk`` (data struct, null without data) and
     ``_risk_found`` in one join; halted rows have no key and are not looked up."""
@@ -139,7 +137,7 @@ def company_lookup(
     if risk is not None:
         data = F.struct(*[c for c in risk.columns if c != "company_id"])
         sides.append(
-            risk.select("company_id", F.lit(True).alias("_risk_found"), data.alias("_risk"))
+            one_per_company(risk).select("company_id", F.lit(True).alias("_risk_found"), data.alias("_risk"))
         )
 
     def stage(contexts: DataFrame) -> DataFrame:
@@ -157,9 +155,7 @@ def company_lookup(
             if c != "company_id"
         ]
         per_company = merged.groupBy(F.col("company_id").alias("_lookup_id")).agg(*aggregates)
-        joined = fan_out_join(
-            keyed, per_company, ["_lookup_id"], F.col(KEY), "left", slice_rows, balance
-        ).drop("_lookup_id")
+        joined = keyed.join(per_company, "_lookup_id", "left").drop("_lookup_id")
         flags = {
             name: F.coalesce(F.col(name), F.lit(False)) if name in merged.columns else F.lit(False)
             for name in ("_known", "_risk_found")
@@ -223,14 +219,12 @@ def default_stages(
     rules: Sequence[Rule] | None = None,
     existing_ids: DataFrame | None = None,
     risk: DataFrame | None = None,
-    slice_rows: int = SLICE_ROWS,
-    balance: bool | None = None,
 ) -> list[PipelineStage]:
     chosen = default_rules() if rules is None else rules
     return [
         PipelineStage("validation", validate),
         PipelineStage("triage", triage_with(chosen)),
-        PipelineStage("lookup", company_lookup(existing_ids, risk, slice_rows, balance)),
+        PipelineStage("lookup", company_lookup(existing_ids, risk)),
         PipelineStage("duplicates", flag_known_companies),
         PipelineStage("enrichment", attach_risk),
     ]
@@ -277,8 +271,6 @@ def run_pipeline(
     stages: Sequence[PipelineStage] | None = None,
     seq: str = "seq",
     payload: str = "payload",
-    slice_rows: int = SLICE_ROWS,
-    balance: bool | None = None,
 ) -> Processed:
     """Contexts of all deliveries, and the fresh ones to be stored in the ledger afterwards.
 
@@ -286,9 +278,7 @@ def run_pipeline(
     ``circuit_open`` says that the risk API was refused at that delivery. ``stages`` replaces the
     default chain. ``ledger`` holds idempotency_key and the context columns of earlier runs.
     """
-    if balance is None:
-        balance = not is_small(deliveries)
-    chain = stages or default_stages(rules, existing_ids, risk, slice_rows, balance)
+    chain = stages or default_stages(rules, existing_ids, risk)
     enrichment_type = enrichment_schema(risk)
     carry = ["circuit_open"] if "circuit_open" in deliveries.columns else []
     named = deliveries.select(seq, F.col(payload).alias("payload"), *carry)
@@ -309,6 +299,4 @@ def run_pipeline(
         payload="payload",
         exclude=(),
         carry=carry,
-        slice_rows=slice_rows,
-        balance=balance,
     )

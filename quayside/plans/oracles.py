@@ -363,14 +363,13 @@ from deliveries d join triaged t on t.seq = d.submission_seq""",
         "triage_custom_rule": _sql(
             f"""
 select seq, company_id,
-  case when broker_id = 'BROKER-GOLD-001' then 'approved'
+  case when broker_id like 'HB-%' then 'approved'
        when fired is not null then fired
-       when state_name = 'FL' and revenue_value > 10000000 then 'manual_review'
+       when industry_name = 'Retail' and revenue_value > 2000000 then 'manual_review'
        else 'approved' end as status,
-  case when broker_id = 'BROKER-GOLD-001' then 'Priority broker — fast-tracked.'
+  case when broker_id like 'HB-%' then 'Placed by a house broker'
        when fired is not null then fired_reason
-       when state_name = 'FL' and revenue_value > 10000000 then
-         'Florida submissions over $10,000,000 require manual review due to hurricane exposure.'
+       when industry_name = 'Retail' and revenue_value > 2000000 then 'Retail above 2000000 goes to an underwriter'
   end as reason
 from decided where {_VALID}""",
             _CHECKED,

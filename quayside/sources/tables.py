@@ -106,8 +106,8 @@ def upsert_ledger(fresh: DataFrame, path: str, batch: int | str) -> None:
 
 
 def write_split(
-    valid: DataFrame, rejected: DataFrame, valid_path: str, rejects_path: str
+    valid: DataFrame, rejected: DataFrame, valid_path: str, rejects_path: str, batch: int | str
 ) -> None:
-    """Valid rows and rejects to their own tables."""
-    valid.write.mode("append").parquet(valid_path)
-    rejected.write.mode("append").parquet(rejects_path)
+    """Valid rows and rejects to their own tables; a batch that runs again replaces its own folders."""
+    valid.write.mode("overwrite").parquet(f"{valid_path}/batch={batch}")
+    rejected.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch}")

@@ -10,6 +10,7 @@ output.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,7 +55,7 @@ def triage_stream(
 
 def enrich_stream(submissions: DataFrame, risk: DataFrame, key: str = "company_id") -> DataFrame:
     """Stream-static left join; results come in no particular order."""
-    return enrich(submissions, risk, F.col(key), key, balance=False)
+    return enrich(submissions, risk, key)
 
 
 def dedupe_stream(
@@ -86,11 +87,20 @@ def _earlier_rows(spark: SparkSession, path: str, schema: T.StructType, batch_id
     return spark.read.schema(full).parquet(path).filter(F.col(BATCH) < batch_id)
 
 
-def _fresh_only(ledger: DataFrame | None, lifetime_s: float | None) -> DataFrame | None:
+def _batch_time(spark: SparkSession, path: str, batch_id: int) -> datetime:
+    """The time of a batch: the clock when it first ran, stored so that all its jobs, and those of a
+    batch that runs again, decide by the same one."""
+    folder = _batch_folder(f"{path.rstrip('/')}_times", batch_id)
+    if not ledger_exists(spark, f"{folder}/_SUCCESS"):
+        now = spark.range(1).select(F.current_timestamp().alias("at"))
+        now.write.mode("overwrite").parquet(folder)
+    return spark.read.schema("at timestamp").parquet(folder).first()["at"]
+
+
+def _fresh_only(ledger: DataFrame | None, now: datetime, lifetime_s: float | None) -> DataFrame | None:
     if ledger is None or lifetime_s is None:
         return ledger
-    oldest = F.current_timestamp() - F.make_dt_interval(secs=F.lit(lifetime_s))
-    return ledger.filter(F.col("stored_at") >= oldest)
+    return ledger.filter(F.col("stored_at") >= F.lit(now - timedelta(seconds=lifetime_s)))
 
 
 def _process_batches(
@@ -109,11 +119,10 @@ def _process_batches(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        ledger = _fresh_only(_earlier_rows(spark, ledger_path, stored, batch_id), lifetime_s)
+        now = _batch_time(spark, ledger_path, batch_id)
+        ledger = _fresh_only(_earlier_rows(spark, ledger_path, stored, batch_id), now, lifetime_s)
         fresh = run(batch, ledger).fresh.select(*results)
-        _write_batch(
-            fresh.withColumn("stored_at", F.current_timestamp()), ledger_path, batch_id
-        )
+        _write_batch(fresh.withColumn("stored_at", F.lit(now)), ledger_path, batch_id)
         # Deliveries get the results as stored, so nothing is processed a second time.
         new = spark.read.schema(stored).parquet(_batch_folder(ledger_path, batch_id))
 
@@ -208,7 +217,8 @@ def circuit_state_stream(
             carried = stored.filter(F.col(BATCH) == batch_id - 1).drop(BATCH)
         states = circuit_states(batch, threshold, recovery_s, bucket_seconds, carried)
         _write_batch(states, states_path, batch_id)
-        _write_batch(last_runs(states, carried), state_path, batch_id)
+        stored_states = batch.sparkSession.read.schema(states.schema).parquet(_batch_folder(states_path, batch_id))
+        _write_batch(last_runs(stored_states, carried), state_path, batch_id)
 
     return (
         outcomes.writeStream.foreachBatch(handle)

@@ -20,6 +20,7 @@ from quayside.functions.similarity import (
 from quayside.functions.text import (
     normalise_company_name,
     normalise_state,
+    quoted,
     title_case,
     token_sort,
     zip_prefix,
@@ -34,12 +35,12 @@ def column_of(spark, values, build, kind="string"):
 
 def test_normalise_company_name(spark):
     cases = {
-        "Kalepa Inc.": "kalepa",
-        "Kalepa, Inc": "kalepa",
-        "KALEPA INC": "kalepa",
-        "Kalepa Holdings LLC": "kalepa",
+        "Marlow Inc.": "marlow",
+        "Marlow, Inc": "marlow",
+        "MARLOW INC": "marlow",
+        "Marlow Holdings LLC": "marlow",
         "International Business Machines Corp.": "business machines",
-        "ACME Group": "acme",
+        "FENWICK Group": "fenwick",
         "  Extra  Spaces  ": "extra spaces",
         "Café & Boulangerie S.A.": "café boulangerie",
         "": "",
@@ -110,8 +111,8 @@ def keys(spark, payloads, **options):
 
 
 def test_content_key_properties(spark):
-    base = {"company_id": "ACME-001", "revenue": 5000000, "industry": "Retail"}
-    flipped = {"industry": "Retail", "revenue": 5000000, "company_id": "ACME-001"}
+    base = {"company_id": "C-4711", "revenue": 5000000, "industry": "Retail"}
+    flipped = {"industry": "Retail", "revenue": 5000000, "company_id": "C-4711"}
     other = {**base, "revenue": 9999999}
     later = {**base, "received_at": "2024-01-01T00:00:00Z"}
     nested = {**base, "x": {"b": [1, {"d": 1, "c": 2}], "a": 0}}
@@ -182,7 +183,42 @@ def test_lcs_matches_dynamic_programming(spark, longest):
 
 
 def test_indel_ratio_edges(spark):
-    df = spark.createDataFrame([("", ""), ("a", ""), ("abc", "abc"), ("kalepa", "kalepas")], "a string, b string")
+    df = spark.createDataFrame([("", ""), ("a", ""), ("abc", "abc"), ("marlow", "marlows")], "a string, b string")
     got = [r.x for r in df.select(indel_ratio(F.col("a"), F.col("b")).alias("x")).collect()]
     assert got[:3] == [100.0, 0.0, 100.0]
-    assert got[3] == pytest.approx(100 * difflib.SequenceMatcher(None, "kalepa", "kalepas").ratio())
+    assert got[3] == pytest.approx(100 * difflib.SequenceMatcher(None, "marlow", "marlows").ratio())
+
+
+def test_amounts_are_not_rounded_across_a_limit(spark):
+    from decimal import Decimal
+
+    texts = ["500000000.0000001", "9999.9999999", "9999.9999999999999", "-0.5", "5", "1e3", "x"]
+    got = column_of(spark, texts, parse_revenue_strict)
+    assert got[0] > 500_000_000 and got[1] < 10_000
+    assert Decimal(10_000) == got[2] or got[2] < 10_000
+    assert got[3:] == [Decimal("-0.5"), 5, 1000, None]
+    more = column_of(spark, ["500000000.0000000000000001", "-1.0000000000000009"], parse_revenue_strict)
+    assert more[0] > 500_000_000 and more[1] < -1
+
+
+def test_signs_and_quotes_in_messages(spark):
+    shown = column_of(spark, ["-0.5", "-1234.50", "-0.00", "7.25"], lambda c: amount_text(parse_revenue_strict(c), c))
+    assert shown == ["-0.5", "-1,234.50", "-0.00", "7.25"]
+    texts = ["plain", "O'x", 'say "hi"', "both ' and \"", "back\\slash", "tab\tline\n", "bell\x07", "é", ""]
+    assert column_of(spark, texts, quoted) == [repr(t) for t in texts]
+
+
+def test_snake_case_json_takes_long_strings(spark):
+    long = "x" * 1_000_000 + '\\"{\\"aKey\\": 1}' + '\\\\' * 1000
+    document = '{"someKey": "' + long + '", "aB": [{"cD": "eF: \\"gH\\": "}, 5], "trailing\\\\": "iJ"}'
+    expected = document.replace('"someKey"', '"some_key"').replace('"aB"', '"a_b"').replace('"cD"', '"c_d"')
+    assert column_of(spark, [document], snake_case_json) == [expected]
+
+
+def test_big_numbers_have_keys_of_their_own(spark):
+    big = "123456789012345678901234567890123456789012"
+    texts = [f'{{"a":{big}}}', f'{{"a":{big[:-1]}3}}', '{"a":0.12345678901234567891e1,"b":2}',
+             '{"b":2,"a":0.12345678901234567891e1}', '{"a":0.12345678901234567892e1,"b":2}', '{"a":5}', '{"a":5.0}']
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, payload string")
+    keys = [r["k"] for r in with_content_key(df, "payload", "k").orderBy("i").collect()]
+    assert len(set(keys)) == 5 and keys[2] == keys[3] and keys[5] == keys[6]
