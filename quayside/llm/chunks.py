@@ -23,7 +23,7 @@ from quayside.llm.wordhash import mix
 
 CHUNK_BYTES = 2 << 20
 # Chunks and buckets per partition: messages number chunks times buckets.
-_MANY = 2
+_MANY = 1
 # Documents a task packs at a time.
 _PACK_BYTES = 16 << 20
 # kind 1: what a chunk passes on to its own next pass; other kinds: questions and their answers.
