@@ -21,8 +21,8 @@ from quayside.llm.common import n_partitions
 END_ID = 0
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
-# Runs of characters remembered by a worker before it starts anew, and the longest one remembered.
-REMEMBERED = 1_000_000
+# Runs of characters remembered by a worker, in each of two generations, and the longest one remembered.
+REMEMBERED = 200_000
 LONGEST = 48
 # A cut before a space is a cut between pre-tokens unless the space stands inside a run of white space.
 _INNER = r"\s \s"
@@ -51,38 +51,77 @@ class DocumentTokenizer:
             and before.get("use_regex", True) and not before.get("add_prefix_space", False)
         )
         self.inner = re.compile(_INNER)
-        self.known: dict[str, bytes] = {}
-
-    def _encoded(self, runs: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(runs, add_special_tokens=False)
+        self.space = re.compile(r"\s")
+        self.line_end = self.library.encode("\n", add_special_tokens=False).ids[0]
+        # Two generations: a full young one becomes the old one, which is forgotten.
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(f.ids, dtype=np.uint32).tobytes() for f in found]
 
+    def _run_ids(self, runs: list[str]) -> dict[str, bytes]:
+        """Ids of runs, a space before each. Those without white space are encoded as the lines of one
+        text: the line end is a pre-token of its own there."""
+        plain = [r for r in runs if r and not self.space.search(r)]
+        odd = [r for r in runs if not r or self.space.search(r)]
+        out = dict(zip(odd, self._encoded([" " + r for r in odd]), strict=True))
+        for at in range(0, len(plain), 5000):
+            part = plain[at : at + 5000]
+            ids = np.array(self._lines(part), dtype=np.uint32)
+            ends = np.flatnonzero(ids == self.line_end)
+            if len(ends) != len(part):
+                out.update(zip(part, self._encoded([" " + r for r in part]), strict=True))
+                continue
+            data = ids.tobytes()
+            begin = 0
+            for run, end in zip(part, (4 * ends).tolist(), strict=True):
+                out[run] = data[begin:end]
+                begin = end + 4
+        return out
+
+    def _lines(self, runs: list[str]) -> list[int]:
+        text = "".join([f" {r}\n" for r in runs])
+        return self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, without an end id."""
         if not self.by_runs:
             return self._encoded(texts)
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        split, whole = [], []
+        get = self.young.get
+        whole, heads, found, missing = [], [], [], set()
         for text in texts:
             if self.inner.search(text):
-                split.append(None)
                 whole.append(text)
+                found.append(None)
+                continue
+            head, *runs = text.split(" ")
+            heads.append(head)
+            ids = list(map(get, runs))
+            if None in ids:
+                missing.update(r for r, i in zip(runs, ids, strict=True) if i is None)
+            found.append((runs, ids))
+        known = {}
+        for run in missing:
+            ids = self.old.get(run)
+            if ids is not None:
+                known[run] = ids
+        known.update(self._run_ids(list(missing - known.keys())))
+        if len(self.young) > REMEMBERED:
+            self.young, self.old = {}, self.young
+        self.young.update((r, ids) for r, ids in known.items() if len(r) <= LONGEST)
+        wholes, firsts = iter(self._encoded(whole)), iter(self._encoded(heads))
+        out = []
+        for entry in found:
+            if entry is None:
+                out.append(next(wholes))
                 continue
-            first, *rest = text.split(" ")
-            runs = [" " + r for r in rest]
-            if first:
-                runs.insert(0, first)
-            split.append(runs)
-        new = list({r for runs in split if runs for r in runs if r not in known})
-        found = dict(zip(new, self._encoded(new), strict=True))
-        known.update((r, ids) for r, ids in found.items() if len(r) <= LONGEST)
-        wholes = iter(self._encoded(whole))
-        get = known.get
-        return [
-            next(wholes) if runs is None else b"".join([get(r) or found.get(r, b"") for r in runs]) for runs in split
-        ]
+            runs, ids = entry
+            if None in ids:
+                ids = [known[r] if i is None else i for r, i in zip(runs, ids, strict=True)]
+            out.append(next(firsts) + b"".join(ids))
+        return out
 
 
 _made: dict[int, DocumentTokenizer] = {}
