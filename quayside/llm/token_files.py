@@ -53,6 +53,7 @@ class DocumentTokenizer:
         self.inner = re.compile(_INNER)
         self.space = re.compile(r"\s")
         self.line_end = self.library.encode("\n", add_special_tokens=False).ids[0]
+        self.marks = {m: self._encoded([m])[0] for m in ".,;:!?"}
         # Two generations: a full young one becomes the old one, which is forgotten.
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -102,12 +103,23 @@ class DocumentTokenizer:
             if None in ids:
                 missing.update(r for r, i in zip(runs, ids, strict=True) if i is None)
             found.append((runs, ids))
-        known = {}
+        known, need, tailed = {}, set(), []
+        old = self.old.get
         for run in missing:
-            ids = self.old.get(run)
+            ids = old(run)
             if ids is not None:
                 known[run] = ids
-        known.update(self._run_ids(list(missing - known.keys())))
+            elif run[-1:] in self.marks and run[:-1].isalpha():
+                # Letters and one mark are two pre-tokens.
+                tailed.append(run)
+                if (base := get(run[:-1]) or old(run[:-1])) is not None:
+                    known[run[:-1]] = base
+                else:
+                    need.add(run[:-1])
+            else:
+                need.add(run)
+        known.update(self._run_ids(list(need)))
+        known.update((r, known[r[:-1]] + self.marks[r[-1]]) for r in tailed)
         if len(self.young) > REMEMBERED:
             self.young, self.old = {}, self.young
         self.young.update((r, ids) for r, ids in known.items() if len(r) <= LONGEST)
