@@ -175,17 +175,18 @@ def nearest(
             ]
             rows = pa.array(np.repeat(np.arange(len(x)), [len(f) for f in found]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array([i for f in found for i in f], pa.int32())],
-                names=["id", "vector", "list"],
+                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array([i for f in found for i in f], pa.int32()),
+                 pa.array([n for f in found for n in range(len(f))], pa.int32())],
+                names=["id", "vector", "list", "nth"],
             )
 
     kind = dict(given.dtypes)["vector"]
     asked = clean(queries).groupBy("id").agg(F.min("vector").alias("vector")).repartition(tasks, "id")
     posted = checkpointed(
         classes.select(F.col("node").alias("id"), "vector").repartition(tasks, "id")
-        .mapInArrow(lambda b: post(b, False), f"id long, vector {kind}, list int")
+        .mapInArrow(lambda b: post(b, False), f"id long, vector {kind}, list int, nth int")
     )
-    wanted = checkpointed(asked.mapInArrow(lambda b: post(b, True), f"id long, vector {kind}, list int"))
+    wanted = checkpointed(asked.mapInArrow(lambda b: post(b, True), f"id long, vector {kind}, list int, nth int"))
     # Long lists, and lists that many queries read, are cut into parts. There are MAX_LISTS lists at most.
     sizes = (
         posted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("parts"))
@@ -195,12 +196,14 @@ def nearest(
     part_of = lambda count: F.pmod(F.xxhash64("id"), F.col(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
     left = posted.join(sizes, "list").withColumn("part", part_of("parts")).withColumn("q_part", every("q_parts"))
-    right = wanted.join(sizes, "list").withColumn("q_part", part_of("q_parts")).withColumn("part", every("parts"))
+    left = left.select("list", "part", "q_part", "id", "vector")
     keys = ["list", "part", "q_part"]
 
     def scan(key, rows: pa.Table, asking: pa.Table) -> pa.Table:
         rows = rows.sort_by("id").combine_chunks()
         asking = asking.sort_by("id").combine_chunks()
+        # Scores below what the nearest list has already given cannot be among the nearest.
+        known = asking["least"].to_numpy(zero_copy_only=False)
         out_q, out_n, out_s = [], [], []
         if rows.num_rows and asking.num_rows:
             x, q = matrix(rows["vector"], width), matrix(asking["vector"], width)
@@ -209,6 +212,7 @@ def nearest(
             for at in range(0, len(q), 256):
                 scores = q[at : at + 256] @ x.T
                 least = np.partition(scores, len(x) - keep, axis=1)[:, len(x) - keep]
+                least = np.maximum(least, known[at : at + 256])
                 i, j = np.nonzero(scores >= least[:, None] - 1e-9 * longest**2)
                 out_q.append(query[at + i])
                 out_n.append(node[j])
@@ -216,11 +220,24 @@ def nearest(
         cat = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts])
         return pa.table({"query_id": cat(out_q, np.int64), "node": cat(out_n, np.int64), "score": cat(out_s, np.float64)})
 
-    scored = (
-        left.select(*keys, "id", "vector").repartition(tasks, *keys).groupBy(*keys)
-        .cogroup(right.select(*keys, "id", "vector").repartition(tasks, *keys).groupBy(*keys))
-        .applyInArrow(scan, "query_id long, node long, score double")
+    def scanned(asking: DataFrame) -> DataFrame:
+        right = asking.join(sizes, "list").withColumn("q_part", part_of("q_parts")).withColumn("part", every("parts"))
+        return (
+            left.repartition(tasks, *keys).groupBy(*keys)
+            .cogroup(right.select(*keys, "id", "vector", "least").repartition(tasks, *keys).groupBy(*keys))
+            .applyInArrow(scan, "query_id long, node long, score double")
+        )
+
+    # The nearest list first: its scores bound what the other lists have to report.
+    lowest = F.lit(float("-inf"))
+    nearest_list = checkpointed(scanned(wanted.filter("nth = 0").withColumn("least", lowest)))
+    place = Window.partitionBy("query_id").orderBy(F.desc("score"))
+    bound = (
+        nearest_list.withColumn("at", F.row_number().over(place)).filter(F.col("at") == k + 1)
+        .select(F.col("query_id").alias("id"), F.col("score").alias("least"))
     )
+    others = wanted.filter("nth > 0").join(bound, "id", "left").withColumn("least", F.coalesce("least", lowest))
+    scored = nearest_list.unionByName(scanned(others))
     classes_found = (
         scored.groupBy("query_id", "node").agg(F.max("score").alias("score"))
         .withColumn("nth", F.rank().over(Window.partitionBy("query_id").orderBy(F.desc("score"))))
