@@ -126,4 +126,47 @@ QUERIES: dict[str, Query] = {
     "op10_source_mixing": op10_source_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+# The other numbered operators have no SQL: they use a hash, a tokenizer, a fitted model, a search or pseudorandom
+# draws that DuckDB cannot repeat; tests hold them against brute force.
+ORACLES: dict[str, str] = {
+    "op1_substring_dedup": r"""
+with words as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents
+),
+windows as (
+  select doc_id, s, array_to_string(ws[s:s + 19], ' ') as run
+  from (select doc_id, ws, unnest(range(1, len(ws) - 18)) as s from words) w
+),
+again as (
+  select doc_id, s from windows
+  qualify row_number() over (partition by run order by doc_id, s) > 1
+),
+gone as (select distinct doc_id, unnest(range(s, s + 20)) as p from again),
+placed as (select doc_id, unnest(ws) as w, generate_subscripts(ws, 1) as p from words),
+kept as (
+  select x.doc_id, string_agg(w, ' ' order by x.p) filter (g.p is null) as text, count(g.p) as n_removed
+  from placed x left join gone g on g.doc_id = x.doc_id and g.p = x.p group by x.doc_id
+)
+select w.doc_id, cast(len(ws) as bigint) as n_words, coalesce(n_removed, 0) as n_removed,
+  sha256(coalesce(text, '')) as kept_sha256
+from words w left join kept k on k.doc_id = w.doc_id
+""",
+    "op2_embedding_near_dedup": """
+with recursive v as (
+  select vec_id, label, cast(embedding as double[]) as x from embeddings
+  where label is not null and embedding is not null and vec_id is not null
+    and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0
+    and len(list_filter(embedding, lambda c: c <> 0)) > 0
+),
+links as (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.x, b.x) >= 0.93
+),
+reach(a, b) as (
+  select vec_id, vec_id from embeddings union select r.a, l.b from reach r join links l on l.a = r.b
+)
+select e.vec_id, (select count(*) from links l where l.a = e.vec_id) as n_links,
+  min(r.b) as component_id, e.vec_id = min(r.b) as kept
+from embeddings e join reach r on r.a = e.vec_id group by e.vec_id
+""",
+}
