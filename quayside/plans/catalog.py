@@ -11,11 +11,11 @@ from pyspark.sql import types as T
 
 from quayside.functions.extraction import render_prompt
 from quayside.functions.http import attempt_error_text, classify_http
-from quayside.functions.naming import camel_to_snake, snake_case_schema
+from quayside.functions.naming import camel_to_snake, snake_case_json, snake_case_schema
 from quayside.functions.text import quoted
-from quayside.operators.breaker import circuit_states, failure_runs
+from quayside.operators.breaker import circuit_states, failure_runs, mark_circuit_open, open_intervals
 from quayside.operators.duplicates import block_sizes, find_duplicates, with_block
-from quayside.operators.enrichment import enrich, enrichment_report, resolve_api_attempts
+from quayside.operators.enrichment import enrich, enrichment_report, fetch_attempts, resolve_api_attempts
 from quayside.operators.extraction import extract
 from quayside.operators.idempotency import (
     FIRST,
@@ -56,6 +56,14 @@ from quayside.plans.reports import (
     status_counts,
 )
 from quayside.session import shared_folder
+from quayside.sources.tables import (
+    read_existing,
+    read_ledger,
+    read_risk,
+    read_submissions,
+    upsert_ledger,
+    write_split,
+)
 from quayside.streaming.jobs import (
     append_stream,
     circuit_state_stream,
@@ -250,9 +258,56 @@ def dedup_one_block(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _duplicates(names)
 
 
+def dedup_numbered_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer looked up among all customers: names that differ in a few digits only."""
+    load_tables(spark, sf_dir, ("customer",))
+    names = spark.table("customer").select(
+        F.col("c_custkey").alias("seq"), F.col("c_custkey").cast("string").alias("company_id"),
+        F.col("c_name").alias("company_name"), F.lit(None).cast("string").alias("zip_code"),
+    )
+    return find_duplicates(names, names)
+
+
 # -- enrichment --------------------------------------------------------------------------------
 
 
+def _call_api(batches):
+    """Stands for a client: every seventh company is unknown, the others have camelCase data."""
+    import pandas as pd
+
+    for batch in batches:
+        number = batch["company_id"].astype("int64")
+        known = number % 7 != 0
+        yield pd.DataFrame(
+            {
+                "company_id": batch["company_id"],
+                "attempt": 1,
+                "status_code": [200 if k else 404 for k in known],
+                "transport_error": None,
+                "data": [f'{{"riskScore":{n % 100},"lastSeen":{{"byAPI":"A\\"bC"}}}}' if k else None
+                         for n, k in zip(number, known)],
+            }
+        )
+
+
+def enrich_fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempts of a batch client for all customers, resolved, with data in snake case."""
+    load_tables(spark, sf_dir, ("customer",))
+    companies = spark.table("customer").select(F.col("c_custkey").cast("string").alias("company_id"))
+    log = fetch_attempts(companies, _call_api)
+    resolved = resolve_api_attempts(log, transport_error="transport_error", data="data")
+    return resolved.select("company_id", "success", "attempts_used", "data")
+
+
+def enrich_snake_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    load_tables(spark, sf_dir, ("part",))
+    document = F.concat(
+        F.lit('{"partKey":'), F.col("p_partkey"), F.lit(',"brandInfo":[{"brandName":"aKey: \\"bKey\\": '),
+        F.col("p_brand"), F.lit('","sizeCM" :'), F.col("p_size"), F.lit("}]}"),
+    )
+    return spark.table("part").select("p_partkey", snake_case_json(document).alias("document"))
+
+
 def enrich_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     submissions = feed(spark, sf_dir, "submissions").select("seq", "company_id")
     return enrich(submissions, feed(spark, sf_dir, "risk"))
@@ -294,6 +349,66 @@ def enrich_snake_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table("part").select("p_partkey", camel_to_snake(camel).alias("snake_name"))
 
 
+def breaker_open_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a request one second after each outcome would meet an open circuit."""
+    log = feed(spark, sf_dir, "outcomes")
+    intervals = open_intervals(log, BREAKER_THRESHOLD, BREAKER_RECOVERY_S)
+    later = log.select("seq", "dependency", (F.col("ts") + F.make_dt_interval(secs=F.lit(1))).alias("at"))
+    marked = mark_circuit_open(later, intervals, "at", F.col("dependency"), BREAKER_RECOVERY_S)
+    return marked.select("seq", "dependency", "circuit_open")
+
+
+def idem_big_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders told apart by the last digits of a number of 48."""
+    load_tables(spark, sf_dir, ("lineitem",))
+    number = F.concat(F.lit("12345678901234567890123456789012345678"), F.lpad(F.col("l_orderkey").cast("string"), 10, "0"))
+    rows = spark.table("lineitem").select("l_orderkey", "l_linenumber").distinct().select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"),
+        F.concat(F.lit('{"number":'), number, F.lit("}")).alias("payload"),
+    )
+    return mark_replays(rows).select("seq", "was_replay")
+
+
+def ledger_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches put if absent, the second one twice, as after a retry; then the ledger is read."""
+    load_tables(spark, sf_dir, ("orders",))
+    path = f"{_scratch(spark, 'ledger')}/rows"
+    key = F.sha2(F.col("o_orderkey").cast("string"), 256).alias(KEY)
+    orders = spark.table("orders")
+    first = orders.filter("o_orderstatus = 'F'").select(key, F.lit("first").alias("status"))
+    every = orders.select(key, F.lit("second").alias("status"))
+    for rows, batch in ((first, 1), (every, 2), (every, 2)):
+        upsert_ledger(rows, path, batch)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (KEY, "status")])
+    return read_ledger(spark, path, schema)
+
+
+def sources_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submissions as JSON lines, existing companies and risk data as Parquet, through their readers."""
+    folder = _scratch(spark, "sources")
+    feed(spark, sf_dir, "submissions").write.json(f"{folder}/submissions")
+    feed(spark, sf_dir, "risk").write.parquet(f"{folder}/risk")
+    feed(spark, sf_dir, "names").filter("is_existing").write.parquet(f"{folder}/existing")
+    submissions = read_submissions(spark, f"{folder}/submissions", "json")
+    risk = read_risk(spark, f"{folder}/risk").select("company_id", "region")
+    known = read_existing(spark, f"{folder}/existing").select("seq", F.col("company_name").alias("part_company"))
+    return (
+        submissions.select("seq", "company_id", "revenue", "zip_code")
+        .join(risk, "company_id", "left").join(known, "seq", "left")
+    )
+
+
+def rejects_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid rows and rejects, written twice as one batch, and read again."""
+    folder = _scratch(spark, "split")
+    rows = feed(spark, sf_dir, "submissions")
+    for _ in range(2):
+        write_split(triage(rows, keep=["seq"]), rejects(validate_submissions(rows, keep=["seq"]), keep=["seq"]), f"{folder}/valid", f"{folder}/rejects", 7)
+    kept = spark.read.parquet(f"{folder}/valid").select("seq", F.lit(True).alias("is_valid"))
+    gone = spark.read.parquet(f"{folder}/rejects").select("seq", F.lit(False).alias("is_valid"))
+    return kept.unionByName(gone)
+
+
 def enrich_snake_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """camelCase risk documents, nested, to snake_case columns."""
     load_tables(spark, sf_dir, ("customer",))
@@ -506,6 +621,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         dedup_block_sizes,
         dedup_fuzzy_match,
         dedup_one_block,
+        dedup_numbered_names,
         enrich_lookup,
         enrich_documents,
         enrich_attempts,
@@ -513,6 +629,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         enrich_http_classes,
         enrich_snake_names,
         enrich_snake_schema,
+        enrich_snake_json,
+        enrich_fetched,
+        breaker_open_marks,
+        idem_big_numbers,
+        ledger_round_trip,
+        sources_read_back,
+        rejects_split,
         breaker_failure_runs,
         breaker_states,
         intake_results,

@@ -470,6 +470,47 @@ from part""",
         "enrich_snake_schema": """
 select c_custkey as company_id, c_acctbal as account_balance, c_nationkey as https_code
 from customer""",
+        "enrich_snake_json": """
+select p_partkey, '{"part_key":' || p_partkey || ',"brand_info":[{"brand_name":"aKey: \\"bKey\\": ' || p_brand
+  || '","size_cm" :' || p_size || '}]}' as document from part""",
+        "enrich_fetched": """
+select cast(c_custkey as varchar) as company_id, c_custkey % 7 <> 0 as success, 1 as attempts_used,
+  case when c_custkey % 7 <> 0
+       then '{"risk_score":' || (c_custkey % 100) || ',"last_seen":{"by_api":"A\\"bC"}}' end as data
+from customer""",
+        "dedup_numbered_names": """
+select c_custkey as seq, cast(c_custkey as varchar) as candidate_id, true as is_potential_duplicate,
+  cast(c_custkey as varchar) as matched_id, cast(100 as double) as similarity_score, c_name as matched_name
+from customer""",
+        "breaker_open_marks": _sql(
+            """
+select o.seq, o.dependency, exists (
+    select 1 from opened p where p.dependency = o.dependency
+      and o.ts + interval 1 second >= p.ts and o.ts + interval 1 second < p.until) as circuit_open
+from outcomes o""",
+            _RUNS,
+            """
+opened as (
+  select dependency, ts, failure_run,
+    least(ts + interval 43200 second,
+      coalesce(lead(ts) over (partition by dependency order by ts, seq), timestamp '9999-01-01')) as until
+  from runs qualify failure_run >= 2
+)""",
+        ),
+        "idem_big_numbers": """
+select l_orderkey * 10 + l_linenumber as seq,
+  row_number() over (partition by l_orderkey order by l_linenumber) > 1 as was_replay
+from (select distinct l_orderkey, l_linenumber from lineitem) l""",
+        "ledger_round_trip": """
+select sha256(cast(o_orderkey as varchar)) as idempotency_key,
+  case when o_orderstatus = 'F' then 'first' else 'second' end as status from orders""",
+        "sources_read_back": _sql(
+            """
+select s.seq, s.company_id, s.revenue, s.zip_code, r.region, n.company_name as part_company
+from submissions s left join risk r on r.company_id = s.company_id
+left join names n on n.seq = s.seq and n.is_existing"""
+        ),
+        "rejects_split": _sql(f"select seq, {_VALID} as is_valid from decided", _CHECKED),
         "breaker_failure_runs": _sql(
             """
 select dependency, seq, failure_run, failure_run >= 2 as threshold_reached from runs""",

@@ -87,7 +87,7 @@ def read_ledger(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     """Stored results, or an empty table of that schema before the first run."""
     if not ledger_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def upsert_ledger(fresh: DataFrame, path: str, batch: int | str) -> None:
