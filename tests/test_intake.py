@@ -24,6 +24,7 @@ from quayside.streaming.jobs import (
     circuit_state_stream,
     dedupe_stream,
     enrich_stream,
+    idempotent_stream,
     intake_stream,
     triage_stream,
 )
@@ -168,6 +169,27 @@ def test_intake_stream_equals_batch(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "ledger")).count() == 7
 
 
+def test_expired_keys_are_processed_anew(spark, tmp_path):
+    """A key that came in an earlier batch is a replay within its lifetime and new after it; no delivery
+    ends without a result."""
+    rows = spark.createDataFrame([(0, '{"a":1}'), (1, '{"a":1}'), (2, '{"a":1}')], "seq long, payload string")
+    write_files(rows, str(tmp_path / "in"), 3)
+    ledger = T.StructType([T.StructField(KEY, T.StringType()), T.StructField("n", T.IntegerType())])
+
+    def count_chars(firsts):
+        return firsts.select(KEY, "first_seq", F.length("payload").alias("n"))
+
+    for lifetime, fresh in ((0.0, 3), (86_400.0, 1)):
+        folder = tmp_path / str(lifetime)
+        stream = read_stream(spark, str(tmp_path / "in"), rows.schema, files_per_trigger=1)
+        idempotent_stream(
+            stream, count_chars, ledger, str(folder / "ledger"), str(folder / "out"), str(folder / "check"), lifetime
+        ).awaitTermination()
+        out = spark.read.parquet(str(folder / "out")).collect()
+        assert [r.n for r in out] == [7, 7, 7]
+        assert sum(not r.was_replay for r in out) == fresh
+
+
 def test_dedupe_triage_and_enrich_streams(spark, tmp_path):
     day = datetime(2024, 1, 1)
     rows = [(i, day + timedelta(minutes=i), json.dumps({**VALID, "company_id": f"C{i % 4}", "received_at": str(i)}))
