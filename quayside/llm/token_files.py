@@ -38,8 +38,10 @@ class DocumentTokenizer:
 
     def __init__(self, json_text: str):
         import json
+        import os
         import re
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one task, one thread
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(json_text)
