@@ -92,49 +92,42 @@ class DocumentTokenizer:
         """Little-endian unsigned 32-bit ids of each text, without an end id."""
         if not self.by_runs:
             return self._encoded(texts)
-        get = self.young.get
-        whole, heads, found, missing = [], [], [], set()
+        young, old = self.young, self.old.get
+        whole, heads, split, missing = [], [], [], set()
         for text in texts:
             if self.inner.search(text):
                 whole.append(text)
-                found.append(None)
+                split.append(None)
                 continue
             head, *runs = text.split(" ")
             heads.append(head)
-            ids = list(map(get, runs))
-            if None in ids:
-                missing.update(r for r, i in zip(runs, ids, strict=True) if i is None)
-            found.append((runs, ids))
-        known, need, tailed = {}, set(), []
-        old = self.old.get
+            split.append(runs)
+            missing.update(set(runs) - young.keys())
+        need, tailed = set(), []
         for run in missing:
             ids = old(run)
             if ids is not None:
-                known[run] = ids
+                young[run] = ids
             elif run[-1:] in self.marks and run[:-1].isalpha():
                 # Letters and one mark are two pre-tokens.
                 tailed.append(run)
-                if (base := get(run[:-1]) or old(run[:-1])) is not None:
-                    known[run[:-1]] = base
-                else:
-                    need.add(run[:-1])
+                if run[:-1] not in young:
+                    if (base := old(run[:-1])) is not None:
+                        young[run[:-1]] = base
+                    else:
+                        need.add(run[:-1])
             else:
                 need.add(run)
-        known.update(self._run_ids(list(need)))
-        known.update((r, known[r[:-1]] + self.marks[r[-1]]) for r in tailed)
-        if len(self.young) > REMEMBERED:
-            self.young, self.old = {}, self.young
-        self.young.update((r, ids) for r, ids in known.items() if len(r) <= LONGEST)
+        young.update(self._run_ids(list(need)))
+        young.update((r, young[r[:-1]] + self.marks[r[-1]]) for r in tailed)
         wholes, firsts = iter(self._encoded(whole)), iter(self._encoded(heads))
-        out = []
-        for entry in found:
-            if entry is None:
-                out.append(next(wholes))
-                continue
-            runs, ids = entry
-            if None in ids:
-                ids = [known[r] if i is None else i for r, i in zip(runs, ids, strict=True)]
-            out.append(next(firsts) + b"".join(ids))
+        ids_of = young.__getitem__
+        out = [next(wholes) if runs is None else next(firsts) + b"".join(map(ids_of, runs)) for runs in split]
+        for run in missing:
+            if len(run) > LONGEST:
+                del young[run]
+        if len(young) > REMEMBERED:
+            self.young, self.old = {}, young
         return out
 
 
