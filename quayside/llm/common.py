@@ -63,6 +63,11 @@ def binary_array(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     ).cast(pa.binary())
 
 
+def give_back() -> None:
+    """Return what Arrow holds in reserve: a Python worker lives on when its task is over."""
+    pa.default_memory_pool().release_unused()
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 20_000) -> Iterator[pa.Table]:
     """Tables of whole groups from batches sorted by ``keys``: the last group of what has been read
     waits until its end has been seen."""

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import ROW, packed
+from quayside.llm.common import ROW, give_back, packed
 
 SPACE = "▁"
 # Types of pieces and models in the file format.
@@ -122,8 +122,7 @@ class PieceTransducer:
         # Inputs may be cut before a run of spaces if no piece goes on across such a place.
         across = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         self.cut = None if across else re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        self._segments = _Memory(REMEMBERED)
-        self._pairs = _Memory(REMEMBERED)
+        self.forget()
 
     def _add(self, piece: str, score: float, kind: int) -> None:
         at = len(self.pieces)
@@ -139,6 +138,11 @@ class PieceTransducer:
             if kind == UNKNOWN:
                 self.unknown = at
 
+    def forget(self) -> None:
+        """Empty the memories; the machines stay."""
+        self._segments = _Memory(REMEMBERED)
+        self._pairs = _Memory(REMEMBERED)
+
     # The normaliser.
     def normalise(self, text: str) -> str:
         if self.strip:
@@ -284,6 +288,8 @@ def encode_documents(
                      pa.array(total[bounds[1:]] - total[bounds[:-1]])],
                     names=[ROW, "ids", "n_fallback"],
                 )
+        machine.forget()
+        give_back()
 
     given = docs.select(packed(docs, text_col, ids, n_fallback), docs[text_col].cast("string").alias("text"))
     row_type = given.schema[ROW].dataType.simpleString()

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import n_partitions
+from quayside.llm.common import give_back, n_partitions
 
 END_ID = 0
 ROW_GROUP_BYTES = 32 << 20
@@ -56,7 +56,10 @@ class DocumentTokenizer:
         self.space = re.compile(r"\s")
         self.line_end = self.library.encode("\n", add_special_tokens=False).ids[0]
         self.marks = {m: self._encoded([m])[0] for m in ".,;:!?"}
-        # Two generations: a full young one becomes the old one, which is forgotten.
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty both generations of memory: a full young one becomes the old one, which is forgotten."""
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -176,6 +179,8 @@ def write_tokens(
                     names=["doc_id", "part", "begin", "n_tokens", "ids"],
                 )
                 begin += int(bounds[-1])
+        machine.forget()
+        give_back()
 
     ordered = (
         docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))

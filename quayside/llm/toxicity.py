@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import checkpointed, in_fold
+from quayside.llm.common import checkpointed, give_back, in_fold
 
 FOLDS = 5
 HELD_OUT = 0
@@ -52,7 +52,7 @@ IDENTITY_TERMS = (
     ("cristianos", "musulmanes", "judíos", "budistas", "ateos"),
 )
 _WORDS = re.compile(rb"[a-z0-9\x80-\xff]+")
-_CACHE = 500_000
+_CACHE = 100_000
 
 
 def _swaps() -> dict[bytes, tuple[bytes, ...]]:
@@ -282,6 +282,7 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", out: st
         one = model.scorer()
         for texts in parts:
             yield pd.Series([one(t) for t in texts], dtype=float)
+        give_back()
 
     run.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
     scored = F.pandas_udf(run, "double")
