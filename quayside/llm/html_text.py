@@ -51,6 +51,8 @@ AGAINST = frozenset(
 )
 FOR = frozenset("article body content entry main post story text".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
+# Where a raw element ends; nothing before is markup.
+_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I) for tag in RAW}
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PARTS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 
@@ -79,19 +81,23 @@ def tokens_of(page: str) -> Iterator[Token]:
     styles and comments hold is not text."""
     stack: list[tuple[str, str]] = []
     zone, block, marked, hidden, aside = "body", "body", 0, 0, False
-    raw: str | None = None
-    for found in _TOKEN.finditer(page):
-        tag = found[2]
+    at, raw = 0, None
+    while at < len(page):
+        if raw is None:
+            found = _TOKEN.match(page, at)
+            at, tag, closes = found.end(), found[2], bool(found[1])
+        else:
+            found = _ENDS[raw].search(page, at)
+            if found is None:
+                return
+            at, tag, closes, raw = found.end(), raw, True, None
         if tag is None:
             text = found[0]
-            if raw is None and not text.startswith(("<!", "<?")):
+            if not text.startswith(("<!", "<?")):
                 yield Token(html.unescape(text), zone, block, marked > 0, False, hidden > 0, aside)
             continue
         tag = tag.lower()
-        if raw is not None and not (found[1] and tag == raw):
-            continue
-        if found[1]:
-            raw = None
+        if closes:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if depth is not None:
                 del stack[depth:]

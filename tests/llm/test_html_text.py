@@ -45,3 +45,17 @@ def test_learned_weights(spark):
     assert got[100] == "plain page with its own words in it"
     assert got[101] == ""
     assert fit(df.limit(0)).zones == {}
+
+
+def test_scripts_are_not_markup():
+    """What a raw element holds ends at its end tag only, whatever it looks like."""
+    scripts = (
+        "for(i=0;i<n;i++){f(i)}", "for(i=0;i<n;i++){f(\"it's\")}", "x = '<!-- never closed';", "<![CDATA[ x", "<!doctype", 'a<b?"\'', "a<b",
+        "s='</scripted>'+'</ script>'",
+    )
+    for script in scripts:
+        for end in ("</script>", "</SCRIPT >", "</script\n>"):
+            page = f"<body><script>{script}{end}<article><p>Text of the article</p></article><script>g()</script></body>"
+            assert extract(page, PRIOR) == "Text of the article", (script, end)
+    assert extract("<p>Text before</p><style>a<b {} <p>no</p>", PRIOR) == "Text before"
+    assert extract("<title>1 <2 & <!-- 3</Title><p>Text behind</p>", PRIOR) == "Text behind"
