@@ -8,6 +8,7 @@ finds the contiguous run with the largest sum.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import math
 import re
@@ -25,6 +26,8 @@ from quayside.llm.common import checkpointed
 # Bounds of the fit: marked pages (the first by a hash of the id) and kinds of places that get weights.
 SAMPLE_PAGES = 4_000
 MAX_KINDS = 20_000
+# Names of a zone beyond so many characters are kept as a hash.
+ZONE_CHARS = 200
 TAG_WEIGHT = -0.5
 INLINE_WEIGHT = -0.1
 # Log odds before anything is counted, and how many words that opinion counts for.
@@ -73,7 +76,15 @@ class Token:
 
 def _zone(tag: str, attributes: str) -> str:
     names = sorted({n.lower() for m in _NAMES.finditer(attributes) for n in (m[1] or m[2] or m[3] or "").split()})
-    return f"{tag}.{'.'.join(names)}"[:200] if names else tag
+    if not names:
+        return tag
+    zone = f"{tag}.{'.'.join(names)}"
+    if len(zone) <= ZONE_CHARS:
+        return zone
+    # Of a longer one the telling words and a hash of all, in digits, which are no words themselves.
+    telling = sorted({p for n in names for p in _PARTS.findall(n)} & (AGAINST | FOR))
+    digest = hashlib.blake2b(zone.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+    return f"{tag}.{'.'.join([*telling, f'#{int.from_bytes(digest)}'])}"
 
 
 def tokens_of(page: str) -> Iterator[Token]:

@@ -1,4 +1,4 @@
-from quayside.llm.html_text import PageModel, extract, extract_pages, fit
+from quayside.llm.html_text import PageModel, _zone, extract, extract_pages, fit
 
 PRIOR = PageModel({}, {})
 LAYOUT = """<!DOCTYPE html><html><head><title>T &amp; x</title><style>p{{}}</style></head><body>
@@ -59,3 +59,20 @@ def test_scripts_are_not_markup():
             assert extract(page, PRIOR) == "Text of the article", (script, end)
     assert extract("<p>Text before</p><style>a<b {} <p>no</p>", PRIOR) == "Text before"
     assert extract("<title>1 <2 & <!-- 3</Title><p>Text behind</p>", PRIOR) == "Text behind"
+
+
+def test_zones_with_many_names(spark):
+    """Names count however late they stand, and zones that differ in a late name only are two."""
+    many = " ".join(f"a{i:03}-utility" for i in range(40))
+    story = "<p>The story has a few words of its own.</p>"
+    side = f'<div class="{many} sidebar"><p>Popular things with many more words than the story itself has, all of them in a box</p></div>'
+    assert extract(f"<body>{side}<div class=q>{story}</div>{side}</body>", PRIOR) == "The story has a few words of its own."
+    rest = "<div class='q1'><p>some</p></div>" * 20
+    assert extract(f'<div class="{many} story"><p>Few</p></div>{rest}', PRIOR).startswith("Few")
+    assert PRIOR.weight(_zone("div", f'class="{many} story"'), "p") == 3.0
+    assert PRIOR.weight(_zone("div", f'class="{many} sidebar"'), "p") == -3.0
+    assert PRIOR.weight(_zone("div", f'class="{many}"'), "p") == 0.5
+    rows = [(i, f'<div class="{many} z1"><p>box of page</p></div><article><div class="{many} z2"><p>content {i}</p></div></article>')
+            for i in range(40)]
+    model = fit(spark.createDataFrame(rows, "page_id long, html string"))
+    assert model.weight(_zone("div", f'class="{many} z1"'), "p") < 0 < model.weight(_zone("div", f'class="{many} z2"'), "p")
