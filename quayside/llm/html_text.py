@@ -26,6 +26,8 @@ from quayside.llm.common import checkpointed
 # Bounds of the fit: marked pages (the first by a hash of the id) and kinds of places that get weights.
 SAMPLE_PAGES = 4_000
 MAX_KINDS = 20_000
+# Content outside of an element that is spoken against: from this share of all on, the element stays so.
+CLEAR_SHARE = 0.05
 # Names of a zone beyond so many characters are kept as a hash.
 ZONE_CHARS = 200
 TAG_WEIGHT = -0.5
@@ -36,6 +38,7 @@ PRIOR_WORDS = 4.0
 
 # Elements by their role.
 MARKED = ("article", "main")
+WHOLE = ("html", "body")
 BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody "
@@ -63,7 +66,8 @@ _PARTS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 @dataclass(frozen=True)
 class Token:
     """A tag (no text) or the text between two tags; ``zone`` and ``block`` tell where it stands.
-    ``aside`` is true in what stands apart inside a content zone, such as an advert in an article."""
+    ``aside`` is true in what stands apart inside a content zone, such as an advert in an article; ``inner``
+    is the nearest zone where one around it, spoken against, is the ``zone``."""
 
     text: str | None
     zone: str
@@ -72,6 +76,27 @@ class Token:
     breaks: bool
     hidden: bool
     aside: bool
+    inner: str
+
+
+@dataclass
+class _Element:
+    """An open element and what follows from those around it; the later fields are set by ``_judge``."""
+
+    parent: int
+    tag: str
+    zone: str
+    opinion: float
+    block: str
+    marked: bool
+    hidden: bool
+    near: int
+    encloses: bool = False
+    against: int = -1
+    levels: int = 0
+    content: bool = False
+    aside: bool = False
+    kind: int = 0
 
 
 def _zone(tag: str, attributes: str) -> str:
@@ -90,56 +115,125 @@ def _zone(tag: str, attributes: str) -> str:
 def tokens_of(page: str) -> Iterator[Token]:
     """Tokens of a page in order. Unclosed elements end with the element around them; what scripts,
     styles and comments hold is not text."""
-    stack: list[tuple[str, str]] = []
-    zone, block, marked, hidden, aside = "body", "body", 0, 0, False
+    elements = [_Element(-1, "", "", 0.0, "body", False, False, -1)]
+    found: list[tuple[str | None, int, bool]] = []
+    stack = [0]
     at, raw = 0, None
     while at < len(page):
         if raw is None:
-            found = _TOKEN.match(page, at)
-            at, tag, closes = found.end(), found[2], bool(found[1])
+            part = _TOKEN.match(page, at)
+            at, tag, closes = part.end(), part[2], bool(part[1])
         else:
-            found = _ENDS[raw].search(page, at)
-            if found is None:
-                return
-            at, tag, closes, raw = found.end(), raw, True, None
+            part = _ENDS[raw].search(page, at)
+            if part is None:
+                break
+            at, tag, closes, raw = part.end(), raw, True, None
         if tag is None:
-            text = found[0]
+            text = part[0]
             if not text.startswith(("<!", "<?")):
-                yield Token(html.unescape(text), zone, block, marked > 0, False, hidden > 0, aside)
+                found.append((html.unescape(text), stack[-1], False))
             continue
         tag = tag.lower()
         if closes:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            depth = next((i for i in range(len(stack) - 1, 0, -1) if elements[stack[i]].tag == tag), None)
             if depth is not None:
                 del stack[depth:]
-        elif tag not in VOID and not found[3].rstrip().endswith("/"):
-            if tag in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and stack:
+        elif tag not in VOID and not part[3].rstrip().endswith("/"):
+            if tag in ("p", "li", "tr", "td", "th", "dt", "dd", "option"):
                 # A paragraph or item ends where the next begins, inside the same zone.
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
+                for i in range(len(stack) - 1, 0, -1):
+                    if elements[stack[i]].tag == tag:
                         del stack[i:]
                         break
-                    if stack[i][0] in ZONES:
+                    if elements[stack[i]].tag in ZONES:
                         break
-            stack.append((tag, _zone(tag, found[3])))
+            around = elements[stack[-1]]
+            zone, n = _zone(tag, part[3]), len(elements)
+            elements.append(_Element(
+                stack[-1], tag, zone, 0.0 if tag in WHOLE else _opinion(zone), tag if tag in BLOCKS else around.block,
+                around.marked or tag in MARKED, around.hidden or tag in UNSEEN, n if tag in ZONES else around.near,
+                encloses=tag in WHOLE,
+            ))
+            if tag == "main":
+                for i in stack:
+                    elements[i].encloses = True
+            stack.append(n)
             raw = tag if tag in RAW else None
-        zone = next((z for t, z in reversed(stack) if t in ZONES), "body")
-        content = aside = False
-        for _, name in stack:
-            if _opinion(name) < 0 and not (content and name == "header"):
-                zone, aside = name, content
-                break
-            content |= _opinion(name) >= PRIOR
-        block = next((t for t, _ in reversed(stack) if t in BLOCKS), "body")
-        marked = sum(t in MARKED for t, _ in stack)
-        hidden = sum(t in UNSEEN for t, _ in stack)
-        yield Token(None, zone, block, marked > 0, tag in BLOCKS, hidden > 0, aside)
+        found.append((None, stack[-1], tag in BLOCKS))
+    words = [0] * len(elements)
+    for text, i, _ in found:
+        if text is not None and not elements[i].hidden:
+            words[i] += len(text.split())
+    _judge(elements)
+    while _enclosing(elements, words):
+        _judge(elements)
+    for text, i, breaks in found:
+        e = elements[i]
+        near = elements[e.near] if e.near >= 0 else None
+        inner = "body" if near is None else f"!{near.zone}" if near.encloses and near.opinion < 0 else near.zone
+        zone = elements[e.against].zone if e.against >= 0 else inner
+        yield Token(text, zone, e.block, e.marked, breaks, e.hidden, e.aside, inner)
+
+
+def _judge(elements: list[_Element]) -> None:
+    """Set for every element the outermost one around it that is spoken against and does not enclose the
+    content (``against``, with the number of such in ``levels``), and the nearest telling one's ``kind``:
+    2 marked, 1 named as content, 0 else."""
+    for i, e in enumerate(elements[1:], 1):
+        around = elements[e.parent]
+        e.against, e.levels, e.aside, e.content, e.kind = around.against, around.levels, around.aside, around.content, around.kind
+        if e.opinion < 0:
+            if not e.encloses and not (around.content and e.zone == "header"):
+                e.levels, e.kind = e.levels + 1, 0
+                if e.against < 0:
+                    e.against, e.aside = i, around.content
+        elif e.opinion >= PRIOR:
+            e.kind = max(2 if e.tag in MARKED else 1, e.kind)
+            e.content |= e.against < 0
+
+
+def _enclosing(elements: list[_Element], words: list[int]) -> bool:
+    """Find elements that are spoken against but enclose the content of the page: hardly any content
+    stands outside of them. Names such as "has-sidebar" of a frame around everything tell nothing. Where
+    no content is marked or named, it is a frame if it has other elements spoken against inside. A nav,
+    footer or the like is one only if marked content is in it. False if there are none."""
+    clear = [0, 0, 0]
+    inside: dict[int, list[int]] = {}
+    framed: set[int] = set()
+    for e, n in zip(elements, words, strict=True):
+        if n and e.against < 0:
+            clear[e.kind] += n
+        elif n:
+            inside.setdefault(e.against, [0, 0, 0])[e.kind] += n
+            if e.levels > 1:
+                framed.add(e.against)
+    if not inside:
+        return False
+    gains = {i: k[2] + k[1] * (k[2] > 0 or elements[i].tag not in APART or elements[i].tag == "form") for i, k in inside.items()}
+    top = max(gains.values())
+    if top:
+        named = not any(inside[i][2] for i, gain in gains.items() if 2 * gain >= top)
+        if clear[1] + clear[2] >= CLEAR_SHARE * (clear[1] + clear[2] + sum(gains.values())) or named and clear[0] >= top:
+            return False
+        chosen = [i for i, gain in gains.items() if 2 * gain >= top]
+    else:
+        chosen = [i for i in framed if elements[i].tag not in APART or elements[i].tag == "form"]
+        if sum(clear) >= CLEAR_SHARE * (sum(clear) + sum(sum(inside[i]) for i in chosen)):
+            return False
+    for i in chosen:
+        elements[i].encloses = True
+    return bool(chosen)
 
 
 def _opinion(zone: str) -> float:
-    """Prior log odds that words of a zone are content, from its names."""
+    """Prior log odds that words of a zone are content, from its names; those of a frame around the
+    content ("!" before it) tell nothing."""
     tag, _, names = zone.partition(".")
     parts = {p.lower() for p in _PARTS.findall(names)}
+    if zone.startswith("!"):
+        return 0.5
+    if tag == "main":
+        return PRIOR
     if parts & AGAINST or tag in APART:
         return -PRIOR
     if parts & FOR or tag in MARKED:
@@ -168,8 +262,17 @@ class PageModel:
 def extract(page: str | None, model: PageModel) -> str:
     """Text of the best run: its blocks joined by one newline, white space inside a block turned into one
     space. Inside the run, words of places that speak against content are left out; those that stand apart
-    in a content zone weigh no more than a tag."""
+    in a content zone weigh no more than a tag. If nothing is left, zones with names that were counted outvote a
+    zone around them that was not."""
     tokens = list(tokens_of(page or ""))
+    text = _best_run(tokens, model, [t.zone for t in tokens])
+    if not text and model.zones:
+        counted = [t.inner if "." in t.inner and t.inner in model.zones and t.zone not in model.zones else t.zone for t in tokens]
+        text = _best_run(tokens, model, counted)
+    return text
+
+
+def _best_run(tokens: list[Token], model: PageModel, zones: list[str]) -> str:
     best, best_at, total, begin = 0.0, (0, 0), 0.0, 0
     weights: dict[tuple[str, str], float] = {}
     scores = []
@@ -177,7 +280,7 @@ def extract(page: str | None, model: PageModel) -> str:
         if token.text is None:
             score = TAG_WEIGHT if token.breaks else INLINE_WEIGHT
         else:
-            key = (token.zone, token.block)
+            key = (zones[i], token.block)
             if key not in weights:
                 weights[key] = model.weight(*key)
             words = len(token.text.split())

@@ -1,3 +1,5 @@
+import pytest
+
 from quayside.llm.html_text import PageModel, _zone, extract, extract_pages, fit
 
 PRIOR = PageModel({}, {})
@@ -76,3 +78,38 @@ def test_zones_with_many_names(spark):
             for i in range(40)]
     model = fit(spark.createDataFrame(rows, "page_id long, html string"))
     assert model.weight(_zone("div", f'class="{many} z1"'), "p") < 0 < model.weight(_zone("div", f'class="{many} z2"'), "p")
+
+
+STORY = "<h1>A title of the story</h1><p>The story has a few words of its own.</p><p>And some more of them here.</p>"
+TOLD = "A title of the story\nThe story has a few words of its own.\nAnd some more of them here."
+MENU = "<nav><ul><li>One<li>Two more</ul></nav><div class='sidebar'><ul><li class='post'>Popular things are here</ul></div>"
+
+
+@pytest.mark.parametrize("frame", [
+    '<body class="has-sidebar">{}</body>', '<html class="header-fixed"><body class="single-post">{}</body></html>',
+    '<body><div id="page" class="header-fixed"><div class="search share">{}</div></div></body>', '<form id="aspnetForm">{}</form>',
+    '<body><a href=#c>Skip</a><div class="no-sidebar">{}</div></body>',
+])
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<main class='header-fixed'>{}</main>", "<div class=content>{}</div>", "<div class=q>{}</div>"])
+def test_frames_around_the_content(frame, inner):
+    """Names of what encloses the content do not speak against it; those of what stands beside it do."""
+    assert extract(frame.format(MENU + inner.format(STORY) + "<footer>The foot</footer>"), PRIOR) == TOLD
+
+
+def test_boxes_are_not_frames():
+    box = "<div class='{}'><div class='content'><p>Many words stand in this box, more than in the story, and all are beside it. Read on.</p></div></div>"
+    for name in ("sidebar", "comments", "related"):
+        for inner in ("<article>{}</article>", "<div class=content>{}</div>", "<main>{}</main>"):
+            assert extract(f"<body>{inner.format(STORY)}{box.format(name)}</body>", PRIOR) == TOLD
+            assert extract(f"<body class='has-sidebar'>{box.format(name)}{inner.format(STORY)}</body>", PRIOR) == TOLD
+    assert extract("<footer><div class=content>Only a footer</div></footer>", PRIOR) == ""
+    assert extract("<div class=sidebar><p>Only a box</p></div>", PRIOR) == ""
+
+
+def test_counted_zones_outvote_names(spark):
+    rows = [(i, f"<div class='header-fixed' id='page'>{MENU}<article><div class='zz'><p>content {i} has words</p></div></article></div>")
+            for i in range(40)]
+    model = fit(spark.createDataFrame(rows, "page_id long, html string"))
+    assert model.weight("nav", "li") < 0 < model.weight("div.zz", "p")
+    assert extract(rows[3][1], model) == "content 3 has words"
+    assert extract(f"<div class='share-box'><div class='zz'>{STORY}</div></div>", model) == TOLD
