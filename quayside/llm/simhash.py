@@ -13,12 +13,13 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import checkpointed, group_bounds, n_partitions, pairs_within, whole_groups
+from quayside.llm.common import ROW, checkpointed, group_bounds, n_partitions, packed, pairs_within, whole_groups
 from quayside.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -186,36 +187,53 @@ def near_fingerprints(nodes: DataFrame, max_bits: int = MAX_BITS, cell_rows: int
     return first.filter("b is not null").select("a", "b").unionByName(second.select("a", "b"))
 
 
+def _linked(printed: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, group): the fingerprints of rows with an id, each with the smallest it can reach."""
+    nodes = checkpointed(printed.filter("doc_id is not null").select("fp").distinct().withColumn("node", F.col("fp")))
+    found = components(near_fingerprints(nodes, max_bits), "a", "b")
+    return nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("group"))
+
+
 def simhash_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS
 ) -> DataFrame:
     """(doc_id, fp, component_id), one row per input row.
 
-    Equal fingerprints are one node, named by their smallest doc_id; only nodes are
-    compared. ``component_id`` is the smallest doc_id reachable through links of at most
-    ``max_bits`` differing bits. A fingerprint that only rows with a null doc_id have is linked to nothing and
+    Equal fingerprints are one node; only nodes are compared. ``component_id`` is the smallest doc_id
+    reachable through links of at most ``max_bits`` differing bits; that rows repeat a doc_id links nothing.
+    A fingerprint that only rows with a null doc_id have is linked to nothing and
     its component_id is null. Repeated rows share a component. Empty input gives an empty table.
     """
     printed = checkpointed(fingerprints(docs, id_col, text_col))
-    nodes = checkpointed(printed.groupBy("fp").agg(F.min("doc_id").alias("node")))
-    named = nodes.filter("node is not null")
-    found = components(near_fingerprints(named, max_bits), "a", "b")
-    labelled = nodes.join(found, "node", "left").select(
-        "fp", F.coalesce("component", "node").alias("component_id")
-    )
+    firsts = printed.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    grouped = checkpointed(firsts.join(_linked(printed, max_bits), "fp", "left"))
+    smallest = grouped.filter("group is not null").groupBy("group").agg(F.min("first").alias("component_id"))
+    labelled = grouped.join(smallest, "group", "left").select("fp", "component_id")
     return printed.join(labelled, "fp").select("doc_id", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group: the one with the smallest id. Of rows that repeat that
-    id the one with the smallest text stays; rows without id stay."""
-    groups = simhash_groups(docs, id_col, text_col)
-    kept = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("_qs_id")).distinct()
-    rank = F.row_number().over(Window.partitionBy("_qs_id").orderBy(F.col(text_col).asc_nulls_first()))
-    first = (
-        docs.join(kept, F.col(id_col) == F.col("_qs_id"))
-        .withColumn("_qs_k", rank)
-        .filter("_qs_k = 1")
-        .select(*docs.columns)
+    """``docs`` with one row of each group of linked fingerprints: the one with the smallest id and, of rows
+    that repeat that id in the group, the one with the smallest text. Rows without id stay."""
+    printed = checkpointed(fingerprints(docs, id_col, text_col).filter("doc_id is not null"))
+    linked = checkpointed(_linked(printed, MAX_BITS))
+    first = checkpointed(printed.join(linked, "fp").groupBy("group").agg(F.min("doc_id").alias("_qs_id")))
+    again = checkpointed(printed.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_qs_id")))
+    row_id = F.col(id_col).cast("long") == F.col("_qs_id")
+    once = docs.join(first.join(again, "_qs_id", "left_anti").select("_qs_id").distinct(), row_id, "left_semi")
+
+    @F.pandas_udf("long")
+    def print_of(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint((t or "").encode()) for t in texts], dtype=np.uint64).view(np.int64))
+
+    # Rows of a repeated id are told apart by their own fingerprints; the smallest is a partial aggregate.
+    several = first.join(again, "_qs_id", "left_semi")
+    rows = (
+        docs.join(several.select("_qs_id").distinct(), row_id, "left_semi")
+        .select(F.col(id_col).cast("long").alias("_qs_id"), F.col(text_col).cast("string").alias("text"), packed(docs))
+        .withColumn("fp", print_of("text"))
+        .join(linked, "fp").join(several, ["group", "_qs_id"])
+        .groupBy("group", "_qs_id").agg(F.min_by(ROW, F.struct("text")).alias(ROW))
+        .select(f"{ROW}.*")
     )
-    return first.unionByName(docs.filter(F.col(id_col).isNull()))
+    return once.unionByName(rows).unionByName(docs.filter(F.col(id_col).isNull()))

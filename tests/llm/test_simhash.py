@@ -68,3 +68,18 @@ def test_kept_documents(spark):
     assert kept.columns == df.columns
     assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 1, 3]
     assert simhash.drop_near_duplicates(df.limit(0)).count() == 0
+
+
+def test_repeated_ids_link_nothing(spark):
+    """Each text of a repeated id counts for the group of its own fingerprint."""
+    unlike = ["one two three four five six", "red green blue grey white black", "north south east west up down", "do re mi fa so la"]
+    rows = [(1, unlike[0]), (5, unlike[0].upper()), (5, unlike[1]), (5, unlike[1].upper()), (7, unlike[1]), (7, unlike[2]), (8, None), (8, ""),
+            (9, unlike[3]), (None, unlike[3])]
+    df = spark.createDataFrame([(i, t, {"n": n}) for n, (i, t) in enumerate(rows)], "doc_id long, text string, first map<string,int>")
+    kept = simhash.drop_near_duplicates(df)
+    assert kept.columns == df.columns
+    got = sorted(((r["doc_id"] or 0), r["text"]) for r in kept.collect() if r["doc_id"] != 8)
+    assert got == [(0, unlike[3]), (1, unlike[0]), (5, unlike[1].upper()), (7, unlike[2]), (9, unlike[3])]
+    assert [r["text"] for r in kept.filter("doc_id = 8").collect()] == [None]
+    found = sorted((r["doc_id"], r["component_id"]) for r in simhash.simhash_groups(df).collect() if r["doc_id"])
+    assert found == [(1, 1), (5, 1), (5, 5), (5, 5), (7, 5), (7, 7), (8, 8), (8, 8), (9, 9)]
