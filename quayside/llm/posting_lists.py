@@ -29,6 +29,8 @@ MAX_LISTS = 4096
 LIST_ROWS = 800
 REPLICAS = 4
 REPLICA_RATIO = 1.10
+# How many times as many lists a query reads that has found too little.
+WIDER = 8
 SEARCH_RATIO = 1.08
 GRAPH_NEIGHBOURS = 16
 # Rows of a list, and queries of a list, that one task handles at once.
@@ -187,16 +189,8 @@ def nearest(
         .mapInArrow(lambda b: post(b, False), f"id long, vector {kind}, list int, nth int")
     )
     wanted = checkpointed(asked.mapInArrow(lambda b: post(b, True), f"id long, vector {kind}, list int, nth int"))
-    # Long lists, and lists that many queries read, are cut into parts. There are MAX_LISTS lists at most.
-    sizes = (
-        posted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("parts"))
-        .join(wanted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / PART_QUERIES).cast("int").alias("q_parts")), "list")
-    )
-    sizes = F.broadcast(checkpointed(sizes))
     part_of = lambda count: F.pmod(F.xxhash64("id"), F.col(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-    left = posted.join(sizes, "list").withColumn("part", part_of("parts")).withColumn("q_part", every("q_parts"))
-    left = left.select("list", "part", "q_part", "id", "vector")
     keys = ["list", "part", "q_part"]
 
     def scan(key, rows: pa.Table, asking: pa.Table) -> pa.Table:
@@ -220,7 +214,17 @@ def nearest(
         cat = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts])
         return pa.table({"query_id": cat(out_q, np.int64), "node": cat(out_n, np.int64), "score": cat(out_s, np.float64)})
 
-    def scanned(asking: DataFrame) -> DataFrame:
+    def sizes_of(wanted: DataFrame) -> DataFrame:
+        # Long lists, and lists that many queries read, are cut into parts. There are MAX_LISTS lists at most.
+        sizes = (
+            posted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("parts"))
+            .join(wanted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / PART_QUERIES).cast("int").alias("q_parts")), "list")
+        )
+        return F.broadcast(checkpointed(sizes))
+
+    def scanned(asking: DataFrame, sizes: DataFrame) -> DataFrame:
+        left = posted.join(sizes, "list").withColumn("part", part_of("parts")).withColumn("q_part", every("q_parts"))
+        left = left.select("list", "part", "q_part", "id", "vector")
         right = asking.join(sizes, "list").withColumn("q_part", part_of("q_parts")).withColumn("part", every("parts"))
         return (
             left.repartition(tasks, *keys).groupBy(*keys)
@@ -230,26 +234,63 @@ def nearest(
 
     # The nearest list first: its scores bound what the other lists have to report.
     lowest = F.lit(float("-inf"))
-    nearest_list = checkpointed(scanned(wanted.filter("nth = 0").withColumn("least", lowest)))
+    sizes = sizes_of(wanted)
+    nearest_list = checkpointed(scanned(wanted.filter("nth = 0").withColumn("least", lowest), sizes))
     place = Window.partitionBy("query_id").orderBy(F.desc("score"))
     bound = (
         nearest_list.withColumn("at", F.row_number().over(place)).filter(F.col("at") == k + 1)
         .select(F.col("query_id").alias("id"), F.col("score").alias("least"))
     )
     others = wanted.filter("nth > 0").join(bound, "id", "left").withColumn("least", F.coalesce("least", lowest))
-    scored = nearest_list.unionByName(scanned(others))
-    classes_found = (
-        scored.groupBy("query_id", "node").agg(F.max("score").alias("score"))
-        .withColumn("nth", F.rank().over(Window.partitionBy("query_id").orderBy(F.desc("score"))))
-        .filter(F.col("nth") <= k + 1)
-    )
+    scored = nearest_list.unionByName(scanned(others, sizes))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (
-        classes_found.join(classes.select("node", "ids"), "node")
-        .select("query_id", F.explode("ids").alias("vec_id"), "score")
-        .filter("vec_id <> query_id")
-        .groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-        .withColumn("rank", F.row_number().over(best))
-        .filter(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+
+    def ranked(scored: DataFrame) -> DataFrame:
+        classes_found = (
+            scored.groupBy("query_id", "node").agg(F.max("score").alias("score"))
+            .withColumn("nth", F.rank().over(Window.partitionBy("query_id").orderBy(F.desc("score"))))
+            .filter(F.col("nth") <= k + 1)
+        )
+        return (
+            classes_found.join(classes.select("node", "ids"), "node")
+            .select("query_id", F.explode("ids").alias("vec_id"), "score")
+            .filter("vec_id <> query_id")
+            .groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+            .withColumn("rank", F.row_number().over(best))
+            .filter(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score")
+        )
+
+    if lists == 1:
+        return ranked(scored)
+
+    def widen(batches: Iterator[pa.RecordBatch], reads: int) -> Iterator[pa.RecordBatch]:
+        square = (graph.centroids**2).sum(axis=1)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                far = square[None, :] - 2 * _asked(matrix(part.column(1), width), longest) @ graph.centroids.T
+                near = np.argsort(far, axis=1, kind="stable")[:, :reads]
+                rows = pa.array(np.repeat(np.arange(part.num_rows), near.shape[1]))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(rows), part.column(1).take(rows), pa.array(near.ravel().astype(np.int32))],
+                    names=["id", "vector", "list"],
+                )
+
+    # Queries with fewer than k results read further lists, until they have k or have read all.
+    found, reads, settled = checkpointed(ranked(scored)), 1, []
+    asking = wanted.filter("nth = 0").select("id", "vector")
+    while True:
+        enough = found.groupBy("query_id").count().filter(F.col("count") >= k).select(F.col("query_id").alias("id"))
+        short = checkpointed(asking.join(enough, "id", "left_anti"))
+        if reads == lists or short.isEmpty():
+            break
+        settled.append(found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti"))
+        reads, asking = min(lists, WIDER * reads), short
+        more = short.mapInArrow(lambda b, reads=reads: widen(b, reads), f"id long, vector {kind}, list int")
+        before = wanted.join(short.select("id"), "id", "left_semi").select("id", "vector", "list")
+        more = checkpointed(more.unionByName(before).dropDuplicates(["id", "list"]))
+        found = checkpointed(ranked(scanned(more.withColumn("least", lowest), sizes_of(more))))
+    for part in settled:
+        found = found.unionByName(part)
+    return found

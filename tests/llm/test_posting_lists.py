@@ -46,3 +46,18 @@ def test_graph_finds_all_near_centroids():
     for point in rng.standard_normal((50, 6)):
         far = np.sqrt(((graph.centroids - point) ** 2).sum(axis=1))
         assert set(graph.within(point, 1.1)) == set(np.flatnonzero(far <= 1.1 * far.min()))
+
+
+def test_small_clusters_far_apart_give_k(spark):
+    """A query whose near lists hold fewer than k others reads further ones."""
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((64, 16)) * 10
+    rows = [(i, [float(c) for c in centres[i % 64] + 0.01 * rng.standard_normal(16)]) for i in range(512)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {}
+    for r in nearest(df, df.filter("vec_id < 20"), list_rows=8, replicas=1).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    assert set(got) == set(range(20))
+    assert all([f[0] for f in found] == list(range(1, 21)) and len({f[1] for f in found}) == 20 for found in got.values())
+    few = df.filter("vec_id < 15")
+    assert nearest(few, few, list_rows=2, replicas=1).groupBy("query_id").count().filter("count <> 14").count() == 0
