@@ -60,6 +60,7 @@ from quayside.sources.tables import (
     read_existing,
     read_ledger,
     read_risk,
+    read_stream,
     read_submissions,
     upsert_ledger,
     write_split,
@@ -78,6 +79,8 @@ from quayside.streaming.jobs import (
 BREAKER_THRESHOLD = 2
 BREAKER_RECOVERY_S = 43_200.0
 LARGE_SHOP = 2_000_000
+PERIOD_ENDS = ("1994-01-01", "1996-01-01")
+KEY_LIFETIME_S = 730 * 86_400.0
 
 
 def _joined(column: str) -> Column:
@@ -565,6 +568,28 @@ def stream_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/records").drop("batch")
 
 
+def stream_key_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over the deliveries of three periods; a key lives two years from its first delivery."""
+    folder = _scratch(spark, "expiry")
+    rows = feed(spark, sf_dir, "order_deliveries").withColumn("received_at", F.col("received_at").cast("timestamp"))
+    ledger = T.StructType([T.StructField(c, T.StringType()) for c in (KEY, "status", "reason")])
+    begins = [F.lit(day).cast("timestamp") for day in ("0001-01-01", *PERIOD_ENDS, "9999-01-01")]
+    for low, high in zip(begins, begins[1:]):
+        period = rows.filter((F.col("received_at") >= low) & (F.col("received_at") < high))
+        period.write.mode("append").parquet(f"{folder}/in")
+        idempotent_stream(
+            read_stream(spark, f"{folder}/in", rows.schema),
+            _triage_firsts,
+            ledger,
+            f"{folder}/ledger",
+            f"{folder}/records",
+            f"{folder}/checkpoint",
+            KEY_LIFETIME_S,
+            event_time="received_at",
+        ).awaitTermination()
+    return spark.read.parquet(f"{folder}/records").drop("batch")
+
+
 def stream_circuit(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _scratch(spark, "circuit")
     circuit_state_stream(
@@ -647,6 +672,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_enrich,
         stream_dedupe,
         stream_idempotent,
+        stream_key_expiry,
         stream_circuit,
         stream_intake,
     )

@@ -28,6 +28,7 @@ from quayside.operators.rules import DECLINED, Rule, default_rules, first_match
 from quayside.operators.enrichment import one_per_company
 from quayside.operators.triage import SUBMISSION_FIELDS, revenue_of, submission_columns
 
+CIRCUIT_OPEN = "circuit_open"
 PENDING, APPROVED, ERROR = "pending", "approved", "error"
 POTENTIAL_DUPLICATE = "potential_duplicate"
 
@@ -261,6 +262,23 @@ def context_schema(risk: DataFrame | None) -> T.StructType:
     )
 
 
+def chain_process(
+    chain: Sequence[PipelineStage], enrichment_type: T.StructType, with_circuit: bool
+) -> Callable[[DataFrame], DataFrame]:
+    """The stages as a process function: first deliveries to contexts. ``with_circuit``: the
+    deliveries tell whether they met an open circuit."""
+
+    def process(firsts: DataFrame) -> DataFrame:
+        contexts = new_contexts(firsts, enrichment_type)
+        is_open = F.coalesce(F.col(CIRCUIT_OPEN), F.lit(False)) if with_circuit else F.lit(False)
+        contexts = contexts.withColumn(CIRCUIT_OPEN, is_open)
+        for stage in chain:
+            contexts = stage.apply(contexts)
+        return contexts.select(KEY, FIRST, *CONTEXT_COLUMNS)
+
+    return process
+
+
 def run_pipeline(
     deliveries: DataFrame,
     *,
@@ -279,21 +297,11 @@ def run_pipeline(
     default chain. ``ledger`` holds idempotency_key and the context columns of earlier runs.
     """
     chain = stages or default_stages(rules, existing_ids, risk)
-    enrichment_type = enrichment_schema(risk)
-    carry = ["circuit_open"] if "circuit_open" in deliveries.columns else []
+    carry = [CIRCUIT_OPEN] if CIRCUIT_OPEN in deliveries.columns else []
     named = deliveries.select(seq, F.col(payload).alias("payload"), *carry)
-
-    def process(firsts: DataFrame) -> DataFrame:
-        contexts = new_contexts(firsts, enrichment_type)
-        is_open = F.coalesce(F.col("circuit_open"), F.lit(False)) if carry else F.lit(False)
-        contexts = contexts.withColumn("circuit_open", is_open)
-        for stage in chain:
-            contexts = stage.apply(contexts)
-        return contexts.select(KEY, FIRST, *CONTEXT_COLUMNS)
-
     return process_once(
         named,
-        process,
+        chain_process(chain, enrichment_schema(risk), bool(carry)),
         ledger,
         seq=seq,
         payload="payload",

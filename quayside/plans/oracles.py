@@ -303,6 +303,36 @@ def _sql(query: str, *parts: str) -> str:
     return with_feeds("").rstrip() + "".join("," + p for p in parts) + "\n" + query.strip()
 
 
+# A key in three periods: the claim in force in each is the period's own first delivery, unless an earlier claim is
+# less than two years old then.
+_CLAIMS = """
+in_period as (
+  select *, case when received_at < timestamp '1994-01-01' then 1
+    when received_at < timestamp '1996-01-01' then 2 else 3 end as period from keyed
+),
+period_firsts as (
+  select idempotency_key, period, {'seq': min(seq), 'at': arg_min(cast(received_at as timestamp), seq)} as f
+  from in_period group by all
+),
+by_key as (
+  select idempotency_key, any_value(f) filter (period = 1) as f1, any_value(f) filter (period = 2) as f2,
+    any_value(f) filter (period = 3) as f3
+  from period_firsts group by all
+),
+two as (
+  select *, case when f1 is null or f2.at >= f1.at + interval 730 day then f2 else f1 end as c2 from by_key
+),
+claims as (
+  select *, case when c2 is null or f3.at >= c2.at + interval 730 day then f3 else c2 end as c3 from two
+)"""
+_KEY_EXPIRY = f"""
+select p.seq, p.idempotency_key,
+  ({_VALID}) and p.seq <> case period when 1 then f1.seq when 2 then c2.seq else c3.seq end as was_replay,
+  case when {_VALID} then coalesce(fired, 'approved') end as status,
+  case when {_VALID} then fired_reason end as reason
+from in_period p join claims c on c.idempotency_key = p.idempotency_key join decided s on s.seq = p.submission_seq"""
+
+
 _ERRORS = """
 select seq, company_id, array_to_string(list_filter([
     case when company_name is null then 'company_name: Field required' end,
@@ -540,6 +570,7 @@ select dependency, seq, failure_run, failure_run >= 2 as threshold_reached from
         _sql("select distinct idempotency_key from keyed", *content)
     )
     checks["stream_idempotent"] = _per_order(checks["idem_first_delivery"])
+    checks["stream_key_expiry"] = _per_order(_sql(_KEY_EXPIRY, *content, _CLAIMS))
     checks["stream_circuit"] = checks["breaker_states"]
     checks["stream_intake"] = _per_order(checks["intake_results"])
     return checks

@@ -76,13 +76,27 @@ def read_stream(
     return reader.load(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    """Folder and its file system."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def ledger_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folder, fs = _folder(spark, path)
     return fs.exists(folder)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    folder, fs = _folder(spark, path)
+    fs.mkdirs(folder)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder, fs = _folder(spark, path)
+    fs.delete(folder, True)
+
+
 def read_ledger(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Stored results, or an empty table of that schema before the first run."""
     if not ledger_exists(spark, path):

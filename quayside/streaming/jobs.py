@@ -1,16 +1,13 @@
 """Streaming forms of the operators.
 
-Stateless ones (triage, enrichment) are the batch code on a streaming DataFrame. Stateful ones
-run the batch operator on every micro-batch and keep their state in tables: the ledger of
-processed keys, and the last failure run of every dependency. That way a key that floods a batch
-is split and pre-aggregated exactly as in batch, and a batch that runs again replaces its own
-output.
+Stateless ones (triage, enrichment) are the batch code on a streaming DataFrame. Processing each key once keeps
+claims and results as keyed state (``once``). The breaker runs the batch operator on every micro-batch
+and keeps the last failure run of every dependency in a table. A batch that runs again replaces its own output.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
-from datetime import datetime, timedelta
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,18 +23,12 @@ from quayside.operators.breaker import (
     last_runs,
 )
 from quayside.operators.enrichment import enrich
-from quayside.operators.idempotency import (
-    FIRST,
-    KEY,
-    Process,
-    Processed,
-    process_once,
-    with_key,
-)
+from quayside.operators.idempotency import FIRST, KEY, Process, with_key
 from quayside.operators.rules import Rule
 from quayside.operators.triage import triage
-from quayside.plans.intake import run_pipeline
-from quayside.sources.tables import ledger_exists
+from quayside.plans.intake import CIRCUIT_OPEN, chain_process, default_stages, enrichment_schema
+from quayside.sources.tables import ledger_exists, make_folder, read_stream, remove_folder
+from quayside.streaming.once import FRESH, IS_KEY, RESULT, Lifetime, once_per_key, one_per_key, rocksdb_state
 
 KEY_LIFETIME = "24 hours"
 BATCH = "batch"
@@ -65,10 +56,14 @@ def dedupe_stream(
     payload: str = "payload",
     exclude: Iterable[str] = DELIVERY_FIELDS,
 ) -> DataFrame:
-    """First arrival of every key; a key is forgotten after its lifetime in event time."""
+    """First arrival of every key; a key is forgotten after its lifetime in event time.
+
+    Every Arrow batch sends on one row per key, the earliest, so the state's tasks get a small part of a key that
+    floods the stream. Rows without an event time are kept apart by nothing else than their key.
+    """
     timed = deliveries.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    keyed = with_key(timed.withWatermark(event_time, lifetime), payload, exclude)
-    return keyed.dropDuplicatesWithinWatermark([KEY])
+    reduced = one_per_key(with_key(timed, payload, exclude), [KEY], event_time)
+    return reduced.withWatermark(event_time, lifetime).dropDuplicatesWithinWatermark([KEY])
 
 
 def _batch_folder(path: str, batch_id: int) -> str:
@@ -87,58 +82,55 @@ def _earlier_rows(spark: SparkSession, path: str, schema: T.StructType, batch_id
     return spark.read.schema(full).parquet(path).filter(F.col(BATCH) < batch_id)
 
 
-def _batch_time(spark: SparkSession, path: str, batch_id: int) -> datetime:
-    """The time of a batch: the clock when it first ran, stored so that all its jobs, and those of a
-    batch that runs again, decide by the same one."""
-    folder = _batch_folder(f"{path.rstrip('/')}_times", batch_id)
-    if not ledger_exists(spark, f"{folder}/_SUCCESS"):
-        now = spark.range(1).select(F.current_timestamp().alias("at"))
-        now.write.mode("overwrite").parquet(folder)
-    return spark.read.schema("at timestamp").parquet(folder).first()["at"]
-
-
-def _fresh_only(ledger: DataFrame | None, now: datetime, lifetime_s: float | None) -> DataFrame | None:
-    if ledger is None or lifetime_s is None:
-        return ledger
-    return ledger.filter(F.col("stored_at") >= F.lit(now - timedelta(seconds=lifetime_s)))
-
-
 def _process_batches(
     deliveries: DataFrame,
-    run: Callable[[DataFrame, DataFrame | None], Processed],
+    process: Process,
     result_schema: T.StructType,
     ledger_path: str,
     records_path: str,
     checkpoint: str,
-    lifetime_s: float | None,
+    lifetime: Lifetime,
+    *,
     seq: str,
-    exclude: Iterable[str],
+    payload: str = "payload",
+    exclude: Iterable[str] = (),
+    carry: Sequence[str] = (),
 ) -> StreamingQuery:
-    stored = T.StructType([*result_schema.fields, T.StructField("stored_at", T.TimestampType())])
-    results = result_schema.names
+    spark = deliveries.sparkSession
+    results = [f.name for f in result_schema.fields if f.name != KEY]
+    # Keys whose claim led to no result: written per batch, read by the stream itself.
+    ended_path = f"{ledger_path.rstrip('/')}_ended"
+    make_folder(spark, ended_path)
+    ended = T.StructType([T.StructField(KEY, T.StringType()), deliveries.schema[seq]])
+    released = read_stream(spark, ended_path, ended)
+    rows = once_per_key(
+        deliveries, process, result_schema, released, lifetime, seq=seq, payload=payload, exclude=exclude, carry=carry
+    )
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        now = _batch_time(spark, ledger_path, batch_id)
-        ledger = _fresh_only(_earlier_rows(spark, ledger_path, stored, batch_id), now, lifetime_s)
-        fresh = run(batch, ledger).fresh.select(*results)
-        _write_batch(fresh.withColumn("stored_at", F.lit(now)), ledger_path, batch_id)
-        # Deliveries get the results as stored, so nothing is processed a second time.
-        new = spark.read.schema(stored).parquet(_batch_folder(ledger_path, batch_id))
-
-        def look_up(firsts: DataFrame) -> DataFrame:
-            return firsts.select(KEY, FIRST).join(new.select(*results), KEY)
-
-        known = None if ledger is None else ledger.select(*results)
-        done = process_once(batch, look_up, known, seq=seq, exclude=exclude)
-        _write_batch(done.records, records_path, batch_id)
-
-    return (
-        deliveries.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+        # Written once: a second look at the batch would run the state operators a second time.
+        staged_path = f"{records_path.rstrip('/')}_staged"
+        _write_batch(batch, staged_path, batch_id)
+        staged = batch.sparkSession.read.schema(batch.schema).parquet(_batch_folder(staged_path, batch_id))
+        keys = staged.filter(IS_KEY).select(KEY, FIRST, FRESH, RESULT)
+        has_result = F.col(RESULT).isNotNull()
+        _write_batch(keys.filter(F.col(FRESH) & has_result).select(KEY, f"{RESULT}.*"), ledger_path, batch_id)
+        _write_batch(keys.filter(~has_result).select(KEY, F.col(FIRST).alias(seq)), ended_path, batch_id)
+        replay = has_result & (~F.col(FRESH) | (F.col(seq) != F.col(FIRST)))
+        records = staged.filter(~F.col(IS_KEY)).select(seq, KEY).join(keys, KEY, "left")
+        found = [F.col(f"{RESULT}.`{c}`").alias(c) for c in results]
+        _write_batch(
+            records.select(KEY, seq, *found, F.coalesce(replay, F.lit(False)).alias("was_replay")), records_path, batch_id
+        )
+        remove_folder(batch.sparkSession, _batch_folder(staged_path, batch_id))
+
+    with rocksdb_state(spark, empty_batches=lifetime.mode != "ProcessingTime"):
+        return (
+            rows.writeStream.foreachBatch(handle)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
 
 
 def idempotent_stream(
@@ -151,20 +143,23 @@ def idempotent_stream(
     lifetime_s: float | None = None,
     seq: str = "seq",
     exclude: Iterable[str] = DELIVERY_FIELDS,
+    event_time: str | None = None,
 ) -> StreamingQuery:
     """Every delivery with the result of its key and ``was_replay``; each key processed once.
 
-    ``result_schema`` is that of the ledger: idempotency_key and the result columns. With
-    ``lifetime_s`` older ledger rows no longer count, so their keys are processed anew.
-    """
-    exclude = tuple(exclude)
-
-    def run(batch: DataFrame, ledger: DataFrame | None) -> Processed:
-        return process_once(batch, process, ledger, seq=seq, exclude=exclude)
+    ``result_schema`` is that of the ledger: idempotency_key and the result columns. Results are kept as
+    state of the stream; the ledger is an output, which no batch reads. ``process`` runs on the stream, see
+    ``once_per_key``; a row it leaves out gives its deliveries no result, and a delivery of the key in a
+    later run is a first one again.
 
+    With ``lifetime_s`` a key is forgotten that long after its first delivery, and then processed anew: by the
+    clock, or with ``event_time`` by that column. Of the deliveries of a key in one batch the one of smallest
+    ``seq`` tells the time. By event time a delivery more than a lifetime behind the newest has a record without a
+    result, and one without a time ends no claim.
+    """
     return _process_batches(
-        deliveries, run, result_schema, ledger_path, records_path, checkpoint, lifetime_s, seq,
-        exclude,
+        deliveries, process, result_schema, ledger_path, records_path, checkpoint, Lifetime(lifetime_s, event_time),
+        seq=seq, exclude=tuple(exclude),
     )
 
 
@@ -179,16 +174,14 @@ def intake_stream(
     risk: DataFrame | None = None,
     lifetime_s: float | None = None,
     seq: str = "seq",
+    event_time: str | None = None,
 ) -> StreamingQuery:
-    """The whole chain per micro-batch; the ledger grows after the chain has run."""
-
-    def run(batch: DataFrame, ledger: DataFrame | None) -> Processed:
-        return run_pipeline(
-            batch, rules=rules, existing_ids=existing_ids, risk=risk, ledger=ledger, seq=seq
-        )
-
+    """The whole chain on the stream, as process function of ``idempotent_stream``."""
+    carry = [CIRCUIT_OPEN] if CIRCUIT_OPEN in deliveries.columns else []
+    process = chain_process(default_stages(rules, existing_ids, risk), enrichment_schema(risk), bool(carry))
     return _process_batches(
-        deliveries, run, result_schema, ledger_path, records_path, checkpoint, lifetime_s, seq, ()
+        deliveries, process, result_schema, ledger_path, records_path, checkpoint, Lifetime(lifetime_s, event_time),
+        seq=seq, carry=carry,
     )
 
 
