@@ -6,19 +6,18 @@ the recovery timer starts at that failure. So the state is known from two things
 the failure run ending at a row, and how long ago the previous row was.
 
 A busy dependency may hold a third of the log, so neither is computed over a whole dependency at
-once. Rows are handled per (dependency, time bucket), and what enters a bucket from earlier ones
-comes from one summary row per bucket.
+once: both look at the rows before, see ``ordered``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quayside.operators.ordered import before_each
+
 FAILURE_THRESHOLD = 5
 RECOVERY_SECONDS = 30.0
-BUCKET_SECONDS = 3600
 
 CLOSED, OPEN, HALF_OPEN = "closed", "open", "half_open"
 
@@ -27,80 +26,34 @@ def _seconds(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp")) / F.lit(1e6)
 
 
-# Comes before every time bucket; holds what earlier batches of a stream left.
-_CARRIED_BUCKET = -(1 << 62)
-# Rows without a time come before all that have one.
-_TIMELESS_BUCKET = _CARRIED_BUCKET + 1
-
-
-def _summaries(numbered: DataFrame, carried: DataFrame | None) -> DataFrame:
-    """One row per dependency and bucket: what it passes on to the next one."""
-    last_ok = F.coalesce(F.max(F.when(F.col("ok"), F.col("_n"))), F.lit(0))
-    per_bucket = numbered.groupBy("dependency", "_bucket").agg(
-        (F.max("_n") - last_ok).alias("_tail"),
-        F.max("ok").alias("_has_ok"),
-        F.max_by("ts", "_n").alias("_last_ts"),
-    )
-    if carried is not None:
-        per_bucket = per_bucket.unionByName(
-            carried.select(
-                "dependency",
-                F.lit(_CARRIED_BUCKET).alias("_bucket"),
-                F.col("failure_run").alias("_tail"),
-                F.lit(True).alias("_has_ok"),
-                F.col("ts").alias("_last_ts"),
-            )
-        )
-    timeline = W.partitionBy("dependency").orderBy("_bucket")
-    # Failures at the end of a bucket add up over all-failure buckets since one with a success.
-    stretch = F.sum(F.col("_has_ok").cast("int")).over(timeline)
-    per_bucket = per_bucket.withColumn("_stretch", stretch)
-    running = W.partitionBy("dependency", "_stretch").orderBy("_bucket")
-    per_bucket = per_bucket.withColumn("_run_out", F.sum("_tail").over(running))
-    return per_bucket.select(
-        "dependency",
-        "_bucket",
-        F.lag("_run_out", 1, 0).over(timeline).alias("_run_in"),
-        F.lag("_last_ts").over(timeline).alias("_ts_in"),
-    )
-
-
 def failure_runs(
     outcomes: DataFrame,
-    bucket_seconds: int = BUCKET_SECONDS,
     carried: DataFrame | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add ``failure_run``: failures in a row up to and including the row, 0 after a success.
 
     ``outcomes`` has dependency, seq, ts and ok; ``seq`` breaks ties of equal times. No row is lost: a null
     dependency is one of its own, and rows with a null time come first. The added
     ``previous_ts`` and ``previous_run`` describe the row before. ``carried`` (dependency,
-    failure_run, ts) tells how an earlier part of the log ended, see ``last_runs``.
+    failure_run, ts) tells how an earlier part of the log ended, see ``last_runs``. ``ranges`` is the number of
+    parts the log is cut into, see ``before_each``.
     """
-    bucket = F.coalesce(F.floor(_seconds(F.col("ts")) / bucket_seconds), F.lit(_TIMELESS_BUCKET)).alias("_bucket")
-    rows = outcomes.select("dependency", "seq", "ts", "ok", bucket)
-    order = W.partitionBy("dependency", "_bucket").orderBy("ts", "seq")
-    numbered = rows.withColumn("_n", F.row_number().over(order))
-    last_ok = F.max(F.when(F.col("ok"), F.col("_n"))).over(
-        order.rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    before = _summaries(numbered, carried).withColumnRenamed("dependency", "_of").withColumnRenamed("_bucket", "_in")
-    # Null-safe: rows without a dependency are a circuit of their own.
-    same = F.col("dependency").eqNullSafe(F.col("_of")) & (F.col("_bucket") == F.col("_in"))
-    joined = numbered.withColumn("_last_ok", last_ok).join(before, same)
-    run = F.col("_n") - F.coalesce(F.col("_last_ok"), -F.col("_run_in"))
-    with_run = joined.withColumn("failure_run", F.when(F.col("ok"), F.lit(0)).otherwise(run))
-    return with_run.select(
-        "dependency",
-        "seq",
-        "ts",
-        "ok",
-        F.col("failure_run").cast("bigint").alias("failure_run"),
-        F.coalesce(F.lag("ts").over(order), F.col("_ts_in")).alias("previous_ts"),
-        F.coalesce(F.lag("failure_run").over(order), F.col("_run_in"))
-        .cast("bigint")
-        .alias("previous_run"),
-    )
+    rows = outcomes.select("dependency", "seq", "ts", "ok", F.lit(1).alias("_failures"), F.lit(True).alias("_here"))
+    if carried is not None:
+        # Stands in front of the log, with all its failures in one row.
+        earlier = carried.select("dependency", "ts", F.col("failure_run").alias("_failures"), F.lit(False).alias("_here"))
+        rows = rows.withColumn("_failures", F.col("_failures").cast("long")).unionByName(earlier, allowMissingColumns=True)
+    found = before_each(
+        rows,
+        F.col("dependency"),
+        [F.col("_here"), F.col("ts"), F.col("seq")],
+        since={"previous_run": (F.col("_failures"), F.col("ok"))},
+        last={"previous_ts": F.col("ts")},
+        ranges=ranges,
+    ).filter("_here")
+    run = F.when(F.col("ok"), F.lit(0).cast("bigint")).otherwise(F.col("previous_run") + 1)
+    return found.select("dependency", "seq", "ts", "ok", run.alias("failure_run"), "previous_ts", "previous_run")
 
 
 def state_at(run: Column, since: Column, now: Column, threshold: int, recovery_s: float) -> Column:
@@ -117,11 +70,11 @@ def circuit_states(
     outcomes: DataFrame,
     threshold: int = FAILURE_THRESHOLD,
     recovery_s: float = RECOVERY_SECONDS,
-    bucket_seconds: int = BUCKET_SECONDS,
     carried: DataFrame | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """State in front of and after every outcome, and whether a request was admitted then."""
-    runs = failure_runs(outcomes, bucket_seconds, carried)
+    runs = failure_runs(outcomes, carried, ranges)
     before = state_at(
         F.col("previous_run"), F.col("previous_ts"), F.col("ts"), threshold, recovery_s
     )
@@ -154,11 +107,11 @@ def open_intervals(
     outcomes: DataFrame,
     threshold: int = FAILURE_THRESHOLD,
     recovery_s: float = RECOVERY_SECONDS,
-    bucket_seconds: int = BUCKET_SECONDS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Times at which requests are refused: from an opening to the next outcome, at most for the
     recovery time. The intervals of a dependency do not overlap."""
-    runs = failure_runs(outcomes, bucket_seconds)
+    runs = failure_runs(outcomes, ranges=ranges)
     wait = F.make_dt_interval(secs=F.lit(recovery_s))
     between = runs.filter(F.col("previous_run") >= threshold).select(
         "dependency",
@@ -174,35 +127,27 @@ def open_intervals(
 
 
 def mark_circuit_open(
-    rows: DataFrame,
-    intervals: DataFrame,
-    at: str,
-    dependency: Column,
-    recovery_s: float = RECOVERY_SECONDS,
+    rows: DataFrame, intervals: DataFrame, at: str, dependency: Column, ranges: int | None = None
 ) -> DataFrame:
     """Add ``circuit_open``: whether the row's time lies in an interval of the row's ``dependency``
     (a column, or a literal for a call that always goes to the same one).
 
-    Times are cut into slices of the recovery time, so an interval touches two slices at most
-    and the range join becomes an equality join. The intervals of a dependency do not overlap, so a
-    row meets one at most and none is doubled.
+    The intervals of a dependency do not overlap, so only the last one to begin at or before a row can hold it. Rows
+    and intervals are put in one order and cut into ranges by their number, see ``before_each``: a dependency or
+    an instant that has most of them is spread like any other. A row without a time meets no interval.
     """
-
-    def slice_of(ts: Column) -> Column:
-        return F.floor(_seconds(ts) / recovery_s)
-
-    sliced = intervals.select(
-        F.col("dependency").alias("_of"),
-        "open_from",
-        "open_until",
-        F.explode(F.sequence(slice_of(F.col("open_from")), slice_of(F.col("open_until")))).alias(
-            "_slice"
-        ),
+    asked = rows.select(
+        F.struct(*[F.col(c) for c in rows.columns]).alias("_asked"), dependency.alias("_of"), F.col(at).cast("timestamp").alias("_at"),
+        F.lit(None).cast("timestamp").alias("_until"), F.lit(1).alias("_kind"),
+    )
+    begun = intervals.filter(F.col("open_from").isNotNull()).select(
+        F.col("dependency").cast(asked.schema["_of"].dataType).alias("_of"), F.col("open_from").cast("timestamp").alias("_at"),
+        F.col("open_until").cast("timestamp").alias("_until"), F.lit(0).alias("_kind"),
     )
-    inside = (F.col(at) >= F.col("open_from")) & (F.col(at) < F.col("open_until"))
-    left = rows.withColumn("_slice", slice_of(F.col(at))).withColumn("_for", dependency)
-    same = (left["_slice"] == sliced["_slice"]) & F.col("_for").eqNullSafe(F.col("_of"))
-    joined = left.join(sliced, same & inside, "left")
-    return joined.select(
-        *[left[c] for c in rows.columns], F.col("open_from").isNotNull().alias("circuit_open")
+    both = asked.unionByName(begun, allowMissingColumns=True)
+    # An interval that begins at a row's time comes before it.
+    found = before_each(both, F.col("_of"), [F.col("_at"), F.col("_kind")], last={"_last_until": F.col("_until")}, ranges=ranges)
+    is_open = F.coalesce(F.col("_at") < F.col("_last_until"), F.lit(False))
+    return found.filter("_kind = 1").select(
+        *[F.col(f"_asked.`{c}`").alias(c) for c in rows.columns], is_open.alias("circuit_open")
     )

@@ -357,7 +357,7 @@ def breaker_open_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = feed(spark, sf_dir, "outcomes")
     intervals = open_intervals(log, BREAKER_THRESHOLD, BREAKER_RECOVERY_S)
     later = log.select("seq", "dependency", (F.col("ts") + F.make_dt_interval(secs=F.lit(1))).alias("at"))
-    marked = mark_circuit_open(later, intervals, "at", F.col("dependency"), BREAKER_RECOVERY_S)
+    marked = mark_circuit_open(later, intervals, "at", F.col("dependency"))
     return marked.select("seq", "dependency", "circuit_open")
 
 

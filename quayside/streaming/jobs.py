@@ -16,7 +16,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quayside.functions.payload import DELIVERY_FIELDS
 from quayside.operators.breaker import (
-    BUCKET_SECONDS,
     FAILURE_THRESHOLD,
     RECOVERY_SECONDS,
     circuit_states,
@@ -192,7 +191,6 @@ def circuit_state_stream(
     checkpoint: str,
     threshold: int = FAILURE_THRESHOLD,
     recovery_s: float = RECOVERY_SECONDS,
-    bucket_seconds: int = BUCKET_SECONDS,
 ) -> StreamingQuery:
     """Circuit states of a stream of outcomes; every batch starts where the one before ended."""
     carried_schema = T.StructType(
@@ -208,7 +206,7 @@ def circuit_state_stream(
         carried = None
         if stored is not None:
             carried = stored.filter(F.col(BATCH) == batch_id - 1).drop(BATCH)
-        states = circuit_states(batch, threshold, recovery_s, bucket_seconds, carried)
+        states = circuit_states(batch, threshold, recovery_s, carried)
         _write_batch(states, states_path, batch_id)
         stored_states = batch.sparkSession.read.schema(states.schema).parquet(_batch_folder(states_path, batch_id))
         _write_batch(last_runs(stored_states, carried), state_path, batch_id)

@@ -22,6 +22,7 @@ from quayside.operators.enrichment import (
 )
 from quayside.operators.extraction import extract, extract_texts
 from quayside.operators.idempotency import KEY, mark_replays, process_once, with_key
+from quayside.operators.ordered import before_each, scan_ranges
 from quayside.operators.rules import (
     Rule,
     default_rules,
@@ -402,21 +403,76 @@ def test_breaker_transitions(spark):
     assert [r.allowed for r in got] == [True, True, True, False, True, True, True]
 
 
-def test_buckets_do_not_change_the_result(spark):
+def test_ranges_do_not_change_the_result(spark):
     rng = random.Random(5)
-    events = [(rng.choice("ab"), rng.randint(0, 5000), rng.random() > 0.6) for _ in range(800)]
+    events = [(rng.choice("aab"), rng.randint(0, 5000), rng.random() > 0.6) for _ in range(800)]
+    events += [("c", rng.randint(0, 5000), False) for _ in range(500)]
     df = outcomes(spark, events)
-    whole = sorted(map(str, circuit_states(df, 3, 30.0, 10**9).collect()))
-    for seconds in (1, 60, 700):
-        assert sorted(map(str, circuit_states(df, 3, 30.0, seconds).collect())) == whole
+    whole = sorted(map(str, circuit_states(df, 3, 30.0, ranges=1).collect()))
+    for ranges in (None, 3, 40):
+        assert sorted(map(str, circuit_states(df, 3, 30.0, ranges=ranges).collect())) == whole
 
-    run = {"a": 0, "b": 0}
+    run = {"a": 0, "b": 0, "c": 0}
     ordered = sorted(enumerate(events), key=lambda e: (e[1][1], e[0]))
-    expected = {}
+    expected, before = {}, {}
     for seq, (dep, _, ok) in ordered:
+        before[seq] = run[dep]
         run[dep] = 0 if ok else run[dep] + 1
         expected[seq] = run[dep]
-    assert {r.seq: r.failure_run for r in failure_runs(df, 60).collect()} == expected
+    got = failure_runs(df, ranges=16).collect()
+    assert {r.seq: r.failure_run for r in got} == expected
+    assert {r.seq: r.previous_run for r in got} == before
+    carried = spark.createDataFrame([("a", 7, START), ("z", 4, START)], "dependency string, failure_run long, ts timestamp")
+    told = {r.seq: (r.previous_run, r.previous_ts) for r in failure_runs(df, carried, 16).collect()}
+    first_a = next(seq for seq, (dep, _, _) in ordered if dep == "a")
+    assert told[first_a] == (7, START) and len(told) == len(events)
+
+
+def test_one_busy_dependency_is_spread_over_all_tasks(spark):
+    """All rows of one dependency in one hour, few of another."""
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") % 100 == 0, "quiet").otherwise("busy").alias("dependency"), F.col("id").alias("seq"),
+        F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("id") * 60_000).alias("ts"), (F.col("id") % 7 == 3).alias("ok"),
+    )
+    order = [F.col("ts"), F.col("seq")]
+    scanned = scan_ranges(rows, F.col("dependency"), order, {}, {"t": F.col("ts")}, 8)
+    sizes = [r["count"] for r in scanned.groupBy("_range").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 40_000 / 8
+    plan = scanned._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(_by" in plan and "hashpartitioning" not in plan
+    runs = failure_runs(rows, ranges=8).groupBy("dependency").agg(F.max("failure_run").alias("n")).collect()
+    assert {r.dependency: r.n for r in runs} == {"busy": 12, "quiet": 6}
+
+
+def brute_before(rows):
+    """(key, at, count, flag, value) in order: sum since the flag and last value before each row."""
+    state, out = {}, []
+    for key, at, count, flag, value in rows:
+        total, last = state.get(key, (0, None))
+        out.append((total, last))
+        state[key] = (0 if flag else total + count, last if value is None else value)
+    return out
+
+
+@pytest.mark.parametrize("ranges", [1, 4, 30])
+def test_values_before_each_row(spark, ranges):
+    rng = random.Random(ranges)
+    rows = [
+        (rng.choice(["x", "x", "x", "y", None]), i, rng.randint(0, 3), rng.random() < 0.02, rng.choice([None] * 30 + ["v", "w"]))
+        for i in range(600)
+    ]
+    df = spark.createDataFrame(rows, "k string, at long, c int, f boolean, v string").repartition(3)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        got = before_each(
+            df, F.col("k"), [F.col("at")], {"s": (F.col("c"), F.col("f"))}, {"l": F.col("v")}, ranges
+        ).orderBy("at").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert [(r.s, r.l) for r in got] == brute_before(rows)
+    empty = before_each(df.limit(0), F.col("k"), [F.col("at")], {"s": (F.col("c"), F.col("f"))}, {"l": F.col("v")}, ranges)
+    assert empty.columns == ["k", "at", "c", "f", "v", "s", "l"] and empty.count() == 0
 
 
 def test_no_outcome_is_lost(spark):
@@ -432,7 +488,7 @@ def test_open_intervals_mark_rows(spark):
         [(s, START + timedelta(seconds=s)) for s in (5, 10, 39, 40, 75)], "s int, at timestamp"
     )
     other = intervals.withColumn("dependency", F.lit("other"))
-    marked = mark_circuit_open(rows, intervals.unionByName(other), "at", F.lit("risk"), 30.0)
+    marked = mark_circuit_open(rows, intervals.unionByName(other), "at", F.lit("risk"))
     assert marked.count() == 5
     assert {r.s: r.circuit_open for r in marked.collect()} == {
         5: False, 10: True, 39: True, 40: False, 75: False,
