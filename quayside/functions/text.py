@@ -64,18 +64,28 @@ def zip_prefix(c: Column, length: int = 5) -> Column:
     return F.substring(strip(F.coalesce(c, F.lit(""))), 1, length)
 
 
+# What Python's repr() does not print as it is: controls, formats, separators but the space, unassigned.
+_HIDDEN = r"[\p{Cc}\p{Cf}\p{Cs}\p{Co}\p{Cn}\p{Zl}\p{Zp}\p{Zs}&&[^ ]]"
+
+
 def quoted(c: Column) -> Column:
     """Text in quotes for messages, as Python writes a string: in double quotes when it holds a
-    single quote and no double one, with backslashes, line ends, tabs and control characters escaped."""
+    single quote and no double one, with backslashes, line ends, tabs and unprintable characters escaped."""
     text = F.replace(c, F.lit("\\"), F.lit("\\\\"))
     for char, written in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
         text = F.replace(text, F.lit(char), F.lit(written))
-    code = lambda ch: F.lower(F.lpad(F.hex(F.ascii(ch)), 2, "0"))
-    hidden = r"[\x00-\x1f\x7f-\u00a0\u00ad]"
-    escaped = F.array_join(
-        F.transform(F.split(text, ""), lambda ch: F.when(ch.rlike(hidden), F.concat(F.lit("\\x"), code(ch))).otherwise(ch)), ""
-    )
-    text = F.when(text.rlike(hidden), escaped).otherwise(text)
+
+    def escape(ch: Column) -> Column:
+        code = F.lower(F.hex(F.ascii(ch)))
+        written = (
+            F.when(F.ascii(ch) < 0x100, F.concat(F.lit("\\x"), F.lpad(code, 2, "0")))
+            .when(F.ascii(ch) < 0x10000, F.concat(F.lit("\\u"), F.lpad(code, 4, "0")))
+            .otherwise(F.concat(F.lit("\\U"), F.lpad(code, 8, "0")))
+        )
+        return F.when(ch.rlike(_HIDDEN), written).otherwise(ch)
+
+    characters = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    text = F.when(text.rlike(_HIDDEN), F.array_join(F.transform(characters, escape), "")).otherwise(text)
     single, double = c.contains("'"), c.contains('"')
     return (
         F.when(single & ~double, F.concat(F.lit('"'), text, F.lit('"')))

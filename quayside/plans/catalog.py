@@ -45,6 +45,7 @@ from quayside.plans.intake import (
     context_schema,
     default_stages,
     insert_after,
+    meet_circuit,
     run_pipeline,
     running,
 )
@@ -78,6 +79,7 @@ from quayside.streaming.jobs import (
 # Settings of the example queries; the SQL in ``oracles`` uses the same numbers.
 BREAKER_THRESHOLD = 2
 BREAKER_RECOVERY_S = 43_200.0
+SHARED_THRESHOLD = 3
 LARGE_SHOP = 2_000_000
 PERIOD_ENDS = ("1994-01-01", "1996-01-01")
 KEY_LIFETIME_S = 730 * 86_400.0
@@ -498,13 +500,27 @@ def intake_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status_counts(_run_all(spark, sf_dir), "status", "was_replay")
 
 
-def intake_circuit_open(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deliveries of 1997 met an open circuit."""
-    year = F.year("received_at") == 1997
-    deliveries = feed(spark, sf_dir, "deliveries").withColumn("circuit_open", year)
+def _intake_with_circuits(spark: SparkSession, sf_dir: str, deliveries: DataFrame, log: DataFrame, threshold: int) -> DataFrame:
+    met = meet_circuit(deliveries, log, F.col("api"), threshold=threshold, recovery_s=BREAKER_RECOVERY_S)
     known = feed(spark, sf_dir, "known_companies")
-    risk = feed(spark, sf_dir, "risk")
-    return _contexts(run_pipeline(deliveries, existing_ids=known, risk=risk).records)
+    return _contexts(run_pipeline(met, existing_ids=known, risk=feed(spark, sf_dir, "risk")).records)
+
+
+def intake_breaker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of each region's API open its circuit; deliveries that met it open are not enriched."""
+    load_tables(spark, sf_dir, ("customer", "nation"))
+    apis = spark.sql(
+        "select c_custkey as submission_seq, concat('risk-', n_regionkey) as api from customer join nation on n_nationkey = c_nationkey"
+    )
+    deliveries = feed(spark, sf_dir, "deliveries").join(apis, "submission_seq")
+    return _intake_with_circuits(spark, sf_dir, deliveries, feed(spark, sf_dir, "api_outcomes"), BREAKER_THRESHOLD)
+
+
+def intake_circuit_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One circuit for the calls of all regions."""
+    log = feed(spark, sf_dir, "api_outcomes").withColumn("dependency", F.lit("risk"))
+    deliveries = feed(spark, sf_dir, "deliveries").withColumn("api", F.lit("risk"))
+    return _intake_with_circuits(spark, sf_dir, deliveries, log, SHARED_THRESHOLD)
 
 
 def intake_custom_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -666,6 +682,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         intake_results,
         intake_with_ledger,
         intake_status_counts,
+        intake_breaker,
         intake_circuit_open,
         intake_custom_stage,
         stream_triage,

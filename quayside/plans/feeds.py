@@ -117,6 +117,16 @@ where c_acctbal >= 0
 select distinct s.company_id
 from submissions s join orders o on o.o_custkey = s.seq
 where o.o_orderstatus = 'F' and o.o_orderpriority = '1-URGENT'
+""",
+    # Calls of the risk API of a region: every order line stands for one, some time after its order.
+    "api_outcomes": """
+select l.l_orderkey * 10 + l.l_linenumber as seq, concat('risk-', cast(n.n_regionkey as string)) as dependency,
+  o.o_orderdate + interval '1' minute * cast(l.l_linenumber * 200 + l.l_orderkey % 200 as int) as ts,
+  l.l_returnflag <> 'R' as ok
+from (select l_orderkey, l_linenumber, max(l_returnflag) as l_returnflag from lineitem group by l_orderkey, l_linenumber) l
+join orders o on o.o_orderkey = l.l_orderkey
+join customer c on c.c_custkey = o.o_custkey
+join nation n on n.n_nationkey = c.c_nationkey
 """,
     "outcomes": """
 select user_id as dependency, event_id as seq, ts, event_type <> 'error' as ok from events
@@ -152,6 +162,7 @@ _USES = {
     "api_attempts": ("lineitem",),
     "risk": ("customer", "nation"),
     "known_companies": ("customer", "orders"),
+    "api_outcomes": ("customer", "orders", "lineitem", "nation"),
     "outcomes": ("events",),
 }
 

@@ -23,6 +23,7 @@ from quayside.functions.payload import (
     with_payload_fields,
 )
 from quayside.functions.text import quoted
+from quayside.operators.breaker import FAILURE_THRESHOLD, RECOVERY_SECONDS, mark_circuit_open, open_intervals
 from quayside.operators.idempotency import FIRST, KEY, Processed, process_once
 from quayside.operators.rules import DECLINED, Rule, default_rules, first_match
 from quayside.operators.enrichment import one_per_company
@@ -279,6 +280,28 @@ def chain_process(
     return process
 
 
+def meet_circuit(
+    deliveries: DataFrame,
+    outcomes: DataFrame,
+    dependency: Column,
+    *,
+    at: str = "received_at",
+    seq: str = "seq",
+    threshold: int = FAILURE_THRESHOLD,
+    recovery_s: float = RECOVERY_SECONDS,
+) -> DataFrame:
+    """``deliveries`` with ``circuit_open``: whether the recorded outcomes of the delivery's ``dependency`` had
+    opened its circuit at that time, as ``run_pipeline`` asks for it.
+
+    Only the order column, the time and the dependency are put in one order with the intervals; the answers
+    come back by ``seq``, which tells deliveries apart.
+    """
+    intervals = open_intervals(outcomes, threshold, recovery_s)
+    asked = deliveries.select(F.col(seq), F.col(at), dependency.alias("_dependency"))
+    marked = mark_circuit_open(asked, intervals, at, F.col("_dependency"))
+    return deliveries.join(marked.select(seq, CIRCUIT_OPEN), seq)
+
+
 def run_pipeline(
     deliveries: DataFrame,
     *,

@@ -238,6 +238,33 @@ states as (
   from runs window w as (partition by dependency order by ts, seq)
 )"""
 
+# Intervals of open circuits of the API, and the deliveries' places in them.
+_API_OPENED = (
+    _RUNS.replace("from outcomes", "from (select * replace (DEPENDENCY as dependency) from api_outcomes) a")
+    .replace("islands", "api_islands").replace("runs as", "api_runs as").replace("from runs", "from api_runs")
+    .replace("states as", "api_states as")
+    + """,
+opened as (
+  select dependency, ts, least(ts + interval 43200 second,
+      coalesce(lead(ts) over (partition by dependency order by ts, seq), timestamp '9999-01-01')) as until
+  from api_runs qualify failure_run >= THRESHOLD
+),
+last_opened as (
+  select d.seq, d.received_at < p.until as refused
+  from (select d.seq, d.received_at, API as api from deliveries d
+        join customer c on c.c_custkey = d.submission_seq join nation n on n.n_nationkey = c.c_nationkey) d
+  asof join opened p on p.dependency = d.api and d.received_at >= p.ts
+)"""
+)
+
+
+def _met_circuit(dependency: str, api: str, threshold: int) -> str:
+    opened = _API_OPENED.replace("DEPENDENCY", dependency).replace("API as", f"{api} as").replace("THRESHOLD", str(threshold))
+    refused = "coalesce((select any_value(x.refused) from last_opened x where x.seq = f.seq), false)"
+    plain = _contexts(refused=refused)
+    return plain.replace("contexts as (\n  select f.seq", opened.strip() + ",\ncontexts as (\n  select f.seq", 1)
+
+
 _CONTEXTS = """
 contexts as (
   select f.seq, f.idempotency_key, REPLAY as was_replay,
@@ -557,7 +584,8 @@ select dependency, seq, failure_run, failure_run >= 2 as threshold_reached from
             "select status, was_replay, count(*) as n from (select seq, was_replay, status,",
         )
         + ") x group by all",
-        "intake_circuit_open": _contexts(refused="year(f.received_at) = 1997"),
+        "intake_breaker": _met_circuit("dependency", "concat('risk-', cast(n.n_regionkey as varchar))", 2),
+        "intake_circuit_open": _met_circuit("'risk'", "'risk'", 3),
         "intake_custom_stage": _contexts(
             audit=f"{audited},",
             dead=f"case when nameless then '' else {audited} end",

@@ -18,6 +18,7 @@ from quayside.functions.similarity import (
     within_distance,
 )
 from quayside.functions.text import (
+    ENTITY_SUFFIXES,
     normalise_company_name,
     normalise_state,
     quoted,
@@ -33,18 +34,26 @@ def column_of(spark, values, build, kind="string"):
     return [r.out for r in rows]
 
 
-def test_normalise_company_name(spark):
+def test_company_names_lose_legal_forms_case_and_punctuation(spark):
+    """Every legal form, behind a name of two words, in three spellings and four kinds of joint."""
+    spellings = (str.lower, str.upper, str.title)
+    joints = (" {}", ", {}", " ({})", " - {}.")
     cases = {
-        "Marlow Inc.": "marlow",
-        "Marlow, Inc": "marlow",
-        "MARLOW INC": "marlow",
-        "Marlow Holdings LLC": "marlow",
-        "International Business Machines Corp.": "business machines",
-        "FENWICK Group": "fenwick",
-        "  Extra  Spaces  ": "extra spaces",
-        "Café & Boulangerie S.A.": "café boulangerie",
-        "": "",
-        "LLC Corp Inc": "",
+        f"{case('quill')} {case('anchorage')}{joint.format(case(form))}": "quill anchorage"
+        for form in ENTITY_SUFFIXES for case in spellings for joint in joints
+    }
+    assert len(cases) > 200
+    assert column_of(spark, list(cases), normalise_company_name) == list(cases.values())
+
+
+def test_company_names_of_odd_words(spark):
+    cases = {
+        "Zoë's Tee-Stube 24/7": "zoë tee stube 24",
+        "incline corporal cooper": "incline corporal cooper",
+        "A B C": "",
+        "plc_9 GmbH & Söhne AG": "plc_9 söhne",
+        "\t\u3000Ostwind\u00a0Segel ": "ostwind segel",
+        "--..--": "",
     }
     assert column_of(spark, list(cases), normalise_company_name) == list(cases.values())
 
@@ -205,6 +214,7 @@ def test_signs_and_quotes_in_messages(spark):
     shown = column_of(spark, ["-0.5", "-1234.50", "-0.00", "7.25"], lambda c: amount_text(parse_revenue_strict(c), c))
     assert shown == ["-0.5", "-1,234.50", "-0.00", "7.25"]
     texts = ["plain", "O'x", 'say "hi"', "both ' and \"", "back\\slash", "tab\tline\n", "bell\x07", "é", ""]
+    texts += ["a\u200bb", "\u2028", "\ufeffx", "\u3000", "\ue000", "\U000e0001z", "😀\u202e", "\x85"]
     assert column_of(spark, texts, quoted) == [repr(t) for t in texts]
 
 

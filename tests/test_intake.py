@@ -15,6 +15,7 @@ from quayside.plans.intake import (
     context_schema,
     default_stages,
     insert_after,
+    meet_circuit,
     run_pipeline,
     running,
 )
@@ -111,6 +112,26 @@ def test_open_circuit_skips_enrichment(spark):
     assert "circuit breaker is OPEN" in row.warnings[0]
 
 
+def test_outcomes_open_the_circuit_of_deliveries(spark):
+    """Two failures in a row open a circuit for ten seconds or until the next outcome; others stay closed."""
+    start = datetime(2024, 1, 1)
+    log = [("eu", 0, False), ("eu", 4, False), ("eu", 11, False), ("eu", 40, True), ("us", 4, False), ("us", 6, True)]
+    outcomes = spark.createDataFrame(
+        [(d, i, start + timedelta(seconds=s), ok) for i, (d, s, ok) in enumerate(log)], "dependency string, seq long, ts timestamp, ok boolean"
+    )
+    asked = [(1, "eu", 3), (2, "eu", 4), (3, "us", 5), (4, "eu", 13), (5, "eu", 21), (6, None, 5), (7, "eu", None)]
+    rows = [
+        (i, api, None if s is None else start + timedelta(seconds=s), json.dumps({**VALID, "revenue": 20_000 + i}))
+        for i, api, s in asked
+    ]
+    came = spark.createDataFrame(rows, "seq long, api string, received_at timestamp, payload string")
+    met = meet_circuit(came, outcomes, F.col("api"), threshold=2, recovery_s=10.0)
+    assert sorted(met.columns) == ["api", "circuit_open", "payload", "received_at", "seq"]
+    got = {r.seq: r for r in run_pipeline(met, rules=[], risk=risk(spark, "C-4711")).records.collect()}
+    refused = {i for i, r in got.items() if r.enrichment.reason == "circuit_open"}
+    assert refused == {2, 4} and all(r.status == "approved" for r in got.values()) and len(got) == 7
+
+
 def test_text_that_is_no_object_ends_as_error(spark):
     df = spark.createDataFrame([(0, "oops"), (1, "oops")], "seq long, payload string")
     rows = run_pipeline(df).records.orderBy("seq").collect()

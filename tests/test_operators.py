@@ -240,10 +240,9 @@ def test_every_key_above_the_slice_is_split(spark):
 # -- duplicates --------------------------------------------------------------------------------
 
 EXISTING = [
-    (1, "E-101", "Marlow Inc.", "10001"), (2, "E-102", "Fenwick Limited", "10001"),
-    (3, "E-103", "Rolling Harbour Cranes Corp.", "10002"),
-    (4, "E-104", "Silver Birch Group", "10003"),
-    (5, "E-105", "Some Unrelated Company LLC", "90210"),
+    (1, "K1", "Tidewater Rope & Sail GmbH", "20457-11"), (2, "K2", "Ostwind Segel AG", "20457"),
+    (3, "K3", "Ostwind Segel Nord", "20457"), (4, "K4", "Brasswell Instruments", "55116"),
+    (5, "K5", "Brasswell Instrument", "55116"), (6, "K6", "Q", "55116"), (7, "K7", "Lantern Yard plc", ""),
 ]
 SCHEMA = "seq long, company_id string, company_name string, zip_code string"
 
@@ -255,21 +254,31 @@ def duplicates(spark, candidates, existing=EXISTING, **options):
     return {r.seq: r for r in found.collect()}
 
 
-def test_duplicate_matrix(spark):
-    got = duplicates(
-        spark,
-        [
-            (1, "N1", "Marlow Inc", "10001"), (2, "N2", "Marlow, Inc.", "10001"),
-            (3, "N3", "MARLOW INC", "10001"), (4, "N4", "Random Company LLC", "10001"),
-            (5, "N5", "Marlow Inc", "99999"), (6, "N6", "Cranes Harbour Rolling", "10002"),
-            (7, "N7", "LLC Corp Inc", "10001"), (8, "N8", "Marlow", None),
-        ],
-    )
-    assert {k: r.matched_id for k, r in got.items()} == {
-        1: "E-101", 2: "E-101", 3: "E-101", 4: None, 5: None, 6: "E-103", 7: None, 8: None,
-    }
-    assert got[1].similarity_score == 100.0 and got[4].similarity_score == 0.0
-    assert got[4].is_potential_duplicate is False
+def test_what_counts_as_a_duplicate(spark):
+    """Expected score: 100 less the indel distance as a share of both lengths, or none below 90."""
+    cases = [
+        # name, ZIP code, match, characters in common, both lengths
+        ("tidewater ROPE and sail", "20457", "K1", 19, 42),
+        ("tidewater rope chandlery", "20457", None, 0, 1),
+        ("Tidewater Rope Sails", "20457-99", "K1", 19, 39),
+        ("Sail, Rope: Tidewater", "20457", "K1", 1, 2),
+        ("Segel Ostwind International", "20457 ", "K2", 1, 2),
+        ("Ostwind Segel Nor", "20457", "K3", 17, 35),
+        ("Ostwind Segel", "55116", None, 0, 1),
+        ("Brasswell Instruments Holdings", "55116", "K4", 1, 2),
+        ("Brasswel Instrument", "55116", "K5", 19, 39),
+        ("Q Co", "55116", None, 0, 1),
+        ("lantern yard", None, "K7", 1, 2),
+        ("lantern yards", None, "K7", 12, 25),
+        ("group of companies", "", None, 0, 1),
+    ]
+    got = duplicates(spark, [(i, f"N{i}", name, code) for i, (name, code, *_) in enumerate(cases)])
+    for i, (name, _, match, common, lengths) in enumerate(cases):
+        row = got[i]
+        assert (row.candidate_id, row.matched_id) == (f"N{i}", match), name
+        assert row.is_potential_duplicate is (match is not None)
+        expected = 200 * common / lengths if match else 0.0
+        assert abs(row.similarity_score - expected) < 1e-9, (name, row.similarity_score)
 
 
 def test_null_zips_share_a_block_and_last_record_is_reported(spark):
@@ -321,9 +330,10 @@ def test_one_big_block_finds_the_same_as_brute_force(spark, threshold):
 
 
 def test_block_sizes(spark):
-    rows = [(i, f"A-{i}", f"Company {i}", z) for z in ("10001", "90210") for i in range(100)]
+    codes = ["55116", "55116-7", " 55116", "2", None, "", "  "]
+    rows = [(i, None, "any", code) for i, code in enumerate(codes)]
     sizes = block_sizes(spark.createDataFrame(rows, SCHEMA)).collect()
-    assert {r.block: r.n_records for r in sizes} == {"10001": 100, "90210": 100}
+    assert {r.block: r.n_records for r in sizes} == {"55116": 3, "2": 1, "": 3}
 
 
 def test_duplicates_plan_has_no_cross_join(spark):
