@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.http import attempt_error_text, classify_http, enrichment_error_text
 from quayside.functions.naming import snake_case_json
+from quayside.functions.rows import last_row
 from quayside.functions.text import quoted
 from quayside.session import shared_folder
 
@@ -19,7 +20,9 @@ MAX_ATTEMPTS = 3
 def one_per_company(risk: DataFrame, key: str = "company_id", order: Sequence[str] = ()) -> DataFrame:
     """One row per company: the last by ``order`` and then by the other columns in turn, nulls first."""
     rest = [*order, *(c for c in risk.columns if c != key and c not in order)]
-    last = risk.groupBy(key).agg(F.max(F.struct(*rest)).alias("_last"))
+    if not rest:
+        return risk.distinct()
+    last = risk.groupBy(key).agg(last_row(rest, risk.schema).alias("_last"))
     return last.select(*[F.col(c) if c == key else F.col(f"_last.`{c}`").alias(c) for c in risk.columns])
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.payload import DELIVERY_FIELDS, with_content_key
+from quayside.functions.rows import last_row
 
 KEY = "idempotency_key"
 FIRST = "first_seq"
@@ -94,7 +95,7 @@ def seen_rows(incoming: DataFrame, ledger: DataFrame) -> DataFrame:
     rest = [c for c in ledger.columns if c != KEY]
     if not rest:
         return asked.distinct()
-    last = asked.groupBy(KEY).agg(F.max(F.struct(*rest)).alias("_last"))
+    last = asked.groupBy(KEY).agg(last_row(rest, ledger.schema).alias("_last"))
     return last.select(*[F.col(c) if c == KEY else F.col(f"_last.`{c}`").alias(c) for c in ledger.columns])
 
 

@@ -21,7 +21,7 @@ from quayside.operators.enrichment import (
     resolve_api_attempts,
 )
 from quayside.operators.extraction import extract, extract_texts
-from quayside.operators.idempotency import KEY, mark_replays, process_once, with_key
+from quayside.operators.idempotency import KEY, mark_replays, process_once, seen_rows, with_key
 from quayside.operators.ordered import before_each, scan_ranges
 from quayside.operators.rules import (
     Rule,
@@ -379,6 +379,22 @@ def test_repeated_risk_rows_do_not_multiply_submissions(spark):
     assert got == {1: (None, 'No enrichment data found for "O\'x"'), 2: (None, None)}
 
 
+def test_repeated_rows_of_maps_and_variants(spark):
+    """Columns without an order do not stop the choice of the last row, in risk data and in a ledger."""
+    risk = spark.sql("""
+        select * from values ('A', 1, map('k', 1), parse_json('{"v":1}')), ('A', 2, map('k', 0), parse_json('[2]')),
+          ('A', 2, map('k', 5), parse_json('[1]')), ('B', null, null, null) as t(company_id, score, tags, doc)""")
+    asked = spark.createDataFrame([("A",), ("B",), ("C",)], "company_id string")
+    got = {r.company_id: (r.score, r.tags, r.success) for r in enrich(asked, risk).drop("doc").collect()}
+    assert got == {"A": (2, {"k": 5}, True), "B": (None, None, True), "C": (None, None, False)}
+    ledger = risk.select(F.col("company_id").alias(KEY), "tags", F.array("doc").alias("docs"))
+    keys = spark.createDataFrame([("A",), ("Z",)], f"{KEY} string")
+    rows = seen_rows(keys, ledger).select(KEY, "tags").collect()
+    assert [(r[0], r.tags) for r in rows] == [("A", {"k": 5})]
+    only_ids = spark.createDataFrame([("A",), ("A",)], "company_id string")
+    assert enrich(asked, only_ids).filter("success").count() == 1
+
+
 def test_fetch_hook(spark):
     ids = spark.createDataFrame([("A",), ("A",), ("B",)], "company_id string")
 
