@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.session import shared_folder
@@ -44,6 +44,11 @@ def heavy_keys(
     )
 
 
+def n_tasks(spark: SparkSession) -> int:
+    """Tasks for work that is far larger than its bytes."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def _slot_of(spread_by: Column, slots: Column) -> Column:
     return F.pmod(F.xxhash64(spread_by), slots).cast("int")
 
@@ -69,10 +74,7 @@ def grid_join(
     partitions rather than left to be merged into a few by size.
     """
     keys = list(keys)
-    spark = left.sparkSession
-    n_tasks = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
-    )
+    tasks = n_tasks(left.sparkSession)
     heavy_left = heavy_keys(left.select(*keys), keys, slice_rows)
     heavy_right = heavy_keys(right.select(*keys), keys, slice_rows)
     cuts = F.broadcast(
@@ -88,5 +90,5 @@ def grid_join(
     b = _repeat(b, n_rows, "_row").drop("_rows", "_cols")
     cell = [*keys, "_row", "_col"]
     return (
-        a.repartition(n_tasks, *cell).join(b.repartition(n_tasks, *cell), cell).drop("_row", "_col")
+        a.repartition(tasks, *cell).join(b.repartition(tasks, *cell), cell).drop("_row", "_col")
     )

@@ -535,9 +535,11 @@ select cast(c_custkey as varchar) as company_id, c_custkey % 7 <> 0 as success,
   case when c_custkey % 7 <> 0
        then '{"risk_score":' || (c_custkey % 100) || ',"last_seen":{"by_api":"A\\"bC"}}' end as data
 from customer""",
+        # Of names that keep all characters but the changed one, the one the change was made to comes first.
         "dedup_numbered_names": """
-select c_custkey as seq, cast(c_custkey as varchar) as candidate_id, true as is_potential_duplicate,
-  cast(c_custkey as varchar) as matched_id, cast(100 as double) as similarity_score, c_name as matched_name
+select c_custkey as seq, 'new-' || c_custkey as candidate_id, true as is_potential_duplicate,
+  cast(c_custkey as varchar) as matched_id,
+  200.0::double * (length(c_name) - 1) / (2 * length(c_name)) as similarity_score, c_name as matched_name
 from customer""",
         "breaker_open_marks": _sql(
             """

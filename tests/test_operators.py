@@ -22,6 +22,7 @@ from quayside.operators.enrichment import (
 )
 from quayside.operators.extraction import extract, extract_texts
 from quayside.operators.idempotency import KEY, mark_replays, process_once, seen_rows, with_key
+from quayside.operators.near_names import TWICE_UP_TO, best_within_two, marked_names
 from quayside.operators.ordered import before_each, scan_ranges
 from quayside.operators.rules import (
     Rule,
@@ -329,6 +330,54 @@ def test_one_big_block_finds_the_same_as_brute_force(spark, threshold):
         assert got[seq].similarity_score == pytest.approx(best), (text, a)
 
 
+def test_names_two_characters_apart(spark):
+    """Against all pairs: the best partner at distance 1 or 2 (1 only for long names), and which are settled."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abé0") for _ in range(rng.choice([1, 2, 5, 9, 20, 21, 24]))) for _ in range(60)]
+    for word in words[:40]:
+        at = rng.randrange(len(word))
+        words.append(word[:at] + rng.choice(["", "b", "zz"]) + word[at + rng.randint(0, 1) :])
+    names = sorted({w for w in words if w})
+    known = [(rng.choice("XY"), n, i) for i, n in enumerate(names) if i % 2]
+    wanted = [(b, n) for i, n in enumerate(names) for b in "XY" if not i % 2]
+    for threshold in (60.0, 90.0):
+        found = best_within_two(
+            spark.createDataFrame(wanted, "block string, sorted_name string"),
+            spark.createDataFrame(known, "block string, sorted_name string, position long"), threshold,
+        )
+        got = {(r.block, r.sorted_name): (r.score, r.known_name) for r in found.collect()}
+        expected = {}
+        for block, name in wanted:
+            best = []
+            for other_block, other, place in known:
+                distance = len(name) + len(other) - 2 * dynamic_lcs(name, other)
+                if block == other_block and distance <= (2 if len(name) <= TWICE_UP_TO else 1):
+                    score = 100 * (1 - distance / (len(name) + len(other)))
+                    if score >= threshold - 1e-9:
+                        best.append((-score, place, other))
+            if best:
+                score, _, other = min((round(s, 9), p, o) for s, p, o in best)
+                expected[block, name] = (-score, other)
+        assert {k: (round(s, 9), o) for k, (s, o) in got.items()} == expected and len(expected) > 10
+
+
+def test_work_per_name_does_not_grow_with_alike_names(spark):
+    """Pairs that meet when one digit in front is changed, for ten times as many names."""
+
+    def meetings(n):
+        known = spark.range(n).select(
+            F.lit("").alias("block"), F.concat(F.lit("customer "), F.lpad("id", 9, "0")).alias("sorted_name"), F.col("id").alias("position")
+        )
+        wanted = known.select("block", F.overlay("sorted_name", F.lit("7"), 10).alias("sorted_name"))
+        best = best_within_two(wanted, known, 90.0)
+        assert best.count() == n and best.filter(~F.col("settled")).count() == 0
+        a, b = marked_names(wanted, True), marked_names(known, False).withColumnRenamed("sorted_name", "known_name")
+        return a.join(b, ["block", "tag", "text"]).count() / n
+
+    few, many = meetings(300), meetings(3000)
+    assert many < 1.6 * few < 60
+
+
 def test_block_sizes(spark):
     codes = ["55116", "55116-7", " 55116", "2", None, "", "  "]
     rows = [(i, None, "any", code) for i, code in enumerate(codes)]
