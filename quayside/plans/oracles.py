@@ -594,6 +594,7 @@ select dependency, seq, failure_run, failure_run >= 2 as threshold_reached from
             known=False,
         ),
     }
+    checks["idem_stored_ledger"] = checks["idem_with_ledger"]
     checks["stream_triage"] = checks["triage_decisions"]
     checks["stream_enrich"] = checks["enrich_lookup"]
     checks["stream_dedupe"] = _per_order(

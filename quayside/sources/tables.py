@@ -1,4 +1,4 @@
-"""Reading inputs, and the two places rows are stored: the ledger and the reject table."""
+"""Reading inputs, writing rejects, and folders of any file system; see ``ledger`` for the ledger."""
 
 from __future__ import annotations
 
@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.operators.idempotency import unseen_keys
-
 SUBMISSION_SCHEMA = T.StructType(
     [
         T.StructField("seq", T.LongType()),
@@ -92,31 +90,15 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(folder)
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if it is not there."""
     folder, fs = _folder(spark, path)
-    fs.delete(folder, True)
-
-
-def read_ledger(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Stored results, or an empty table of that schema before the first run."""
-    if not ledger_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    return [found.getPath().getName() for found in fs.listStatus(folder)] if fs.exists(folder) else []
 
 
-def upsert_ledger(fresh: DataFrame, path: str, batch: int | str) -> None:
-    """Put-if-absent: store results of keys the ledger does not hold yet.
-
-    ``fresh`` has at most one row per key, as ``process_once`` and ``run_pipeline`` return it.
-    Each batch owns the folder ``batch=<id>``. Running a batch again compares with the other
-    batches only and replaces its own folder, so a retry neither loses nor doubles rows.
-    """
-    spark = fresh.sparkSession
-    if ledger_exists(spark, path):
-        schema = T.StructType([*fresh.schema.fields, T.StructField("batch", T.StringType())])
-        stored = spark.read.schema(schema).parquet(path).filter(F.col("batch") != str(batch))
-        fresh = unseen_keys(fresh, stored)
-    fresh.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder, fs = _folder(spark, path)
+    fs.delete(folder, True)
 
 
 def write_split(

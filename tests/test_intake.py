@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.operators.breaker import circuit_states
-from quayside.operators.idempotency import KEY
+from quayside.operators.idempotency import KEY, seen_rows, unseen_keys
 from quayside.operators.rules import Rule
 from quayside.operators.triage import triage
 from quayside.plans.intake import (
@@ -19,7 +19,8 @@ from quayside.plans.intake import (
     run_pipeline,
     running,
 )
-from quayside.sources.tables import read_ledger, read_stream, upsert_ledger, write_split
+from quayside.sources.ledger import BATCH, compact_ledger, open_ledger, read_ledger, upsert_ledger
+from quayside.sources.tables import list_folder, read_stream, write_split
 from quayside.streaming.jobs import (
     append_stream,
     circuit_state_stream,
@@ -156,6 +157,72 @@ def test_one_row_per_delivery_and_narrow_ledger(spark, tmp_path):
     assert again.fresh.count() == 0
 
 
+def _key_rows(spark, numbers, status):
+    rows = [(f"k{n}", status, {"n": n}) for n in numbers]
+    return spark.createDataFrame(rows, f"{KEY} string, status string, tags map<string,int>")
+
+
+def test_a_ledger_is_looked_up_where_it_lies(spark, tmp_path):
+    path = str(tmp_path / "it's a ledger")
+    upsert_ledger(_key_rows(spark, range(500), "first"), path, 1, 4)
+    upsert_ledger(_key_rows(spark, range(400, 900), "second"), path, 2, 8)
+    schema = _key_rows(spark, [], "").schema
+    ledger = open_ledger(spark, path, schema)
+    assert ledger.count() == 900 and ledger.filter("status = 'second'").count() == 400
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        asked = _key_rows(spark, range(880, 1000), "asked").select(KEY)
+        for found, n in ((unseen_keys(asked, ledger), 100), (seen_rows(asked, ledger), 20)):
+            assert found.count() == n
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            scan = plan[: plan.index("FileScan parquet")].splitlines()
+            assert "Bucketed: true" in plan and "SelectedBucketsCount: 4 out of 4" in plan
+            # Above the scan no exchange before the join: the only one is that of the incoming keys.
+            assert plan.count("Exchange hashpartitioning") - plan.count("REPARTITION_BY") <= 2 and scan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_merging_a_ledger_loses_no_key_and_retries_stay_safe(spark, tmp_path):
+    from quayside.sources import ledger as module
+
+    path = str(tmp_path / "ledger")
+    schema = _key_rows(spark, [], "").schema
+    for batch in range(3):
+        upsert_ledger(_key_rows(spark, range(batch * 10, batch * 10 + 15), f"b{batch}"), path, batch, 4)
+    expected = {f"k{n}": f"b{max(0, (n - 5) // 10) if n >= 15 else 0}" for n in range(35)}
+
+    def stored():
+        return {r[0]: r.status for r in read_ledger(spark, path, schema).collect()}
+
+    assert stored() == expected
+    # Cut off after the merged files are there, and one of the old folders is gone.
+    plain, gone = module.remove_folder, []
+
+    def once(spark, folder):
+        if gone:
+            raise RuntimeError("lost")
+        gone.append(folder)
+        plain(spark, folder)
+
+    module.remove_folder = once
+    try:
+        with pytest.raises(RuntimeError):
+            compact_ledger(spark, path, schema)
+    finally:
+        module.remove_folder = plain
+    assert stored() == expected
+    # A batch that was merged runs again, then the next merge takes up the rest.
+    upsert_ledger(_key_rows(spark, range(10, 25), "b1 again"), path, 1)
+    assert stored() == expected
+    compact_ledger(spark, path, schema)
+    folders = list_folder(spark, f"{path}/in_4_buckets")
+    assert stored() == expected and len([f for f in folders if f.startswith(BATCH)]) == 1
+    upsert_ledger(_key_rows(spark, range(30, 40), "b3"), path, 3)
+    assert len(stored()) == 40 and stored()["k35"] == "b3"
+
+
 def test_rejects_and_valid_rows_part(spark, tmp_path):
     df = deliveries(spark, [VALID, {"company_id": "B"}])
     valid = triage(df, payload="payload", keep=["seq"])
