@@ -12,6 +12,7 @@ from quayside.functions.http import attempt_error_text, classify_http, enrichmen
 from quayside.functions.naming import snake_case_json
 from quayside.functions.rows import last_row
 from quayside.functions.text import quoted
+from quayside.operators.extraction import Recorded
 from quayside.session import shared_folder
 
 MAX_ATTEMPTS = 3
@@ -96,7 +97,7 @@ def enrichment_report(results: DataFrame) -> DataFrame:
     )
 
 
-Fetch = Callable[[Iterator[pd.DataFrame]], Iterable[pd.DataFrame]]
+Fetch = Callable[[Iterator[pd.DataFrame]], Iterable[pd.DataFrame]] | Recorded
 
 
 def fetch_attempts(
@@ -106,10 +107,13 @@ def fetch_attempts(
 
     ``fetch`` gets pandas batches of ids and returns attempt, status_code, transport_error and
     data (JSON text) per call; it does not raise. ``partitions`` is the number of concurrent
-    callers. The log is checkpointed so that no call is made twice.
+    callers. The log is checkpointed so that no call is made twice. ``fetch`` may also be a record of earlier
+    calls, of which those of the companies are taken.
     """
     shared_folder(companies.sparkSession)
     ids = companies.select(key).distinct()
+    if isinstance(fetch, Recorded):
+        return fetch.log.select(key, "attempt", "status_code", "transport_error", "data").join(ids, key, "left_semi")
     if partitions:
         ids = ids.repartition(partitions, key)
     schema = (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
@@ -62,7 +63,14 @@ def extract(
     )
 
 
-Completion = Callable[[Iterator[pd.DataFrame]], Iterable[pd.DataFrame]]
+@dataclass(frozen=True)
+class Recorded:
+    """Answers of earlier calls, by key and attempt, in place of a function that makes the calls."""
+
+    log: DataFrame
+
+
+Completion = Callable[[Iterator[pd.DataFrame]], Iterable[pd.DataFrame]] | Recorded
 
 
 def complete_attempt(
@@ -70,8 +78,12 @@ def complete_attempt(
 ) -> DataFrame:
     """Run the user's batch completion over the prompts of one attempt.
 
-    ``complete`` gets pandas batches with the key and ``prompt`` and returns the key and ``raw``.
+    ``complete`` gets pandas batches with the key and ``prompt`` and returns the key and ``raw``; or it is a record
+    of such answers (key, ``attempt``, ``raw``), in which a text without an answer stays without one.
     """
+    if isinstance(complete, Recorded):
+        answers = complete.log.filter(F.col("attempt") == number).select(key, "raw")
+        return texts.select(key).join(answers, key).select(key, F.lit(number).alias("attempt"), "raw")
     prompts = texts.select(key, render_prompt(F.col(text), F.lit(number)).alias("prompt"))
     schema = f"{key} {texts.schema[key].dataType.simpleString()}, raw string"
     return prompts.mapInPandas(complete, schema).select(
@@ -89,10 +101,12 @@ def extract_texts(
     """Ask the model attempt by attempt; later attempts only see texts still without a result.
 
     The responses of an attempt are checkpointed: a model call is dear, and asking again could
-    give another answer.
+    give another answer. A text that gets no answer at all is a failure like any other.
     """
     shared_folder(texts.sparkSession)
-    waiting, answered = texts.select(key, text), []
+    # An attempt behind the last one counts for nothing, but every text has a row by it.
+    beyond = texts.select(key, F.lit(max_attempts + 1).alias("attempt"), F.lit(None).cast("string").alias("raw"))
+    waiting, answered = texts.select(key, text), [beyond]
     for number in range(1, max_attempts + 1):
         responses = complete_attempt(waiting, complete, number, key, text).checkpoint()
         answered.append(responses)

@@ -16,7 +16,7 @@ from quayside.functions.text import quoted
 from quayside.operators.breaker import circuit_states, failure_runs, mark_circuit_open, open_intervals
 from quayside.operators.duplicates import block_sizes, find_duplicates, with_block
 from quayside.operators.enrichment import enrich, enrichment_report, fetch_attempts, resolve_api_attempts
-from quayside.operators.extraction import extract
+from quayside.operators.extraction import Recorded, extract, extract_texts
 from quayside.operators.idempotency import (
     FIRST,
     KEY,
@@ -151,6 +151,14 @@ def extract_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def extract_completed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders asked attempt by attempt, with the recorded responses as the model's answers."""
+    load_tables(spark, sf_dir, ("orders",))
+    texts = spark.table("orders").select(F.col("o_orderkey").alias("seq"), F.col("o_orderpriority").alias("text"))
+    results = extract_texts(texts, Recorded(feed(spark, sf_dir, "responses")))
+    return results.select("seq", "status", "attempt", "extracted.company_name", "extracted.revenue", _joined("missing_fields"))
+
+
 def extract_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return status_counts(extract(feed(spark, sf_dir, "responses")))
 
@@ -291,31 +299,18 @@ def dedup_numbered_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- enrichment --------------------------------------------------------------------------------
 
 
-def _call_api(batches):
-    """Stands for a client: every seventh company is unknown, the others have camelCase data."""
-    import pandas as pd
-
-    for batch in batches:
-        number = batch["company_id"].astype("int64")
-        known = number % 7 != 0
-        yield pd.DataFrame(
-            {
-                "company_id": batch["company_id"],
-                "attempt": 1,
-                "status_code": [200 if k else 404 for k in known],
-                "transport_error": None,
-                "data": [f'{{"riskScore":{n % 100},"lastSeen":{{"byAPI":"A\\"bC"}}}}' if k else None
-                         for n, k in zip(number, known)],
-            }
-        )
-
-
 def enrich_fetched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Attempts of a batch client for all customers, resolved, with data in snake case."""
-    load_tables(spark, sf_dir, ("customer",))
-    companies = spark.table("customer").select(F.col("c_custkey").cast("string").alias("company_id"))
-    log = fetch_attempts(companies, _call_api)
-    resolved = resolve_api_attempts(log, transport_error="transport_error", data="data")
+    """Recorded attempts of all orders through the fetch hook, resolved, with data in snake case."""
+    load_tables(spark, sf_dir, ("orders",))
+    companies = spark.table("orders").select(F.concat(F.lit("R-"), F.col("o_orderkey").cast("string")).alias("company_id"))
+    document = F.concat(
+        F.lit('{"riskScore":'), F.substring("company_id", 3, 20).cast("long") % 100, F.lit(',"lastSeen":{"byAPI":"A\\"bC"}}')
+    )
+    log = feed(spark, sf_dir, "api_attempts").select(
+        "company_id", "attempt", "status_code", F.when(F.col("status_code") == 503, "timed out").alias("transport_error"),
+        F.when(F.col("status_code") == 200, document).alias("data"),
+    )
+    resolved = resolve_api_attempts(fetch_attempts(companies, Recorded(log)), transport_error="transport_error", data="data")
     return resolved.select("company_id", "success", "attempts_used", "data")
 
 
@@ -661,6 +656,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         triage_rejects,
         triage_custom_rule,
         extract_results,
+        extract_completed,
         extract_status,
         extract_missing_counts,
         extract_failures,

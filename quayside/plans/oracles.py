@@ -437,6 +437,13 @@ select seq, status, attempt, company_name, revenue, industry, state, zip_code,
   array_to_string(missing, '; ') as missing_fields from extracted""",
             _BODIES,
         ),
+        "extract_completed": _sql(
+            """
+select o_orderkey as seq, coalesce(status, 'failed') as status, attempt, company_name, revenue,
+  coalesce(array_to_string(missing, '; '), '') as missing_fields
+from orders left join extracted on seq = o_orderkey""",
+            _BODIES,
+        ),
         "extract_status": _sql(
             "select status, count(*) as n from extracted group by all", _BODIES
         ),
@@ -530,11 +537,14 @@ from customer""",
         "enrich_snake_json": """
 select p_partkey, '{"part_key":' || p_partkey || ',"brand_info":[{"brand_name":"aKey: \\"bKey\\": ' || p_brand
   || '","size_cm" :' || p_size || '}]}' as document from part""",
-        "enrich_fetched": """
-select cast(c_custkey as varchar) as company_id, c_custkey % 7 <> 0 as success, 1 as attempts_used,
-  case when c_custkey % 7 <> 0
-       then '{"risk_score":' || (c_custkey % 100) || ',"last_seen":{"by_api":"A\\"bC"}}' end as data
-from customer""",
+        "enrich_fetched": _sql(
+            """
+select company_id, success, attempts_used,
+  case when success then '{"risk_score":' || (cast(company_id[3:] as bigint) % 100)
+    || ',"last_seen":{"by_api":"A\\"bC"}}' end as data
+from resolved""",
+            _RESOLVED,
+        ),
         # Of names that keep all characters but the changed one, the one the change was made to comes first.
         "dedup_numbered_names": """
 select c_custkey as seq, 'new-' || c_custkey as candidate_id, true as is_potential_duplicate,
