@@ -32,8 +32,9 @@ class DocumentTokenizer:
     """Ids of whole texts with the tokenizers library, remembering those of runs between spaces.
 
     The pre-tokenizer never joins what stands before a space to what follows, if no other white space is next
-    to both sides of it; then a text's ids are those of its runs. Other texts are given to the
-    library whole, as are all texts of a tokenizer that is not plain byte-level BPE.
+    to both sides of it; then a text's ids are those of its runs. Other texts, and those that hold an added
+    token such as an end mark, are given to the library whole, as are all texts of a tokenizer that is not plain
+    byte-level BPE.
     """
 
     def __init__(self, json_text: str):
@@ -45,7 +46,6 @@ class DocumentTokenizer:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(json_text)
-        self.library.encode_special_tokens = True
         spec = json.loads(json_text)
         before = spec.get("pre_tokenizer") or {}
         self.by_runs = (
@@ -53,6 +53,9 @@ class DocumentTokenizer:
             and before.get("use_regex", True) and not before.get("add_prefix_space", False)
         )
         self.inner = re.compile(_INNER)
+        # Strings that are one token wherever they stand, across runs too: their texts are encoded whole.
+        added = [re.escape(t["content"]) for t in spec.get("added_tokens") or [] if t["content"]]
+        self.added = re.compile("|".join(added) or r"(?!)")
         self.space = re.compile(r"\s")
         self.line_end = self.library.encode("\n", add_special_tokens=False).ids[0]
         self.marks = {m: self._encoded([m])[0] for m in ".,;:!?"}
@@ -98,14 +101,14 @@ class DocumentTokenizer:
         young, old = self.young, self.old.get
         whole, heads, split, missing = [], [], [], set()
         for text in texts:
-            if self.inner.search(text):
+            if self.inner.search(text) or self.added.search(text):
                 whole.append(text)
                 split.append(None)
                 continue
             head, *runs = text.split(" ")
             heads.append(head)
             split.append(runs)
-            missing.update(set(runs) - young.keys())
+            missing.update(r for r in set(runs) if r not in young)
         need, tailed = set(), []
         for run in missing:
             ids = old(run)

@@ -9,13 +9,12 @@ from tokenizers import Tokenizer
 from quayside.llm.token_files import DocumentTokenizer, read_metadata, read_tokens, token_digest, write_tokens
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
-ODD = ["a  b   c", "\n \n x", " \n y", "x\n z", "'s it's  ", "tab\t \tend", "<|endoftext|> a", "　   b", "\x1c \x1c", "日本 語 ", " ", ""]
+ODD = ["a  b   c", "\n \n x", " \n y", "x\n z", "'s it's  ", "tab\t \tend", "<|endoftext|> a", "hello <|endoftext|> world", "x<|endoftext|>y <|endoftext", "a <|end oftext|>", "　   b", "\x1c \x1c", "日本 語 ", " ", ""]
 
 
 @pytest.fixture(scope="module")
 def plain():
     library = Tokenizer.from_file(PATH)
-    library.encode_special_tokens = True
     return lambda text: library.encode(text or "", add_special_tokens=False).ids
 
 
