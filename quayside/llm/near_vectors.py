@@ -215,8 +215,10 @@ def near_vectors(
     )
     good = given.filter("ok")
     width = dimension(good, "vector")
+    # A class has a number of its own: ids repeat, with unlike vectors too.
     classes = checkpointed(
-        good.groupBy("label", "vector").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("n"))
+        good.groupBy("label", "vector").agg(F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+        .withColumn("node", F.monotonically_increasing_id())
     )
     most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 1
     plan = plan_for(most, min_cosine, recall)
@@ -247,10 +249,13 @@ def near_vectors(
     found = checkpointed(first.filter("tab is null").unionByName(second).select("a", "b", "links"))
     links = found.filter("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     joined = components(found.filter("b is not null").select("a", "b"), "a", "b")
-    labelled = (
-        classes.join(links, "node", "left").join(joined, "node", "left")
-        .select("label", "vector", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-                F.coalesce("component", "node").alias("component_id"))
+    # The smallest node of a component has no row of its own there.
+    grouped = (
+        classes.join(links, "node", "left").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    )
+    smallest = grouped.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    labelled = grouped.join(smallest, "component").select(
+        "label", "vector", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id"
     )
     met = given.join(labelled.withColumn("ok", F.lit(True)), ["label", "vector", "ok"], "left")
     component = F.coalesce("component_id", "vec_id")

@@ -60,6 +60,15 @@ def test_many_equal_vectors_and_empty(spark):
     assert near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_repeated_ids_with_unlike_vectors(spark):
+    """Each row is a vector of its own: what one of them links with says nothing about the other."""
+    rows = [(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [1.0, 0.1], 0), (3, [0.1, 1.0], 0), (0, [0.0, 1.0], 0), (1, [1.0, 0.0], 9)]
+    got = near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(map(tuple, got)) == sorted(
+        [(1, 1, 1, True), (1, 2, 0, False), (2, 1, 1, False), (3, 2, 0, False), (0, 2, 0, True), (1, 0, 1, True)]
+    )
+
+
 def test_plan():
     assert agree_chance(0.0, 2.0) == 1.0
     plan = plan_for(5000)
