@@ -1,6 +1,9 @@
+import random
+import time
+
 import pytest
 
-from quayside.llm.html_text import PageModel, _zone, extract, extract_pages, fit
+from quayside.llm.html_text import INLINE_WEIGHT, TAG_WEIGHT, PageModel, Token, _best_run, _zone, extract, extract_pages, fit
 
 PRIOR = PageModel({}, {})
 LAYOUT = """<!DOCTYPE html><html><head><title>T &amp; x</title><style>p{{}}</style></head><body>
@@ -113,3 +116,64 @@ def test_counted_zones_outvote_names(spark):
     assert model.weight("nav", "li") < 0 < model.weight("div.zz", "p")
     assert extract(rows[3][1], model) == "content 3 has words"
     assert extract(f"<div class='share-box'><div class='zz'>{STORY}</div></div>", model) == TOLD
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 60_000, "<div>" * 20_000 + "</span>" * 20_000, "<!" * 90_000, '<a ">" ' * 30_000 + "'", "<a '" * 50_000 + ">",
+    "<div class=sidebar>" * 9_000 + "text", "<main>" * 30_000, "<p><div>" + "<span>" * 9_000 + "<p></p>" * 9_000, "< " * 90_000,
+    "<b>" * 30_000 + "</b>" * 30_000, "<svg/>" * 30_000,
+])
+def test_time_grows_with_length_only(page):
+    begin = time.process_time()
+    extract(page, PRIOR)
+    assert time.process_time() - begin < 2
+
+
+def test_scripts_in_any_spelling_are_no_text():
+    article = "<article><p>The words of the article.</p>{}<p>And more of them.</p></article>"
+    for script in ("<script async/>var a = 1; call(a)</script>", "<script src=/a/b/>x y z</script>", "<SCRIPT>if (a<b) {</script >",
+                   "<style media=x/>p { }</style>", "<textarea/>typed</textarea>"):
+        assert extract(article.format(script), PRIOR) == "The words of the article.\nAnd more of them."
+    # Nothing ends the element: it is empty, as in a page in the manner of XML.
+    assert extract(article.format("<script src='x'/>"), PRIOR) == "The words of the article.\nAnd more of them."
+    assert extract("<p>2 < 3 <b>and</b> a<b c", PRIOR) == "2 < 3 and a<b c"
+
+
+def _maximum_run(scores):
+    """Best sum over all runs, by trying each."""
+    best = 0.0
+    for i in range(len(scores)):
+        total = 0.0
+        for score in scores[i:]:
+            total += score
+            best = max(best, total)
+    return best
+
+
+def test_the_run_scores_most_of_all_runs():
+    rng = random.Random(2)
+    for _ in range(150):
+        tokens, scores = [], []
+        for k in range(rng.randint(0, 40)):
+            zone = rng.choice(["div.content", "div.menu", "div"])
+            if rng.random() < 0.4:
+                breaks = rng.random() < 0.5
+                tokens.append(Token(None, zone, "p", False, breaks, False, False, zone))
+                scores.append(TAG_WEIGHT if breaks else INLINE_WEIGHT)
+            else:
+                n = rng.randint(1, 4)
+                tokens.append(Token(f" w{k}" * n, zone, "p", False, False, False, False, zone))
+                scores.append(PRIOR.weight(zone, "p") * n)
+        text = _best_run(tokens, PRIOR, [t.zone for t in tokens])
+        kept = set(text.split())
+        best = _maximum_run(scores)
+        # The words of the run found, and the tags between them, score what the best run does.
+        places = [i for i, t in enumerate(tokens) if t.text and kept & set(t.text.split())]
+        found = sum(scores[places[0] : places[-1] + 1]) if places else 0.0
+        assert abs(found - best) < 1e-9
+
+
+def test_other_columns_stay(spark):
+    df = spark.createDataFrame([(1, "<p>a b c d</p>", "old", 5, None), (1, None, "old", 6, "x")], "page_id long, html string, text string, zone int, main_text string")
+    got = extract_pages(df, PRIOR).orderBy("zone").collect()
+    assert [(r.text, r.zone, r.main_text) for r in got] == [("a b c d", 5, None), ("", 6, "x")]
