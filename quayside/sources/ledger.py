@@ -11,7 +11,7 @@ import hashlib
 import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,8 +97,23 @@ def upsert_ledger(fresh: DataFrame, path: str, batch: int | str, buckets: int =
     _write(unseen_keys(fresh, stored), name, buckets, str(batch))
 
 
-def compact_ledger(spark: SparkSession, path: str, schema: T.StructType, buckets: int = BUCKETS) -> None:
-    """Merge all batches into one, one row per key.
+def store_batch(rows: DataFrame, path: str, batch: int | str, buckets: int = BUCKETS) -> None:
+    """The rows as one batch, whatever others hold of their keys."""
+    columns = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
+    name, buckets = _table(rows.sparkSession, path, columns, buckets)
+    _write(rows, name, buckets, str(batch))
+
+
+def drop_batch(spark: SparkSession, path: str, batch: int | str) -> None:
+    root, _ = _root(spark, path.rstrip("/"), BUCKETS)
+    remove_folder(spark, f"{root}/{BATCH}={batch}")
+
+
+def compact_ledger(
+    spark: SparkSession, path: str, schema: T.StructType, buckets: int = BUCKETS, keep: Column | None = None
+) -> None:
+    """Merge all batches into one, one row per key: the last by the other columns in turn. Rows for which ``keep``
+    does not hold then go.
 
     The merged files are complete before any other goes, so no key is lost whenever it is cut off; the next merge
     takes up what was left. No batch may be written meanwhile.
@@ -108,7 +123,9 @@ def compact_ledger(spark: SparkSession, path: str, schema: T.StructType, buckets
     before = [f for f in list_folder(spark, root) if f.startswith(f"{BATCH}=")]
     if len(before) < 2:
         return
-    _write(_one_per_key(spark.table(name).select(*schema.names)), name, buckets, f"merged-{uuid.uuid4().hex}")
+    merged = _one_per_key(spark.table(name).select(*schema.names))
+    merged = merged if keep is None else merged.filter(keep)
+    _write(merged, name, buckets, f"merged-{uuid.uuid4().hex}")
     for folder in before:
         remove_folder(spark, f"{root}/{folder}")
     spark.catalog.refreshTable(name)

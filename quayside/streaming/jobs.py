@@ -2,14 +2,14 @@
 
 Stateless ones (triage, enrichment) are the batch code on a streaming DataFrame. Processing each key once keeps
 claims and results as keyed state (``once``). The breaker runs the batch operator on every micro-batch
-and keeps the last failure run of every dependency in a table. A batch that runs again replaces its own output.
+and keeps the last failure run of dependencies in a bucketed table. A batch that runs again replaces its own output.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -22,15 +22,19 @@ from quayside.operators.breaker import (
     last_runs,
 )
 from quayside.operators.enrichment import enrich
-from quayside.operators.idempotency import FIRST, KEY, Process, with_key
+from quayside.operators.idempotency import FIRST, KEY, Process, seen_rows, with_key
 from quayside.operators.rules import Rule
 from quayside.operators.triage import triage
 from quayside.plans.intake import CIRCUIT_OPEN, chain_process, default_stages, enrichment_schema
-from quayside.sources.tables import ledger_exists, make_folder, read_stream, remove_folder
+from quayside.sources.ledger import compact_ledger, drop_batch, open_ledger, store_batch
+from quayside.sources.tables import make_folder, read_stream, remove_folder
 from quayside.streaming.once import FRESH, IS_KEY, RESULT, Lifetime, once_per_key, one_per_key, rocksdb_state
 
 KEY_LIFETIME = "24 hours"
 BATCH = "batch"
+# Batches of outcomes after which the states of dependencies are merged.
+MERGE_EVERY = 50
+_BATCH_NUMBER = "batch_number"
 
 
 def triage_stream(
@@ -73,14 +77,6 @@ def _write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(_batch_folder(path, batch_id))
 
 
-def _earlier_rows(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame | None:
-    """Rows stored by earlier batches; a batch never reads its own."""
-    if not ledger_exists(spark, path):
-        return None
-    full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    return spark.read.schema(full).parquet(path).filter(F.col(BATCH) < batch_id)
-
-
 def _process_batches(
     deliveries: DataFrame,
     process: Process,
@@ -191,25 +187,39 @@ def circuit_state_stream(
     checkpoint: str,
     threshold: int = FAILURE_THRESHOLD,
     recovery_s: float = RECOVERY_SECONDS,
+    merge_every: int = MERGE_EVERY,
 ) -> StreamingQuery:
-    """Circuit states of a stream of outcomes; every batch starts where the one before ended."""
-    carried_schema = T.StructType(
+    """Circuit states of a stream of outcomes; every batch starts where the ones before ended.
+
+    How a dependency's log ended is stored by the batches that had outcomes of it, bucketed by dependency, and looked up
+    for the dependencies of a batch only. Every ``merge_every`` batches these are merged, and dependencies whose
+    last outcome was a success, of which nothing needs to be known, go.
+    """
+    schema = T.StructType(
         [
-            outcomes.schema["dependency"],
+            T.StructField(KEY, T.StringType()),
+            T.StructField(_BATCH_NUMBER, T.LongType()),
             T.StructField("failure_run", T.LongType()),
             outcomes.schema["ts"],
+            outcomes.schema["dependency"],
         ]
     )
+    # A null dependency is one of its own, and has a key.
+    key = F.to_json(F.struct("dependency")).alias(KEY)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        stored = _earlier_rows(batch.sparkSession, state_path, carried_schema, batch_id)
-        carried = None
-        if stored is not None:
-            carried = stored.filter(F.col(BATCH) == batch_id - 1).drop(BATCH)
+        spark = batch.sparkSession
+        # What an earlier attempt of this batch left must neither be read nor merged.
+        drop_batch(spark, state_path, batch_id)
+        if batch_id % merge_every == merge_every - 1:
+            compact_ledger(spark, state_path, schema, keep=F.col("failure_run") > 0)
+        stored = open_ledger(spark, state_path, schema)
+        carried = seen_rows(batch.select(key).distinct(), stored).select("dependency", "failure_run", "ts")
         states = circuit_states(batch, threshold, recovery_s, carried)
         _write_batch(states, states_path, batch_id)
-        stored_states = batch.sparkSession.read.schema(states.schema).parquet(_batch_folder(states_path, batch_id))
-        _write_batch(last_runs(stored_states, carried), state_path, batch_id)
+        stored_states = spark.read.schema(states.schema).parquet(_batch_folder(states_path, batch_id))
+        ends = last_runs(stored_states).select(key, F.lit(batch_id).cast("long").alias(_BATCH_NUMBER), "failure_run", "ts", "dependency")
+        store_batch(ends, state_path, batch_id)
 
     return (
         outcomes.writeStream.foreachBatch(handle)

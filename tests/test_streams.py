@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.operators.breaker import circuit_states
 from quayside.operators.idempotency import KEY
 from quayside.sources.tables import read_stream
-from quayside.streaming.jobs import dedupe_stream, idempotent_stream
+from quayside.streaming.jobs import circuit_state_stream, dedupe_stream, idempotent_stream
 from quayside.streaming.once import one_per_key
 
 DAY = datetime(2024, 3, 1)
@@ -145,3 +146,41 @@ def test_a_flooding_key_is_reduced_before_the_shuffle(two_tasks, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 20_001
     # Rows the state sees: those that are new, and the few repeats the batches left.
     assert state["numRowsUpdated"] == 20_001 and state["customMetrics"].get("numDroppedDuplicateRows", 0) < 20
+
+
+def test_circuits_carry_on_through_merges_and_retries(two_tasks, tmp_path):
+    """Nine batches, merged at every third, equal the whole log; only what a batch had outcomes of is stored by it."""
+    spark, folder = two_tasks, str(tmp_path)
+    log = [(dep, i, DAY + timedelta(seconds=5 * i), i % step == 0) for i in range(90) for dep, step in (("a", 7), ("b", 50), (None, 4))]
+    log = [row for row in log if row[0] != "b" or not 30 <= row[1] < 60]
+    df = spark.createDataFrame(log, "dependency string, seq long, ts timestamp, ok boolean")
+    for part in range(9):
+        df.filter(f"seq div 10 = {part}").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+
+    def stream():
+        return circuit_state_stream(
+            read_stream(spark, f"{folder}/in", df.schema, files_per_trigger=1), f"{folder}/state", f"{folder}/states",
+            f"{folder}/check", 3, 15.0, merge_every=3,
+        )
+
+    stream().awaitTermination()
+    columns = ["dependency", "seq", "failure_run", "state_before", "allowed", "state_after"]
+
+    def streamed():
+        return sorted(map(str, spark.read.parquet(f"{folder}/states").select(columns).collect()))
+
+    whole = sorted(map(str, circuit_states(df, 3, 15.0).select(columns).collect()))
+    assert streamed() == whole
+    held = spark.read.parquet(f"{folder}/state/in_16_buckets")
+    by_batch = {r[0]: set(r[1]) for r in held.groupBy("batch").agg(F.collect_set(F.coalesce("dependency", F.lit("none")))).collect()}
+    assert by_batch["8"] == {"a", "b", "none"}
+    # Of the batches up to 7, merged: circuits that ended in a failure only.
+    merged = next(v for k, v in by_batch.items() if k.startswith("merged"))
+    ends = {r.dependency or "none": r.failure_run for r in circuit_states(df.filter("seq < 80"), 3, 15.0).filter("seq = 79").collect()}
+    assert merged == {d for d, run in ends.items() if run > 0} and len(by_batch) == 2
+    # The last batch again, as after a driver that went away before its commit.
+    commits = sorted(int(p.name) for p in (tmp_path / "check" / "commits").iterdir() if p.name.isdigit())
+    for name in (str(commits[-1]), f".{commits[-1]}.crc"):
+        (tmp_path / "check" / "commits" / name).unlink(missing_ok=True)
+    stream().awaitTermination()
+    assert streamed() == whole
