@@ -590,6 +590,7 @@ def stream_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{folder}/ledger",
         f"{folder}/records",
         f"{folder}/checkpoint",
+        state_tasks=spark.sparkContext.defaultParallelism,
     ).awaitTermination()
     return spark.read.parquet(f"{folder}/records").drop("batch")
 
@@ -612,6 +613,7 @@ def stream_key_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"{folder}/checkpoint",
             KEY_LIFETIME_S,
             event_time="received_at",
+            state_tasks=spark.sparkContext.defaultParallelism,
         ).awaitTermination()
     return spark.read.parquet(f"{folder}/records").drop("batch")
 
@@ -642,6 +644,7 @@ def stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{folder}/checkpoint",
         existing_ids=feed(spark, sf_dir, "known_companies"),
         risk=risk,
+        state_tasks=spark.sparkContext.defaultParallelism,
     ).awaitTermination()
     return _contexts(spark.read.parquet(f"{folder}/records"))
 

@@ -90,6 +90,7 @@ def _process_batches(
     payload: str = "payload",
     exclude: Iterable[str] = (),
     carry: Sequence[str] = (),
+    state_tasks: int | None = None,
 ) -> StreamingQuery:
     spark = deliveries.sparkSession
     results = [f.name for f in result_schema.fields if f.name != KEY]
@@ -119,7 +120,7 @@ def _process_batches(
         )
         remove_folder(batch.sparkSession, _batch_folder(staged_path, batch_id))
 
-    with rocksdb_state(spark, empty_batches=lifetime.mode != "ProcessingTime"):
+    with rocksdb_state(spark, empty_batches=lifetime.mode != "ProcessingTime", tasks=state_tasks):
         return (
             rows.writeStream.foreachBatch(handle)
             .option("checkpointLocation", checkpoint)
@@ -139,6 +140,7 @@ def idempotent_stream(
     seq: str = "seq",
     exclude: Iterable[str] = DELIVERY_FIELDS,
     event_time: str | None = None,
+    state_tasks: int | None = None,
 ) -> StreamingQuery:
     """Every delivery with the result of its key and ``was_replay``; each key processed once.
 
@@ -149,12 +151,12 @@ def idempotent_stream(
 
     With ``lifetime_s`` a key is forgotten that long after its first delivery, and then processed anew: by the
     clock, or with ``event_time`` by that column. Of the deliveries of a key in one batch the one of smallest
-    ``seq`` tells the time. By event time a delivery more than a lifetime behind the newest has a record without a
+    ``seq`` tells the time. ``state_tasks`` is the number of parts of the state, see ``rocksdb_state``. By event time a delivery more than a lifetime behind the newest has a record without a
     result, and one without a time ends no claim.
     """
     return _process_batches(
         deliveries, process, result_schema, ledger_path, records_path, checkpoint, Lifetime(lifetime_s, event_time),
-        seq=seq, exclude=tuple(exclude),
+        seq=seq, exclude=tuple(exclude), state_tasks=state_tasks,
     )
 
 
@@ -170,13 +172,14 @@ def intake_stream(
     lifetime_s: float | None = None,
     seq: str = "seq",
     event_time: str | None = None,
+    state_tasks: int | None = None,
 ) -> StreamingQuery:
     """The whole chain on the stream, as process function of ``idempotent_stream``."""
     carry = [CIRCUIT_OPEN] if CIRCUIT_OPEN in deliveries.columns else []
     process = chain_process(default_stages(rules, existing_ids, risk), enrichment_schema(risk), bool(carry))
     return _process_batches(
         deliveries, process, result_schema, ledger_path, records_path, checkpoint, Lifetime(lifetime_s, event_time),
-        seq=seq, carry=carry,
+        seq=seq, carry=carry, state_tasks=state_tasks,
     )
 
 

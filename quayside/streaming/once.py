@@ -42,12 +42,15 @@ _EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession, empty_batches: bool = True) -> Iterator[None]:
+def rocksdb_state(spark: SparkSession, empty_batches: bool = True, tasks: int | None = None) -> Iterator[None]:
     """Streams started inside keep their state in RocksDB, and per batch write its changes only.
 
     Operators that go by the clock ask for one more batch for ever; without ``empty_batches`` a stream that has
-    read all its input ends."""
+    read all its input ends. ``tasks`` is the number of parts of the state, which a stream keeps for life; that of the
+    session's shuffle partitions if not given."""
     settings = {_PROVIDER: _ROCKSDB, _CHANGELOG: "true", _EMPTY_BATCHES: str(empty_batches).lower()}
+    if tasks:
+        settings["spark.sql.shuffle.partitions"] = str(tasks)
     before = {name: spark.conf.get(name, None) for name in settings}
     for name, value in settings.items():
         spark.conf.set(name, value)
