@@ -19,12 +19,51 @@ def test_equals_the_library(library, numbered_texts):
     machine = PieceTransducer(read_model(PATH))
     r = random.Random(2)
     noise = ["".join(r.choice("etaoinshr ETAO.,-12é中") for _ in range(80)) for _ in range(300)]
-    texts = ODD + noise + [t or "" for _, t, _ in numbered_texts]
-    ids = [machine.encode(t).tolist() for t in texts]
+    spaces = [" " * k + "a" + " " * (k + 3) + "the  cat" + " " * k for k in range(40)]
+    texts = ODD + noise + spaces + [t or "" for _, t, _ in numbered_texts]
+    ids = [found.tolist() for found in machine.encode_all(texts)]
+    assert ids == [machine.encode(t).tolist() for t in texts]
     assert ids == library.encode(texts)
     assert [machine.decode(i) for i in ids] == library.decode(ids)
 
 
+def test_long_texts_without_spaces(library):
+    r = random.Random(3)
+    texts = ["abcdefgh" * 8000, "the" * 4000 + "é中" * 3000, "".join(r.choice("etaoinshr") for _ in range(30_000))]
+    machine = PieceTransducer(read_model(PATH))
+    assert [found.tolist() for found in machine.encode_all(texts)] == library.encode(texts)
+
+
+def merged_by_rank(pieces, text):
+    """BPE by its definition, with plain lists."""
+    parts = list(text)
+    while True:
+        found = [(-pieces[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in pieces]
+        if not found:
+            return parts
+        at = min(found)[1]
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+
+
+def test_bpe_of_random_models():
+    """Merges in trained order, and pieces that rank before or level with a part they are merged from."""
+    r = random.Random(4)
+    for trained in [True] * 15 + [False] * 15:
+        pieces, known = {c: 0.0 for c in "▁abc"}, list("▁abc")
+        for rank in range(1, 25):
+            piece = r.choice(known) + r.choice(known)
+            if piece not in pieces and len(piece) < 9 and "▁" not in piece[1:]:
+                pieces[piece] = -float(rank) if trained else -float(r.randint(1, 12))
+                known.append(piece)
+        model = b"".join(message((1, message((1, p.encode()), (2, s), (3, 1)))) for p, s in pieces.items())
+        model += message((2, message((3, 2)))) + message((3, message((3, 1), (4, 0))))
+        machine = PieceTransducer(model)
+        texts = ["".join(r.choice("aaabbc ") for _ in range(r.randint(1, 60))) for _ in range(60)]
+        texts += ["".join(r.choice("aab") for _ in range(3000))]
+        for text in texts:
+            assert [machine.pieces[i] for i in machine.encode(text)] == merged_by_rank(pieces, "▁" + text.replace(" ", "▁"))
+
+
 def message(*fields):
     out = b""
     for number, value in fields:
@@ -63,3 +102,5 @@ def test_columns(spark, library):
         (1, library.encode("hello world"), "hello world"), (2, [], ""), (3, [], ""), (3, [], "")
     ]
     assert encode_documents(df.limit(0), model).count() == 0
+    checked = encode_documents(df, model, ids_crc32="crc", round_trip="doc_id").collect()
+    assert [(r["ids"], r["crc"], r["doc_id"]) for r in checked] == [(r["ids"], r["crc"], True) for r in got]
