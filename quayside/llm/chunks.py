@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import ROW, binary_array, n_partitions, packed, range_cuts
+from quayside.llm.common import ROW, binary_array, give_back, n_partitions, packed, range_cuts
 from quayside.llm.wordhash import mix
 
 CHUNK_BYTES = 2 << 20
@@ -64,13 +64,17 @@ class Chunks:
                     held, size = [], 0
             if held:
                 yield _packed_by_chunk(held, n_chunks, cuts)
+            held.clear()
+            give_back()
 
         self.docs = given.mapInArrow(dealt, "chunk int, docs binary").repartition(self.tasks, "chunk")
 
     def first_round(self, send: Send) -> DataFrame:
         def run(key, table):
             chunk = key[0].as_py()
-            return pa.Table.from_batches(send(chunk, unpacked(table), {}))
+            out = pa.Table.from_batches(send(chunk, unpacked(table), {}))
+            give_back()
+            return out
 
         return self.docs.groupBy("chunk").applyInArrow(run, MESSAGE)
 
@@ -88,7 +92,9 @@ class Chunks:
                 rows = rows[np.argsort(buckets[rows], kind="stable")]
                 part = told.take(pa.array(rows))
                 got[int(kind)] = (joined(part["data"]), joined(part["more"]), lengths(part["more"]))
-            return pa.Table.from_batches(send(chunk, unpacked(docs), got))
+            out = pa.Table.from_batches(send(chunk, unpacked(docs), got))
+            give_back()
+            return out
 
         told = answers.repartition(self.tasks, "chunk").groupBy("chunk")
         return self.docs.groupBy("chunk").cogroup(told).applyInArrow(run, schema)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -63,9 +66,17 @@ def binary_array(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     ).cast(pa.binary())
 
 
+@cache
+def _trim():
+    """The C library's way to return freed memory, where it has one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+
+
 def give_back() -> None:
-    """Return what Arrow holds in reserve: a Python worker lives on when its task is over."""
+    """Return what Arrow and the C library hold in reserve: a Python worker lives on when its task is over."""
     pa.default_memory_pool().release_unused()
+    if _trim() is not None:
+        _trim()(0)
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 20_000) -> Iterator[pa.Table]:

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import ROW, checkpointed, group_bounds, n_partitions, packed, pairs_within, whole_groups
+from quayside.llm.common import ROW, checkpointed, give_back, group_bounds, n_partitions, packed, pairs_within, whole_groups
 from quayside.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -72,6 +72,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(found.view(np.int64))], names=["doc_id", "fp"]
             )
+        give_back()
 
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return given.mapInArrow(run, "doc_id long, fp long")
