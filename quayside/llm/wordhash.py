@@ -80,6 +80,10 @@ class Words:
         at = 0
         while at < len(out):
             lo = self.starts[at]
+            if self.ends[at] - lo > _PIECE:
+                out[at] = self._long(lo, self.ends[at], base)
+                at += 1
+                continue
             upto = max(int(np.searchsorted(self.ends, lo + _PIECE, "right")), at + 1)
             hi = self.ends[upto - 1]
             power, inverse = _tables(base, int(hi - lo) + 1)
@@ -90,6 +94,16 @@ class Words:
             at = upto
         return mix(out)
 
+    def _long(self, lo: int, hi: int, base: np.uint64) -> np.uint64:
+        """The value of a word longer than a piece, piece by piece, so that no table grows with it."""
+        power, _ = _tables(base, _PIECE)
+        total, before, step = 0, 1, pow(int(base), _PIECE, 1 << 64)
+        for at in range(int(lo), int(hi), _PIECE):
+            part = self.data[at : min(at + _PIECE, int(hi))].astype(_U) + _U(1)
+            total += before * int((part * power[: len(part)]).sum(dtype=_U))
+            before = before * step % (1 << 64)
+        return _U(total % (1 << 64))
+
 
 def windows(values: np.ndarray, n: int, which: int = 0) -> np.ndarray:
     """Hashes of all runs of ``n`` consecutive values."""
