@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import checkpointed, n_partitions, range_cuts, range_of, word_count
+from quayside.llm.common import ROW, checkpointed, n_partitions, packed, range_cuts, range_of, word_count
 from quayside.llm.wordhash import mix
 
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -289,10 +289,13 @@ def mixed_documents(
         F.sort_array(F.collect_list(F.struct("epoch", "start", "words"))).alias("spans")
     )
     spans = spans.select(F.col("doc_id").alias("_qs_id"), F.col("copy").alias("_qs_copy"), F.col("spans").alias("_qs_spans"))
-    own = docs.withColumn("_qs_copy1", _copy_number(id_col, source_col, text_col))
-    met = own.join(
-        spans, own[id_col].cast("long").eqNullSafe(spans["_qs_id"]) & (own["_qs_copy1"] == spans["_qs_copy"])
+    own = docs.select(
+        packed(docs, text_col),
+        docs[id_col].cast("long").alias("id"),
+        docs[text_col].cast("string").alias("text"),
+        _copy_number(id_col, source_col, text_col).alias("copy"),
     )
+    met = own.join(spans, own["id"].eqNullSafe(spans["_qs_id"]) & (own["copy"] == spans["_qs_copy"]))
 
     def taken(texts, spans):
         import pandas as pd
@@ -301,7 +304,10 @@ def mixed_documents(
 
     take = F.pandas_udf(taken, "string")
     return met.select(
-        *[take(F.col(c).cast("string"), "_qs_spans").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+        *[
+            take("text", "_qs_spans").alias(c) if c == text_col else F.col(f"{ROW}.`{c}`").alias(c)
+            for c in docs.columns
+        ]
     )
 
 

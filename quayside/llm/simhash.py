@@ -220,8 +220,11 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     linked = checkpointed(_linked(printed, MAX_BITS))
     first = checkpointed(printed.join(linked, "fp").groupBy("group").agg(F.min("doc_id").alias("_qs_id")))
     again = checkpointed(printed.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_qs_id")))
-    row_id = F.col(id_col).cast("long") == F.col("_qs_id")
-    once = docs.join(first.join(again, "_qs_id", "left_anti").select("_qs_id").distinct(), row_id, "left_semi")
+    held = docs.select(
+        packed(docs), docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text")
+    )
+    row_id = F.col("id") == F.col("_qs_id")
+    once = held.join(first.join(again, "_qs_id", "left_anti").select("_qs_id").distinct(), row_id, "left_semi")
 
     @F.pandas_udf("long")
     def print_of(texts: pd.Series) -> pd.Series:
@@ -230,11 +233,11 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     # Rows of a repeated id are told apart by their own fingerprints; the smallest is a partial aggregate.
     several = first.join(again, "_qs_id", "left_semi")
     rows = (
-        docs.join(several.select("_qs_id").distinct(), row_id, "left_semi")
-        .select(F.col(id_col).cast("long").alias("_qs_id"), F.col(text_col).cast("string").alias("text"), packed(docs))
+        held.join(several.select("_qs_id").distinct(), row_id, "left_semi")
+        .select(F.col("id").alias("_qs_id"), "text", ROW)
         .withColumn("fp", print_of("text"))
         .join(linked, "fp").join(several, ["group", "_qs_id"])
         .groupBy("group", "_qs_id").agg(F.min_by(ROW, F.struct("text")).alias(ROW))
         .select(f"{ROW}.*")
     )
-    return once.unionByName(rows).unionByName(docs.filter(F.col(id_col).isNull()))
+    return once.select(f"{ROW}.*").unionByName(rows).unionByName(docs.filter(F.col(id_col).isNull()))

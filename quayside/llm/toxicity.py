@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.common import checkpointed, give_back, in_fold
+from quayside.llm.common import ROW, checkpointed, give_back, in_fold, packed
 
 FOLDS = 5
 HELD_OUT = 0
@@ -290,6 +290,8 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", out: st
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without those whose score reaches ``threshold``."""
+    """``docs`` without those whose score reaches ``threshold``. Columns of any name pass unchanged."""
     model = fit(docs, labels, text_col=text_col)
-    return score(docs, model, text_col, "_qs_score").filter(F.col("_qs_score") < threshold).select(*docs.columns)
+    scored = score(docs.select(packed(docs), docs[text_col].cast("string").alias("text")), model)
+    kept = scored.filter(F.col("score") < threshold)
+    return kept.select(*[F.col(f"{ROW}.`{c}`").alias(c) for c in docs.columns])

@@ -83,3 +83,32 @@ def test_ids_are_the_librarys(spark, stages):
 def test_run_equals_the_stages(spark, stages):
     whole = {r["doc_id"]: r["ids"] for r in corpus_pipeline.run(spark, SF).collect()}
     assert whole == {r["doc_id"]: r["ids"] for r in stages[5].collect()}
+
+
+CLASHING = ["_qs_copy1", "_qs_score", "_qs_id", "_qs_spans", "score", "id", "copy", "fp", "group", "n"]
+
+
+def test_columns_of_any_name_pass_through(spark):
+    """Null ids, repeated ids, null and empty texts and names the operators use themselves."""
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, words, "a"), (1, words + " end", "a"), (2, None, "b"), (3, "", None), (None, "of no id " + words[:90], "b")]
+    rows += [(i, f"text {i} " + " ".join(f"v{i}x{j}" for j in range(40)), "ab"[i % 2]) for i in range(4, 12)]
+    df = spark.createDataFrame(
+        [(*r, *[f"{c}-{n}" for c in CLASHING]) for n, r in enumerate(rows)],
+        "doc_id long, text string, source string, " + ", ".join(f"{c} string" for c in CLASHING),
+    )
+    labels = spark.createDataFrame([(i, 0, int(i == 4)) for i in range(1, 12)], "doc_id long, quality int, toxic int")
+    told = corpus_pipeline.drop_toxic(df, labels)
+    once = corpus_pipeline.drop_near_duplicates(df)
+    cut = corpus_pipeline.dedup_substrings(df)
+    mixed = corpus_pipeline.mixed_documents(df)
+    for out in (told, once, cut, mixed):
+        assert out.columns == df.columns
+        got = out.collect()
+        assert got
+        for r in got:
+            number = r["_qs_id"].split("-")[1]
+            assert [r[c] for c in CLASHING] == [f"{c}-{number}" for c in CLASHING]
+            assert (r["doc_id"], r["source"]) == (rows[int(number)][0], rows[int(number)][2])
+    for stage in (corpus_pipeline.drop_near_duplicates, corpus_pipeline.dedup_substrings, corpus_pipeline.mixed_documents):
+        assert stage(df.limit(0)).count() == 0
