@@ -82,7 +82,8 @@ def best_within_two(wanted: DataFrame, known: DataFrame, threshold: float) -> Da
     b = marked_names(known.select("block", "sorted_name", "position"), False).withColumnRenamed("sorted_name", "known_name")
     x, y = F.char_length("sorted_name"), F.char_length("known_name")
     distance = F.when(F.col("tag").isin("1/0", "0/1"), F.lit(1)).otherwise(F.lit(2))
-    pairs = a.join(b, ["block", "tag", "text"]).withColumn("distance", distance)
+    # Spark sizes both sides by the names they are made of, hundreds of times too small, and would broadcast one.
+    pairs = a.join(b.hint("merge"), ["block", "tag", "text"]).withColumn("distance", distance)
     pairs = pairs.filter(F.col("distance") <= max_distance(x, y, threshold))
     common = ((x + y - F.col("distance")) / 2).cast("int")
     scored = pairs.withColumn("score", F.lit(200.0) * common / (x + y))

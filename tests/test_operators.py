@@ -568,3 +568,11 @@ def test_open_intervals_mark_rows(spark):
     assert {r.s: r.circuit_open for r in marked.collect()} == {
         5: False, 10: True, 39: True, 40: False, 75: False,
     }
+
+
+def test_texts_of_names_are_not_broadcast(spark):
+    """Two names look small; their hundreds of texts each are what would go through the driver."""
+    known = spark.createDataFrame([("b", "acme 0001", 1), ("b", "acme 0002", 2)], "block string, sorted_name string, position int")
+    found = best_within_two(spark.createDataFrame([("b", "acme 0091")], "block string, sorted_name string"), known, 80.0)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [r.known_name for r in found.collect()] == ["acme 0001"]
