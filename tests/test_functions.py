@@ -1,4 +1,5 @@
 import difflib
+import hashlib
 import json
 import random
 from decimal import Decimal
@@ -136,6 +137,23 @@ def test_content_key_properties(spark):
     assert len(set(keys(spark, notes, exclude=[]))) == 2
 
 
+def test_odd_payloads_keep_their_keys(spark):
+    """The hashed texts, written out: field by field they are what the whole object would be."""
+    expected = {
+        '{"b":1,"a":null,"c":[null,{"z":null,"y":"q"}]}': '{"a":null,"b":1,"c":[null,{"y":"q","z":null}]}',
+        '{"a":"\\u0001\\"ü"}': '{"a":"\\u0001\\"ü"}',
+        '{"a":1.10}': '{"a":1.1}',
+        '{"a":1e5}': '{"a":100000.0}\n1e5',
+        '{"a":"x7E+05"}': '{"a":"x7E+05"}\n7E+05',
+        '{"a":"' + "1" * 38 + '"}': '{"a":"' + "1" * 38 + '"}\n' + "1" * 38,
+        '{"a":"' + "1" * 37 + '"}': '{"a":"' + "1" * 37 + '"}',
+        '{"a":".e5"}': '{"a":".e5"}',
+        '[1e5]': '[1e5]', '"{1e5"': '"{1e5"', '{"a":1}x': '{"a":1}x',
+    }
+    for options in ({}, {"exclude": ()}):
+        assert keys(spark, list(expected), **options) == [hashlib.sha256(t.encode()).hexdigest() for t in expected.values()]
+
+
 def test_camel_to_snake(spark):
     names = ["riskScore", "HTTPSEnabled", "companyId", "risk_score", "lossRatio2024Value"]
     assert column_of(spark, names, camel_to_snake) == [

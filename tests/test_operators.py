@@ -32,6 +32,7 @@ from quayside.operators.rules import (
 )
 from quayside.operators.skew import grid_join, heavy_keys
 from quayside.operators.triage import rejects, triage, validate_submissions
+from quayside.plans.feeds import feed
 
 VALID = {
     "company_id": "C-4711",
@@ -576,3 +577,28 @@ def test_texts_of_names_are_not_broadcast(spark):
     found = best_within_two(spark.createDataFrame([("b", "acme 0091")], "block string, sorted_name string"), known, 80.0)
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
     assert [r.known_name for r in found.collect()] == ["acme 0001"]
+
+
+def test_tasks_that_parse_follow_the_shuffle_partitions(spark, tmp_path):
+    spark.createDataFrame([(1, "A", "RETAIL", 3, 5.0)], "c_custkey long, c_name string, c_mktsegment string, c_nationkey int, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(7, 1, START)], "o_orderkey long, o_custkey long, o_orderdate timestamp").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(7, 1), (7, 2)], "l_orderkey long, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        rows = feed(spark, str(tmp_path), "deliveries")
+        assert rows.rdd.getNumPartitions() == 60 and rows.count() == 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_keys_are_computed_once_and_stored(spark):
+    rows = spark.createDataFrame([(2, '{"a":1}'), (1, '{"a": 1}'), (3, "{}")], "seq long, payload string")
+    done = process_once(rows, lambda firsts: firsts.select(KEY, "first_seq", "payload"))
+    marked = mark_replays(rows)
+    for found in (done.records, done.fresh, marked):
+        assert "from_json" not in found._jdf.queryExecution().analyzed().toString()
+    assert sorted((r.seq, r.payload, r.was_replay) for r in done.records.collect()) == [
+        (1, '{"a": 1}', False), (2, '{"a": 1}', True), (3, "{}", False),
+    ]
+    assert sorted((r.seq, r.was_replay) for r in marked.collect()) == [(1, False), (2, True), (3, False)]
