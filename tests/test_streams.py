@@ -10,7 +10,7 @@ from quayside.operators.breaker import circuit_states
 from quayside.operators.idempotency import KEY
 from quayside.sources.tables import read_stream
 from quayside.streaming.jobs import circuit_state_stream, dedupe_stream, idempotent_stream
-from quayside.streaming.once import one_per_key
+from quayside.streaming.once import Claims, Lifetime, one_per_key
 
 DAY = datetime(2024, 3, 1)
 LEDGER = T.StructType([T.StructField(KEY, T.StringType()), T.StructField("n", T.IntegerType())])
@@ -184,3 +184,63 @@ def test_circuits_carry_on_through_merges_and_retries(two_tasks, tmp_path):
         (tmp_path / "check" / "commits" / name).unlink(missing_ok=True)
     stream().awaitTermination()
     assert streamed() == whole
+
+
+def test_keys_share_values_of_state_and_are_computed_once(two_tasks, tmp_path):
+    """The keys of a batch are in a few values of state, and parsed for one shuffle which the others use again."""
+    spark, folder = two_tasks, str(tmp_path)
+    schema = arrive(spark, folder, [(i, 0, f'{{"key":{i % 300}}}') for i in range(600)])
+    arrive(spark, folder, [(600 + i, 0, f'{{"key":{i + 290}}}') for i in range(20)])
+    query = run(spark, folder, schema, chars, state_buckets=4)
+    got = records(spark, folder)
+    assert {s for s, (_, replay) in got.items() if not replay} == {*range(300), *range(610, 620)}
+    assert len(got) == 620 and got[599] == (11, True) and got[600] == (11, True)
+    totals = [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]]
+    assert totals and max(totals) == 4
+    plan = query._jsq.explainInternal(False)
+    assert plan.count("sha2(") == 1 and "ReusedExchange" in plan
+
+
+def test_keys_of_one_bucket_end_one_by_one(two_tasks, tmp_path):
+    spark, folder = two_tasks, str(tmp_path)
+    rows = [
+        [(1, 0, '{"a":1}'), (2, 30, '{"b":22}'), (3, None, '{"c":333}')],
+        [(4, 60, '{"a":1}'), (5, 61, '{"b":22}'), (6, 62, '{"c":333}')],
+        [(7, 300, '{"e":1}')],
+        [(8, 301, '{"b":22}'), (9, 302, '{"c":333}'), (10, 303, '{"e":1}')],
+    ]
+    for part in rows:
+        schema = arrive(spark, folder, part)
+    run(spark, folder, schema, chars, lifetime_s=3600.0, event_time="received_at", state_buckets=1)
+    got = records(spark, folder)
+    assert {s for s, (_, replay) in got.items() if not replay} == {1, 2, 3, 4, 7, 8}
+    assert [got[s] for s in (5, 6, 9, 10)] == [(8, True), (9, True), (9, True), (7, True)]
+
+
+class Value:
+    held = None
+
+    def getValueState(self, *given):  # noqa: N802
+        return self
+
+    def get(self):
+        return self.held
+
+    def update(self, value):
+        self.held = value
+
+    def clear(self):
+        self.held = None
+
+
+def test_by_the_clock_a_key_lives_from_its_own_claim():
+    claims = Claims("seq", [], Lifetime(5.0))
+    claims.init(Value())
+
+    def first(now, *keys):
+        rows = [{KEY: k, "seq": now, "_millis": None, "_released": False} for k in keys]
+        times = type("Times", (), {"getCurrentProcessingTimeInMs": lambda self: now})()
+        return [row[KEY] for row in claims.handleInputRows((0,), iter(rows), times)]
+
+    assert first(0, "a") == ["a"] and first(3000, "a", "b") == ["b"]
+    assert first(5000, "a", "b") == ["a"] and first(8000, "b") == ["b"] and first(8001, "a") == []
