@@ -10,7 +10,8 @@ one entry per chunk.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +34,22 @@ _KEY_BITS = 40
 
 Send = Callable[[int, pa.Table, dict], list[pa.RecordBatch]]
 Settle = Callable[[pa.Table], pa.RecordBatch]
+# Of a kind of messages the bytes of each value in both parts of a question, and of an answer.
+Widths = tuple[tuple[int, int], tuple[int, int]]
 
 
 class Chunks:
     """Documents by chunk, with the numbers of chunks, buckets and partitions."""
 
-    def __init__(self, docs: DataFrame, id_col: str, text_col: str, ordered: bool, chunk_bytes: int = CHUNK_BYTES):
+    def __init__(
+        self, docs: DataFrame, id_col: str, text_col: str, ordered: bool, chunk_bytes: int = CHUNK_BYTES,
+        widths: dict[int, Widths] | None = None,
+    ):
         """``ordered``: chunks are ranges of ids, so that a smaller chunk holds smaller ids; null ids
-        come last. Otherwise documents are dealt by a hash of their id."""
+        come last. Otherwise documents are dealt by a hash of their id. ``widths``: messages of these kinds are
+        sent in fewer bytes, and the keys of their questions as differences."""
         spark = docs.sparkSession
+        self.widths = widths or {}
         self.tasks = n_partitions(spark)
         given = docs.select(
             docs[id_col].cast("long").alias("doc_id"),
@@ -72,18 +80,25 @@ class Chunks:
     def first_round(self, send: Send) -> DataFrame:
         def run(key, table):
             chunk = key[0].as_py()
-            out = pa.Table.from_batches(send(chunk, unpacked(table), {}))
+            out = shortened(pa.Table.from_batches(send(chunk, unpacked(table), {})), widths, 0)
             give_back()
             return out
 
+        widths = self.widths
         return self.docs.groupBy("chunk").applyInArrow(run, MESSAGE)
 
-    def next_round(self, answers: DataFrame, send: Send, schema: str = MESSAGE) -> DataFrame:
+    def next_round(self, answers: DataFrame | Sequence[DataFrame], send: Send, schema: str = MESSAGE) -> DataFrame:
         """``send`` gets the chunk, its documents and {kind: answers joined in the order asked, and how
-        much of the second part each row brought}."""
+        much of the second part each row brought}. Answers of several rounds, of unlike kinds, are each read from the
+        shuffle that first brought them, so nothing has to be kept and sent again."""
+        rounds = [answers] if isinstance(answers, DataFrame) else list(answers)
+        given = reduce(DataFrame.unionAll, [a.repartition(self.tasks, "chunk") for a in rounds])
+
+        widths = self.widths
 
         def run(key, docs, told):
             chunk = key[0].as_py()
+            told = restored(told, widths)
             got = {}
             kinds = told["kind"].to_numpy()
             buckets = told["bucket"].to_numpy()
@@ -93,18 +108,21 @@ class Chunks:
                 part = told.take(pa.array(rows))
                 got[int(kind)] = (joined(part["data"]), joined(part["more"]), lengths(part["more"]))
             out = pa.Table.from_batches(send(chunk, unpacked(docs), got))
+            if schema == MESSAGE:
+                out = shortened(out, widths, 0)
             give_back()
             return out
 
-        told = answers.repartition(self.tasks, "chunk").groupBy("chunk")
-        return self.docs.groupBy("chunk").cogroup(told).applyInArrow(run, schema)
+        return self.docs.groupBy("chunk").cogroup(given.groupBy("chunk")).applyInArrow(run, schema)
 
     def settle(self, messages: DataFrame, settlers: dict[int, Settle]) -> DataFrame:
         """A settler gets the questions of its kind in one bucket, in the order of chunks, and returns
         their answers; what a chunk keeps for itself goes through unchanged."""
 
+        widths = self.widths
+
         def run(key, table):
-            table = table.combine_chunks()
+            table = restored(table.combine_chunks(), widths)
             kinds = table["kind"].to_numpy()
             out = [table.filter(pa.array(kinds == KEEP))]
             for kind, settler in settlers.items():
@@ -112,11 +130,65 @@ class Chunks:
                 if asked.num_rows:
                     order = np.argsort(asked["chunk"].to_numpy(), kind="stable")
                     out.append(pa.Table.from_batches([settler(asked.take(pa.array(order)))]).cast(out[0].schema))
-            return pa.concat_tables(out)
+            return shortened(pa.concat_tables(out), widths, 1)
 
         return messages.repartition(self.tasks, "bucket").groupBy("bucket").applyInArrow(run, MESSAGE)
 
 
+def _codec() -> pa.Codec:
+    return pa.Codec("zstd", compression_level=1)
+
+
+def _short(value: bytes, width: int, keys: bool) -> bytes:
+    """Values of ``width`` bytes, their first bytes before their second ones and so on, compressed. Of ``keys``, which are
+    in order, the differences: a byte or two less for each."""
+    if not value:
+        return b""
+    flat = np.frombuffer(value, np.uint8)
+    if keys:
+        flat, width = np.diff(widen(flat, width), prepend=np.uint64(0)).view(np.uint8), 8
+    planes = np.ascontiguousarray(flat.reshape(-1, width).T)
+    return len(flat).to_bytes(8, "little") + _codec().compress(planes, asbytes=True)
+
+
+def _full(value: bytes, width: int, keys: bool) -> bytes:
+    if not value:
+        return b""
+    planes = np.frombuffer(_codec().decompress(value[8:], int.from_bytes(value[:8], "little")), np.uint8)
+    flat = np.ascontiguousarray(planes.reshape(8 if keys else width, -1).T)
+    return narrow(np.cumsum(flat.view("<u8").reshape(-1), dtype=np.uint64), width).tobytes() if keys else flat.tobytes()
+
+
+def _recoded(table: pa.Table, widths: dict[int, Widths], answer: np.ndarray, code: Callable) -> pa.Table:
+    if not widths or not table.num_rows:
+        return table
+    sizes = [widths[k][a] if k in widths else None for k, a in zip(table["kind"].to_pylist(), answer, strict=True)]
+    for part, name in enumerate(("data", "more")):
+        values = zip(table[name].to_pylist(), sizes, answer, strict=True)
+        made = [v if w is None else code(v, w[part], part == 0 and not a) for v, w, a in values]
+        table = table.set_column(table.schema.get_field_index(name), name, pa.array(made, pa.binary()))
+    return table
+
+
+def shortened(table: pa.Table, widths: dict[int, Widths], answer: int) -> pa.Table:
+    """Messages in fewer bytes: questions, or with ``answer`` 1 answers, whose kinds are negative on the way."""
+    table = _recoded(table, widths, np.full(table.num_rows, answer), _short)
+    if not widths or not answer:
+        return table
+    kinds = table["kind"].to_numpy()
+    kinds = np.where(np.isin(kinds, list(widths)), -kinds, kinds).astype(np.int32)
+    return table.set_column(table.schema.get_field_index("kind"), "kind", pa.array(kinds))
+
+
+def restored(table: pa.Table, widths: dict[int, Widths]) -> pa.Table:
+    """Messages as they were before ``shortened``."""
+    if not widths:
+        return table
+    kinds = table["kind"].to_numpy()
+    table = table.set_column(table.schema.get_field_index("kind"), "kind", pa.array(np.abs(kinds).astype(np.int32)))
+    return _recoded(table, widths, (kinds < 0).astype(int), _full)
+
+
 def bucket_bounds(n_buckets: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets that sorted ``hashes`` fall in, and where each begins and the last ends."""
     if not len(hashes):

@@ -7,12 +7,12 @@ the mass to the suffix's distribution, down to the words' own. A word is scored
 retained suffix of what stands before it.
 
 Counts, and the sums that decide on contexts, are asked for in rounds between chunks of documents and buckets of
-hashed word sequences: a sequence is sent once per chunk that has it.
+hashed word sequences: a sequence is sent once per chunk that has it. A chunk keeps nothing between rounds; it reads the
+answers of all earlier ones again where they lie.
 """
 
 from __future__ import annotations
 
-import pickle
 import zlib
 from dataclasses import dataclass
 
@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quayside.llm.chunks import KEEP, Chunks, answers, joined, keep, lengths, narrow, questions, widen
+from quayside.llm.chunks import Chunks, answers, joined, lengths, narrow, questions, widen
 from quayside.llm.common import texts_of
 from quayside.llm.wordhash import Words, windows
 
@@ -36,8 +36,10 @@ DISCOUNT = 0.5
 # Nats that the counts of a context must gain over its suffix.
 MIN_GAIN = 8.0
 _END = np.uint64(0x5A1D0C0FFEE5EED1)
-_COUNTS, _STATES = 0, 2
-_NGRAM_KEY = 5
+# Kinds of messages, to which the number of tokens is added: counts of runs, sums of contexts.
+_COUNTS, _STATES = 100, 200
+# Bytes of a longer run's key, and the bits of its hash that the key leaves out: the lowest, so that keys are in order.
+_NGRAM_KEY, _NGRAM_SHIFT = 6, np.uint64(18)
 
 
 @dataclass(frozen=True)
@@ -155,14 +157,6 @@ def _settle_states(asked: pa.Table) -> pa.RecordBatch:
     return answers(asked, out.view(np.uint8).reshape(-1, 12), None, lengths(asked["data"]) // 8)
 
 
-def _pack(state: dict) -> bytes:
-    return zlib.compress(pickle.dumps(state, protocol=5), 4)
-
-
-def _unpack(data: np.ndarray) -> dict:
-    return pickle.loads(zlib.decompress(data.tobytes()))
-
-
 class _Model:
     """What a chunk knows so far: answers per order of runs, in the order of their distinct runs."""
 
@@ -240,38 +234,42 @@ def score_documents(
     held-out fold (a null doc_id is in no fold). base_score adds log10((c + 1) / (N + V + 1)), the distribution
     of the root; score adds the log10 probabilities in the longest retained contexts. Null and
     empty texts are an end only; repeated rows count each; an empty table gives an empty one. Words
-    are told apart by 64-bit hashes, longer runs by 40 bits and their bucket.
+    are told apart by 64-bit hashes, longer runs by 46 bits.
     """
     s = settings or Settings()
-    chunks = Chunks(docs, id_col, text_col, ordered=False, chunk_bytes=CHUNK_BYTES)
+    widths = {_COUNTS + 1: ((8, 4), (1, 8))}
+    widths |= {_COUNTS + d + 1: ((_NGRAM_KEY, 4), (1, 8)) for d in range(1, s.depth + 1)}
+    widths |= {_STATES + d: ((8, 12), (12, 8)) for d in range(1, s.depth + 1)}
+    given = docs.select(id_col, text_col)
+    chunks = Chunks(given, id_col, text_col, ordered=False, chunk_bytes=CHUNK_BYTES, widths=widths)
     buckets = chunks.buckets
 
-    def counts_of(counted: _Counted, chunk: int, key_bytes: int, to_all: bool = False) -> pa.RecordBatch:
+    def counts_of(counted: _Counted, chunk: int, n: int) -> pa.RecordBatch:
         more = narrow(np.minimum(counted.train, np.uint64(0xFFFFFFFF)), 4)
-        return questions(buckets, chunk, counted.hash, narrow(counted.hash, key_bytes), more, _COUNTS, to_all)
+        keys = narrow(counted.hash, 8) if n == 1 else narrow(counted.hash >> _NGRAM_SHIFT, _NGRAM_KEY)
+        return questions(buckets, chunk, counted.hash, keys, more, _COUNTS + n, to_all=n == 1)
 
     def ask_words(chunk, table, _):
         tokens = _Tokens(table, s)
-        return [counts_of(_Counted(tokens, 1, np.arange(len(tokens.hash))), chunk, 8, to_all=True)]
+        return [counts_of(_Counted(tokens, 1, np.arange(len(tokens.hash))), chunk, 1)]
+
+    none = (np.zeros(0, np.uint8), np.zeros(0, np.uint8), np.zeros(0, np.int64))
 
     def received(table, got, d: int) -> tuple[_Model, np.ndarray | None]:
-        """The model after the answers of pass ``d``, and which of the newest runs the chunk owns."""
-        state = _unpack(got[KEEP][0]) if KEEP in got else {}
+        """The model after the answers of ``d`` passes, and which of the newest runs the chunk owns."""
+        low, more, sizes = got.get(_COUNTS + 1, none)
+        # Each row begins with the two sums of its bucket.
+        more = more.view("<i8")
+        head = (np.cumsum(sizes) - sizes) // 8
+        total, distinct = int(more[head].sum()), int(more[head + 1].sum())
+        state = {"words": (low, np.delete(more, np.concatenate([head, head + 1]))), "total": total, "distinct": distinct}
         owned = None
-        none = np.zeros(0, np.uint8)
-        low, more, sizes = got.get(_COUNTS, (none, none, np.zeros(0, np.int64)))
-        if d == 1:
-            # Each row begins with the two sums of its bucket.
-            more = more.view("<i8")
-            head = (np.cumsum(sizes) - sizes) // 8
-            total, distinct = int(more[head].sum()), int(more[head + 1].sum())
-            large = np.delete(more, np.concatenate([head, head + 1]))
-            state |= {"words": (low, large), "total": total, "distinct": distinct}
-        else:
+        for n in range(2, min(d, s.depth + 1) + 1):
+            low, more, _ = got.get(_COUNTS + n, none)
+            state[f"runs{n - 1}"] = (low & 127, more.view("<i8"))
             owned = (low >> 7).astype(bool)
-            state[f"runs{d - 1}"] = (low & 127, more.view("<i8"))
-        if d > 2:
-            state[f"states{d - 2}"] = (got[_STATES][0] if _STATES in got else np.zeros(0, np.uint8)).view("<f4").reshape(-1, 3)
+        for n in range(1, d - 1):
+            state[f"states{n}"] = got.get(_STATES + n, none)[0].view("<f4").reshape(-1, 3)
         return _Model(_Tokens(table, s), s, state), owned
 
     def pass_number(d: int):
@@ -282,18 +280,15 @@ def score_documents(
                 contexts = model.ask_states(d - 1)
                 sums = model.contributions(d - 1, contexts, owned).astype("<f4")
                 out.append(questions(buckets, chunk, contexts.hash, narrow(contexts.hash, 8),
-                                     sums.view(np.uint8).reshape(-1, 12), _STATES))
+                                     sums.view(np.uint8).reshape(-1, 12), _STATES + d - 1))
             if d <= s.depth:
-                out.append(counts_of(model.ask_runs(d), chunk, _NGRAM_KEY))
-            out.append(keep(buckets, chunk, _pack(model.state)))
+                out.append(counts_of(model.ask_runs(d), chunk, d + 1))
             return out
 
         return send
 
     def finish(chunk, table, got):
-        state = _unpack(got[KEEP][0])
-        state[f"states{s.depth}"] = (got[_STATES][0] if _STATES in got else np.zeros(0, np.uint8)).view("<f4").reshape(-1, 3)
-        model = _Model(_Tokens(table, s), s, state)
+        model, _ = received(table, got, s.depth + 2)
         t, n_docs = model.t, table.num_rows
         base = np.log10((model.count[1] + 1.0) / (model.total + model.distinct + 1.0))
         per_doc = lambda w: np.bincount(t.doc, w, n_docs)
@@ -313,8 +308,10 @@ def score_documents(
         ]
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    told = chunks.settle(chunks.first_round(ask_words), {_COUNTS: _settle_counts(8, True, 0)})
-    settlers = {_COUNTS: _settle_counts(_NGRAM_KEY, False, s.min_next), _STATES: _settle_states}
+    settlers = {_COUNTS + 1: _settle_counts(8, True, 0)}
+    settlers |= {_COUNTS + d + 1: _settle_counts(_NGRAM_KEY, False, s.min_next) for d in range(1, s.depth + 1)}
+    settlers |= {_STATES + d: _settle_states for d in range(1, s.depth + 1)}
+    told = [chunks.settle(chunks.first_round(ask_words), settlers)]
     for d in range(1, s.depth + 2):
-        told = chunks.settle(chunks.next_round(told, pass_number(d)), settlers)
+        told.append(chunks.settle(chunks.next_round(told, pass_number(d)), settlers))
     return chunks.next_round(told, finish, schema)
