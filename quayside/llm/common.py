@@ -6,6 +6,7 @@ import ctypes
 import sys
 from collections.abc import Iterator
 from functools import cache
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -79,6 +80,13 @@ def give_back() -> None:
         _trim()(0)
 
 
+def process_memory(name: str) -> dict:
+    """What a Python worker keeps from one task to the next. Functions and their modules travel with the plan, so
+    their own globals last no longer than a task."""
+    place = sys.modules.setdefault("quayside_process_memory", ModuleType("quayside_process_memory"))
+    return vars(place).setdefault(name, {})
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 20_000) -> Iterator[pa.Table]:
     """Tables of whole groups from batches sorted by ``keys``: the last group of what has been read
     waits until its end has been seen."""

@@ -7,144 +7,216 @@ dictionary or delta encoded, so a reader can take counts without ids or a range
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import give_back, n_partitions
+from quayside.llm.common import binary_array, give_back, n_partitions, process_memory, texts_of
 
 END_ID = 0
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
-# Runs of characters remembered by a worker, in each of two generations, and the longest one remembered.
+# Pieces of text that a worker remembers at least, and twice as many at most (some 40 bytes each); bytes of the longest.
 REMEMBERED = 200_000
 LONGEST = 48
-# A cut before a space is a cut between pre-tokens unless the space stands inside a run of white space.
-_INNER = r"\s \s"
+# Bytes of text cut into pieces at a time.
+_CUT_BYTES = 8 << 20
+_SPACE, _WHITE, _LETTER, _DIGIT, _MARK, _HARD = range(6)
+
+
+def _byte_kinds() -> np.ndarray:
+    """What a byte is to the pre-tokenizer. Bytes of U+00C0 to U+01FF are letters (save two signs, see ``_kinds``);
+    whatever else is not ASCII, and control characters, are hard: the library itself has to tell."""
+    kinds = np.full(256, _HARD, np.uint8)
+    kinds[0x21:0x7F] = _MARK
+    kinds[0x30:0x3A] = _DIGIT
+    kinds[0x41:0x5B] = kinds[0x61:0x7B] = _LETTER
+    kinds[0x80:0xC0] = kinds[0xC3:0xC8] = _LETTER
+    kinds[0x09:0x0E] = _WHITE
+    kinds[0x20] = _SPACE
+    return kinds
+
+
+_KINDS = _byte_kinds()
+_SHORT_FORMS = np.isin(np.arange(256), list(b"stmdrvl"))
+
+
+def _kinds(data: np.ndarray) -> np.ndarray:
+    """Kinds of all bytes: the two signs among the letters (multiplied and divided) are hard, and so is an apostrophe
+    that may begin a short form such as 's, which is a pre-token of its own."""
+    kinds = _KINDS[data]
+    at = np.flatnonzero(data[:-1] == 0xC3)
+    kinds[at[(data[at + 1] == 0x97) | (data[at + 1] == 0xB7)]] = _HARD
+    at = np.flatnonzero(data[:-1] == 0x27)
+    kinds[at[_SHORT_FORMS[data[at + 1]]]] = _HARD
+    return kinds
+
+
+def _cuts(data: np.ndarray, offsets: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where pieces of the texts begin, whose ids in turn are those of the texts, and which may be more than a pre-token.
+
+    Most pieces are pre-tokens: letters, digits or marks with a space before them; of white space all but the last
+    character, which is a piece of its own unless it is a space before another piece, or all of it at the
+    end of a text. What stands from one space to the next is one piece if it holds a hard byte: no pre-token goes on
+    over a space that has no white space on one of its sides. Texts with hard bytes where both sides of a space may
+    be white, and those marked ``whole``, are one piece.
+    """
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, bool)
+    kinds = _kinds(data)
+    given = np.diff(offsets) > 0
+    begin, end = offsets[:-1][given], offsets[1:][given]
+    white = kinds <= _WHITE
+    cut = np.empty(len(data), bool)
+    cut[1:] = kinds[1:] != kinds[:-1]
+    # A space belongs to what follows it; other white space ends where something else begins.
+    cut[1:] &= ~white[1:] & (kinds[:-1] != _SPACE) | ~white[:-1]
+    last = white.copy()
+    last[:-1] &= ~white[1:]
+    last[end - 1] = False
+    last[1:] &= white[:-1]
+    cut |= last
+    cut[begin] = True
+    hard = np.flatnonzero(kinds == _HARD)
+    spans = [(begin[whole[given]], end[whole[given]])]
+    if len(hard):
+        doubtful = white | (kinds == _HARD)
+        inside = np.flatnonzero((kinds[1:-1] == _SPACE) & doubtful[:-2] & doubtful[2:]) + 1
+        of_hard = np.unique(np.searchsorted(begin, hard, "right") - 1)
+        of_inside = np.unique(np.searchsorted(begin, inside, "right") - 1)
+        both = np.intersect1d(of_hard, of_inside)
+        spans.append((begin[both], end[both]))
+        runs = np.union1d(np.flatnonzero(kinds == _SPACE), begin)
+        held = np.unique(np.searchsorted(runs, hard, "right") - 1)
+        spans.append((runs[held], np.append(runs, len(data))[held + 1]))
+    longer = np.zeros(len(data), bool)
+    if any(len(first) for first, _ in spans):
+        change = np.zeros(len(data) + 1, np.int32)
+        for first, upto in spans:
+            longer[first] = True
+            np.add.at(change, first + 1, 1)
+            np.subtract.at(change, upto, 1)
+        cut &= np.cumsum(change[:-1]) <= 0
+    cuts = np.flatnonzero(cut)
+    return cuts, longer[cuts]
 
 
 class DocumentTokenizer:
-    """Ids of whole texts with the tokenizers library, remembering those of runs between spaces.
-
-    The pre-tokenizer never joins what stands before a space to what follows, if no other white space is next
-    to both sides of it; then a text's ids are those of its runs. Other texts, and those that hold an added
-    token such as an end mark, are given to the library whole, as are all texts of a tokenizer that is not plain
-    byte-level BPE.
+    """Ids of whole texts with the tokenizers library, which encodes every piece of text (see ``_cuts``) that is not
+    remembered; a worker remembers from one task to the next. Texts that hold an added token such as an end mark are given to the library whole, as are all
+    texts of a tokenizer that is not plain byte-level BPE.
     """
 
     def __init__(self, json_text: str):
         import json
         import os
-        import re
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one task, one thread
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_str(json_text)
+        # The same model for what is one pre-token already.
+        self.pre_tokens = Tokenizer.from_str(json_text)
+        self.pre_tokens.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         spec = json.loads(json_text)
         before = spec.get("pre_tokenizer") or {}
-        self.by_runs = (
+        self.by_pieces = (
             spec.get("normalizer") is None and before.get("type") == "ByteLevel"
             and before.get("use_regex", True) and not before.get("add_prefix_space", False)
         )
-        self.inner = re.compile(_INNER)
-        # Strings that are one token wherever they stand, across runs too: their texts are encoded whole.
-        added = [re.escape(t["content"]) for t in spec.get("added_tokens") or [] if t["content"]]
-        self.added = re.compile("|".join(added) or r"(?!)")
-        self.space = re.compile(r"\s")
-        self.line_end = self.library.encode("\n", add_special_tokens=False).ids[0]
-        self.marks = {m: self._encoded([m])[0] for m in ".,;:!?"}
+        # Strings that are one token wherever they stand: their texts are encoded whole.
+        self.added = [t["content"] for t in spec.get("added_tokens") or [] if t["content"]]
         self.forget()
 
     def forget(self) -> None:
-        """Empty both generations of memory: a full young one becomes the old one, which is forgotten."""
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(f.ids, dtype=np.uint32).tobytes() for f in found]
-
-    def _run_ids(self, runs: list[str]) -> dict[str, bytes]:
-        """Ids of runs, a space before each. Those without white space are encoded as the lines of one
-        text: the line end is a pre-token of its own there."""
-        plain = [r for r in runs if r and not self.space.search(r)]
-        odd = [r for r in runs if not r or self.space.search(r)]
-        out = dict(zip(odd, self._encoded([" " + r for r in odd]), strict=True))
-        for at in range(0, len(plain), 5000):
-            part = plain[at : at + 5000]
-            ids = np.array(self._lines(part), dtype=np.uint32)
-            ends = np.flatnonzero(ids == self.line_end)
-            if len(ends) != len(part):
-                out.update(zip(part, self._encoded([" " + r for r in part]), strict=True))
-                continue
-            data = ids.tobytes()
-            begin = 0
-            for run, end in zip(part, (4 * ends).tolist(), strict=True):
-                out[run] = data[begin:end]
-                begin = end + 4
+        """Empty the memory: pieces, their ids, and the number of the call that last needed each."""
+        self.known = self.known_ids = pa.array([], pa.large_binary())
+        self.needed = np.zeros(0, np.int64)
+        self.calls = 0
+
+    @staticmethod
+    def _encoded(library, texts: list[str]) -> pa.Array:
+        """Ids of each text as the bytes of unsigned 32-bit integers."""
+        ids = [f.ids for f in library.encode_batch_fast(texts, add_special_tokens=False)]
+        ends = 4 * np.cumsum([0, *map(len, ids)])
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32)
+        return pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+
+    def _remembered(self, pieces: pa.Array, longer: np.ndarray) -> pa.Array:
+        """Ids of distinct pieces, from memory where they are in it."""
+        at = pc.index_in(pieces, value_set=self.known)
+        new = at.is_null().to_numpy(zero_copy_only=False)
+        at = at.fill_null(0).to_numpy().astype(np.int64)
+        self.calls += 1
+        self.needed[at[~new]] = self.calls
+        missing, parts, held = [], [self.known_ids], len(self.known)
+        for some, library in ((new & ~longer, self.pre_tokens), (new & longer, self.library)):
+            some = np.flatnonzero(some)
+            missing.append(pieces.take(pa.array(some)))
+            parts.append(self._encoded(library, missing[-1].cast(pa.large_string()).to_pylist()))
+            at[some] = held + np.arange(len(some))
+            held += len(some)
+        ids = pa.concat_arrays(parts)
+        out = ids.take(pa.array(at))
+        known = pa.concat_arrays([self.known, *missing])
+        needed = np.append(self.needed, np.full(len(known) - len(self.known), self.calls))
+        stays = np.flatnonzero(pc.binary_length(known).to_numpy() <= LONGEST)
+        if len(stays) > 2 * REMEMBERED:
+            stays = stays[np.argsort(-needed[stays], kind="stable")[:REMEMBERED]]
+        if len(stays) < len(known):
+            known, ids, needed = known.take(pa.array(stays)), ids.take(pa.array(stays)), needed[stays]
+        self.known, self.known_ids, self.needed = known, ids, needed
         return out
 
-    def _lines(self, runs: list[str]) -> list[int]:
-        text = "".join([f" {r}\n" for r in runs])
-        return self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a column's texts after one another, and how many each text has, without end ids."""
+        if not self.by_pieces:
+            ids, upto = texts_of(self._encoded(self.library, [t or "" for t in texts.to_pylist()]))
+            return ids.view("<u4"), np.diff(upto // 4)
+        whole = np.zeros(len(texts), bool)
+        for content in self.added:
+            whole |= pc.fill_null(pc.match_substring(texts, content), False).to_numpy(zero_copy_only=False)
+        data, offsets = texts_of(texts)
+        cuts, longer = _cuts(data, offsets, whole)
+        pieces = binary_array(data, np.append(cuts, len(data))).cast(pa.large_binary()).dictionary_encode()
+        which = pieces.indices.to_numpy()
+        longer_of = np.zeros(len(pieces.dictionary), bool)
+        longer_of[which[longer]] = True
+        ids, upto = texts_of(self._remembered(pieces.dictionary, longer_of).take(pieces.indices))
+        return ids.view("<u4"), np.diff(upto[np.searchsorted(cuts, offsets)] // 4)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, without an end id."""
-        if not self.by_runs:
-            return self._encoded(texts)
-        young, old = self.young, self.old.get
-        whole, heads, split, missing = [], [], [], set()
-        for text in texts:
-            if self.inner.search(text) or self.added.search(text):
-                whole.append(text)
-                split.append(None)
-                continue
-            head, *runs = text.split(" ")
-            heads.append(head)
-            split.append(runs)
-            missing.update(r for r in set(runs) if r not in young)
-        need, tailed = set(), []
-        for run in missing:
-            ids = old(run)
-            if ids is not None:
-                young[run] = ids
-            elif run[-1:] in self.marks and run[:-1].isalpha():
-                # Letters and one mark are two pre-tokens.
-                tailed.append(run)
-                if run[:-1] not in young:
-                    if (base := old(run[:-1])) is not None:
-                        young[run[:-1]] = base
-                    else:
-                        need.add(run[:-1])
-            else:
-                need.add(run)
-        young.update(self._run_ids(list(need)))
-        young.update((r, young[r[:-1]] + self.marks[r[-1]]) for r in tailed)
-        wholes, firsts = iter(self._encoded(whole)), iter(self._encoded(heads))
-        ids_of = young.__getitem__
-        out = [next(wholes) if runs is None else next(firsts) + b"".join(map(ids_of, runs)) for runs in split]
-        for run in missing:
-            if len(run) > LONGEST:
-                del young[run]
-        if len(young) > REMEMBERED:
-            self.young, self.old = {}, young
-        return out
+        ids, sizes = self.encode_column(pa.array(texts, pa.string()))
+        ends = np.cumsum(sizes)
+        return [ids[e - n : e].tobytes() for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
 
 
-_made: dict[int, DocumentTokenizer] = {}
+def tokenizer_of(json_bytes: bytes) -> DocumentTokenizer:
+    """The tokenizer of this process, with what it remembers."""
+    made, key = process_memory("tokenizers"), hashlib.sha256(json_bytes).digest()
+    if key not in made:
+        made.clear()
+        made[key] = DocumentTokenizer(json_bytes.decode())
+    return made[key]
 
 
-def tokenizer_of(json_bytes: bytes) -> DocumentTokenizer:
-    key = zlib.crc32(json_bytes)
-    if key not in _made:
-        _made[key] = DocumentTokenizer(json_bytes.decode())
-    return _made[key]
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows with about so much text as is cut at a time."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        upto = int(np.searchsorted(size, (size[at - 1] if at else 0) + _CUT_BYTES, "right"))
+        yield batch.slice(at, max(upto, at + 1) - at)
+        at = max(upto, at + 1)
 
 
 def write_tokens(
@@ -167,22 +239,19 @@ def write_tokens(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = tokenizer_of(held.value)
-        end = np.array([end_id], dtype="<u4").tobytes()
         begin = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                found = machine.encode([t or "" for t in part.column(1).to_pylist()])
-                flat = np.frombuffer(b"".join([f + end for f in found]), dtype=np.int32)
-                sizes = np.array([len(f) // 4 + 1 for f in found], dtype=np.int64)
-                bounds = np.concatenate([[0], np.cumsum(sizes)])
+            for part in _parts(batch):
+                found, sizes = machine.encode_column(part.column(1))
+                ends = np.cumsum(sizes)
+                bounds = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
+                flat = np.insert(found.view(np.int32), ends, np.uint32(end_id).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), pa.array(begin + bounds[:-1]), pa.array(sizes),
+                    [part.column(0), part.column(2), pa.array(begin + bounds[:-1]), pa.array(sizes + 1),
                      pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(flat))],
                     names=["doc_id", "part", "begin", "n_tokens", "ids"],
                 )
                 begin += int(bounds[-1])
-        machine.forget()
         give_back()
 
     ordered = (

@@ -1,3 +1,5 @@
+import os
+import random
 import zlib
 
 import numpy as np
@@ -6,6 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
+from quayside.llm import token_files
 from quayside.llm.token_files import DocumentTokenizer, read_metadata, read_tokens, token_digest, write_tokens
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,6 +33,43 @@ def test_runs_give_the_librarys_ids(plain, json_bytes, numbered_texts):
     assert [np.frombuffer(f, "<u4").tolist() for f in found] == [plain(t) for t in texts]
 
 
+def test_random_mixtures_give_the_librarys_ids(plain, json_bytes):
+    parts = ["a", "b ", "'s", " 's", "'", "'ll", "l'a", "\n", " ", "  ", "\t", "\r\n", "é", "×", "÷", "ª", "½", "¿", "日", "\xa0", "\u3000",
+             "\x1c", "\x00", "1", " 23", "...", "—", "<|endoftext|>", "<|endof", "ſ", "я", "a\u0301", "'RE", "\x85", "ƻ", " y", " ."]
+    rng = random.Random(3)
+    texts = ["".join(rng.choices(parts, k=rng.randrange(14))) for _ in range(5000)]
+    machine = DocumentTokenizer(json_bytes.decode())
+    for at in range(0, len(texts), 1000):
+        found = machine.encode(texts[at : at + 1000])
+        assert [np.frombuffer(f, "<u4").tolist() for f in found] == [plain(t) for t in texts[at : at + 1000]]
+
+
+def test_pieces_are_given_to_the_library_once(json_bytes, monkeypatch):
+    machine = DocumentTokenizer(json_bytes.decode())
+    first = machine.encode(["one two, three***", "Two three\nfour"])
+    given = []
+    monkeypatch.setattr(machine, "_encoded", lambda library, texts: given.extend(texts) or DocumentTokenizer._encoded(library, texts))
+    assert machine.encode(["one two, three***", "Two three\nfour"]) == first
+    machine.encode(["one two*** three,\nfour, two"])
+    assert given == []
+    monkeypatch.setattr(token_files, "REMEMBERED", 2)
+    machine.encode(["five six"])
+    assert given == ["five", " six"] and len(machine.known) == 2
+    assert machine.encode(["one two, three***", "Two three\nfour"]) == first
+
+
+def test_a_worker_remembers_from_task_to_task(spark, json_bytes):
+    # Functions travel by value here, so each task has its own module.
+    def known(_):
+        machine = token_files.tokenizer_of(json_bytes)
+        before = len(machine.known)
+        machine.encode(["a text of some words"])
+        return [(os.getpid(), before)]
+
+    tasks = spark.sparkContext.parallelize(range(40), 40).mapPartitions(known).collect()
+    assert sum(before == 0 for _, before in tasks) == len({pid for pid, _ in tasks}) < 40
+
+
 def test_round_trip_and_selective_reads(spark, plain, json_bytes, numbered_texts, tmp_path):
     rows = [(3 * i, t) for i, t, _ in numbered_texts] + [(9, "again"), (None, "no id")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
