@@ -28,7 +28,7 @@ FOLDS = 7
 HELD_OUT = 2
 DEPTH = 2
 # Larger chunks than elsewhere: the more documents, the more often a word is asked for just once.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 6 << 20
 # Occurrences a context needs, and a next word needs to be in its distribution.
 MIN_CONTEXT = 16
 MIN_NEXT = 2
@@ -42,6 +42,15 @@ _COUNTS, _STATES = 100, 200
 _NGRAM_KEY, _NGRAM_SHIFT = 6, np.uint64(18)
 
 
+def _key_bytes(n: int) -> int:
+    return 8 if n == 1 else _NGRAM_KEY
+
+
+def _keys(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Keys of hashed runs of ``n`` tokens, in order like the hashes."""
+    return narrow(hashes if n == 1 else hashes >> _NGRAM_SHIFT, _key_bytes(n))
+
+
 @dataclass(frozen=True)
 class Settings:
     depth: int = DEPTH
@@ -143,18 +152,24 @@ def _settle_counts(key_bytes: int, with_sums: bool, min_count: int):
     return settle
 
 
-def _settle_states(asked: pa.Table) -> pa.RecordBatch:
-    """Sums kept next words, their counts and the gain of equal contexts."""
-    keys = joined(asked["data"]).view("<u8")
-    values = joined(asked["more"]).view("<f4").reshape(-1, 3).astype(np.float64)
-    order = np.argsort(keys, kind="stable")
-    value = keys[order]
-    out = np.zeros((len(keys), 3), "<f4")
-    if len(keys):
-        begin = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
-        total = np.add.reduceat(values[order], begin, axis=0)
-        out[order] = np.repeat(total, np.diff(np.append(begin, len(value))), axis=0)
-    return answers(asked, out.view(np.uint8).reshape(-1, 12), None, lengths(asked["data"]) // 8)
+def _settle_states(key_bytes: int, min_gain: float):
+    """Sums kept next words, their counts and the gain of equal contexts. Answers are the first two sums, or zeros
+    for a context that is not retained."""
+
+    def settle(asked: pa.Table) -> pa.RecordBatch:
+        keys = widen(joined(asked["data"]), key_bytes) if key_bytes < 8 else joined(asked["data"]).view("<u8")
+        values = joined(asked["more"]).view("<f4").reshape(-1, 3).astype(np.float64)
+        order = np.argsort(keys, kind="stable")
+        value = keys[order]
+        out = np.zeros((len(keys), 2), "<f4")
+        if len(keys):
+            begin = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
+            total = np.add.reduceat(values[order], begin, axis=0).astype("<f4")
+            told = np.where(total[:, 2:] >= min_gain, total[:, :2], np.float32(0))
+            out[order] = np.repeat(told, np.diff(np.append(begin, len(value))), axis=0)
+        return answers(asked, out.view(np.uint8).reshape(-1, 8), None, lengths(asked["data"]) // key_bytes)
+
+    return settle
 
 
 class _Model:
@@ -214,14 +229,13 @@ class _Model:
 
     def _deeper(self, d: int, before: np.ndarray, contexts: _Counted, sums: np.ndarray) -> np.ndarray:
         """Probabilities with the retained contexts of d tokens, where one stands before a token."""
-        kept, total, gain = (sums[contexts.which, i].astype(np.float64) for i in range(3))
+        kept, total = (sums[contexts.which, i].astype(np.float64) for i in range(2))
         at = contexts.at
         n = self.count[d][at].astype(np.float64)
         rest = np.maximum(1.0 - (total - self.s.discount * kept) / n, 1e-9)
         own = np.maximum(self.count[d + 1][at] - self.s.discount, 0.0) / n
-        retained = (gain >= self.s.min_gain) & (kept > 0)
         out = before.copy()
-        out[at + d] = np.where(retained, own + rest * before[at + d], before[at + d])
+        out[at + d] = np.where(kept > 0, own + rest * before[at + d], before[at + d])
         return out
 
 
@@ -239,15 +253,14 @@ def score_documents(
     s = settings or Settings()
     widths = {_COUNTS + 1: ((8, 4), (1, 8))}
     widths |= {_COUNTS + d + 1: ((_NGRAM_KEY, 4), (1, 8)) for d in range(1, s.depth + 1)}
-    widths |= {_STATES + d: ((8, 12), (12, 8)) for d in range(1, s.depth + 1)}
+    widths |= {_STATES + d: ((_key_bytes(d), 12), (8, 8)) for d in range(1, s.depth + 1)}
     given = docs.select(id_col, text_col)
     chunks = Chunks(given, id_col, text_col, ordered=False, chunk_bytes=CHUNK_BYTES, widths=widths)
     buckets = chunks.buckets
 
     def counts_of(counted: _Counted, chunk: int, n: int) -> pa.RecordBatch:
         more = narrow(np.minimum(counted.train, np.uint64(0xFFFFFFFF)), 4)
-        keys = narrow(counted.hash, 8) if n == 1 else narrow(counted.hash >> _NGRAM_SHIFT, _NGRAM_KEY)
-        return questions(buckets, chunk, counted.hash, keys, more, _COUNTS + n, to_all=n == 1)
+        return questions(buckets, chunk, counted.hash, _keys(counted.hash, n), more, _COUNTS + n, to_all=n == 1)
 
     def ask_words(chunk, table, _):
         tokens = _Tokens(table, s)
@@ -269,7 +282,7 @@ def score_documents(
             state[f"runs{n - 1}"] = (low & 127, more.view("<i8"))
             owned = (low >> 7).astype(bool)
         for n in range(1, d - 1):
-            state[f"states{n}"] = got.get(_STATES + n, none)[0].view("<f4").reshape(-1, 3)
+            state[f"states{n}"] = got.get(_STATES + n, none)[0].view("<f4").reshape(-1, 2)
         return _Model(_Tokens(table, s), s, state), owned
 
     def pass_number(d: int):
@@ -279,7 +292,7 @@ def score_documents(
             if d > 1:
                 contexts = model.ask_states(d - 1)
                 sums = model.contributions(d - 1, contexts, owned).astype("<f4")
-                out.append(questions(buckets, chunk, contexts.hash, narrow(contexts.hash, 8),
+                out.append(questions(buckets, chunk, contexts.hash, _keys(contexts.hash, d - 1),
                                      sums.view(np.uint8).reshape(-1, 12), _STATES + d - 1))
             if d <= s.depth:
                 out.append(counts_of(model.ask_runs(d), chunk, d + 1))
@@ -310,7 +323,7 @@ def score_documents(
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     settlers = {_COUNTS + 1: _settle_counts(8, True, 0)}
     settlers |= {_COUNTS + d + 1: _settle_counts(_NGRAM_KEY, False, s.min_next) for d in range(1, s.depth + 1)}
-    settlers |= {_STATES + d: _settle_states for d in range(1, s.depth + 1)}
+    settlers |= {_STATES + d: _settle_states(_key_bytes(d), s.min_gain) for d in range(1, s.depth + 1)}
     told = [chunks.settle(chunks.first_round(ask_words), settlers)]
     for d in range(1, s.depth + 2):
         told.append(chunks.settle(chunks.next_round(told, pass_number(d)), settlers))

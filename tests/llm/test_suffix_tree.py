@@ -3,9 +3,12 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from quayside.llm.suffix_tree import Settings, score_documents
+from quayside.llm.chunks import questions
+from quayside.llm.suffix_tree import Settings, _key_bytes, _keys, _settle_states, score_documents
 
 
 def tokens(text):
@@ -67,5 +70,16 @@ def test_matches_plain_counts(spark, numbered_texts, depth):
     assert sum(g[6] for g in got) > sum(g[5] for g in got) + 100
 
 
+def test_answers_tell_of_retained_contexts_only():
+    hashes = np.array([5 << 40, 9 << 40], np.uint64)
+    sums = [np.array([[2, 30, 7.0], [1, 20, 7.0]], "<f4"), np.array([[1, 10, 2.0], [0, 0, 0.5]], "<f4")]
+    asked = pa.Table.from_batches([
+        questions(1, chunk, hashes, _keys(hashes, 2), given.view(np.uint8).reshape(-1, 12)) for chunk, given in enumerate(sums)
+    ])
+    told = _settle_states(_key_bytes(2), 8.0)(asked)
+    for answer in told["data"].to_pylist():
+        assert np.frombuffer(answer, "<f4").reshape(-1, 2).tolist() == [[3, 40], [0, 0]]
+
+
 def test_empty(spark):
     assert score_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
