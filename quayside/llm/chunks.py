@@ -31,11 +31,14 @@ _PACK_BYTES = 16 << 20
 KEEP = 1
 MESSAGE = "bucket int, chunk int, kind int, data binary, more binary"
 _KEY_BITS = 40
+# So many values make it worth to compress their first bytes, second bytes and so on apart.
+_OWN_PART = 1024
+_U32, _LOW_32 = np.uint64(32), np.uint64(0xFFFFFFFF)
 
 Send = Callable[[int, pa.Table, dict], list[pa.RecordBatch]]
 Settle = Callable[[pa.Table], pa.RecordBatch]
-# Of a kind of messages the bytes of each value in both parts of a question, and of an answer.
-Widths = tuple[tuple[int, int], tuple[int, int]]
+# Of a kind of messages the bytes of each value in both parts of a question, and of an answer; None: sent as it is.
+Widths = tuple[tuple[int | None, int], tuple[int, int | None]]
 
 
 class Chunks:
@@ -140,22 +143,33 @@ def _codec() -> pa.Codec:
 
 
 def _short(value: bytes, width: int, keys: bool) -> bytes:
-    """Values of ``width`` bytes, their first bytes before their second ones and so on, compressed. Of ``keys``, which are
-    in order, the differences: a byte or two less for each."""
+    """Values of ``width`` bytes, their first bytes before their second ones and so on, compressed, of many values each
+    by itself. Of ``keys``, which are in order, the differences: a byte or two less for each."""
     if not value:
         return b""
     flat = np.frombuffer(value, np.uint8)
     if keys:
         flat, width = np.diff(widen(flat, width), prepend=np.uint64(0)).view(np.uint8), 8
     planes = np.ascontiguousarray(flat.reshape(-1, width).T)
-    return len(flat).to_bytes(8, "little") + _codec().compress(planes, asbytes=True)
+    parts = [_codec().compress(p, asbytes=True) for p in planes.reshape(_n_parts(planes.shape[1], width), -1)]
+    return np.array([len(flat), *map(len, parts)], "<u4").tobytes() + b"".join(parts)
+
+
+def _n_parts(n: int, width: int) -> int:
+    return width if n >= _OWN_PART else 1
 
 
 def _full(value: bytes, width: int, keys: bool) -> bytes:
     if not value:
         return b""
-    planes = np.frombuffer(_codec().decompress(value[8:], int.from_bytes(value[:8], "little")), np.uint8)
-    flat = np.ascontiguousarray(planes.reshape(8 if keys else width, -1).T)
+    size, wide = int.from_bytes(value[:4], "little"), 8 if keys else width
+    n_parts = _n_parts(size // wide, wide)
+    at = 4 + 4 * n_parts
+    parts = []
+    for n in np.frombuffer(value, "<u4", n_parts, 4).tolist():
+        parts.append(np.frombuffer(_codec().decompress(value[at : at + n], size // n_parts), np.uint8))
+        at += n
+    flat = np.ascontiguousarray(np.concatenate(parts).reshape(wide, -1).T)
     return narrow(np.cumsum(flat.view("<u8").reshape(-1), dtype=np.uint64), width).tobytes() if keys else flat.tobytes()
 
 
@@ -165,7 +179,7 @@ def _recoded(table: pa.Table, widths: dict[int, Widths], answer: np.ndarray, cod
     sizes = [widths[k][a] if k in widths else None for k, a in zip(table["kind"].to_pylist(), answer, strict=True)]
     for part, name in enumerate(("data", "more")):
         values = zip(table[name].to_pylist(), sizes, answer, strict=True)
-        made = [v if w is None else code(v, w[part], part == 0 and not a) for v, w, a in values]
+        made = [v if w is None or w[part] is None else code(v, w[part], part == 0 and not a) for v, w, a in values]
         table = table.set_column(table.schema.get_field_index(name), name, pa.array(made, pa.binary()))
     return table
 
@@ -189,6 +203,49 @@ def restored(table: pa.Table, widths: dict[int, Widths]) -> pa.Table:
     return _recoded(table, widths, (kinds < 0).astype(int), _full)
 
 
+def packed_numbers(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 to 2**32 - 1, each in about as many bits as it has: their lengths, compressed, and all bits
+    after the first one of each number plus one."""
+    v = values.astype(np.uint64) + np.uint64(1)
+    size = np.frexp(v.astype(np.float64))[1] - 1
+    if len(size) and size.max() > 32:
+        raise ValueError("numbers to pack must be below 2**32")
+    lens = _codec().compress(size.astype(np.uint8), asbytes=True) if len(size) else b""
+    end = np.cumsum(size, dtype=np.int64)
+    at, size = end - size, size.astype(np.uint64)
+    word = at >> 5
+    bits = (v ^ (np.uint64(1) << size)) << (at & 31).astype(np.uint64)
+    n_words = (int(end[-1]) + 31) // 32 if len(end) else 0
+    out = np.zeros(n_words + 2, np.uint64)
+    if len(v):
+        begin = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        out[word[begin]] += np.add.reduceat(bits & _LOW_32, begin)
+        out[word[begin] + 1] += np.add.reduceat(bits >> _U32, begin)
+    head = np.array([len(v), len(lens)], "<u4")
+    return head.tobytes() + lens + out[:n_words].astype("<u4").tobytes()
+
+
+def unpacked_numbers(data: bytes | np.ndarray) -> list[np.ndarray]:
+    """The numbers of each ``packed_numbers`` value in ``data``, which holds any number of them."""
+    data, out, at = bytes(data), [], 0
+    while at < len(data):
+        n, n_lens = np.frombuffer(data, "<u4", 2, at).tolist()
+        at += 8
+        lens = _codec().decompress(data[at : at + n_lens], n) if n else b""
+        at += n_lens
+        size = np.frombuffer(lens, np.uint8)
+        begin = np.cumsum(size, dtype=np.int64) - size
+        n_words = (int(begin[-1]) + int(size[-1]) + 31) // 32 if n else 0
+        words = np.zeros(n_words + 2, np.uint64)
+        words[:n_words] = np.frombuffer(data, "<u4", n_words, at)
+        at += 4 * n_words
+        word, size = begin >> 5, size.astype(np.uint64)
+        bits = (words[word] | (words[word + 1] << _U32)) >> (begin & 31).astype(np.uint64)
+        one = np.uint64(1) << size
+        out.append((bits & (one - np.uint64(1))) + one - np.uint64(1))
+    return out
+
+
 def bucket_bounds(n_buckets: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets that sorted ``hashes`` fall in, and where each begins and the last ends."""
     if not len(hashes):
@@ -209,20 +266,20 @@ def questions(
         counts = np.zeros(n_buckets, np.int64)
         counts[buckets] = np.diff(bounds)
         buckets, bounds = np.arange(n_buckets, dtype=np.int32), np.concatenate([[0], np.cumsum(counts)])
+    more = np.zeros((len(data), 0), np.uint8) if more is None else more
+    return message_rows(buckets, chunk, kind, cut(data, bounds), cut(more, bounds))
+
+
+def cut(rows: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The bytes of a matrix as one value for each range of its rows."""
+    return binary_array(np.ascontiguousarray(rows).reshape(-1), bounds * rows.shape[1])
+
+
+def message_rows(buckets: np.ndarray, chunk: int, kind: int, data: pa.Array, more: pa.Array) -> pa.RecordBatch:
+    """One message of a chunk to each of ``buckets``."""
     n = len(buckets)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(buckets.astype(np.int32)),
-            pa.array(np.full(n, chunk, np.int32)),
-            pa.array(np.full(n, kind, np.int32)),
-            binary_array(np.ascontiguousarray(data).reshape(-1), bounds * data.shape[1]),
-            binary_array(
-                np.zeros(0, np.uint8) if more is None else np.ascontiguousarray(more).reshape(-1),
-                bounds * (0 if more is None else more.shape[1]),
-            ),
-        ],
-        names=["bucket", "chunk", "kind", "data", "more"],
-    )
+    ints = [pa.array(v) for v in (buckets.astype(np.int32), np.full(n, chunk, np.int32), np.full(n, kind, np.int32))]
+    return pa.RecordBatch.from_arrays([*ints, data, more], names=["bucket", "chunk", "kind", "data", "more"])
 
 
 def keep(n_buckets: int, chunk: int, data: bytes) -> pa.RecordBatch:

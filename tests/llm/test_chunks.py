@@ -2,8 +2,9 @@
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
-from quayside.llm.chunks import KEEP, keep, narrow, questions, restored, shortened
+from quayside.llm.chunks import KEEP, keep, narrow, packed_numbers, questions, restored, shortened, unpacked_numbers
 from quayside.llm.suffix_tree import score_documents
 
 
@@ -24,6 +25,17 @@ def test_messages_come_back_as_they_were_and_are_shorter():
     assert shortened(table, {}, 0).equals(table) and restored(table, {}).equals(table)
 
 
+def test_packed_numbers_come_back_in_the_bits_they_have():
+    rng = np.random.default_rng(2)
+    given = [np.zeros(0, int), np.array([0, 2**32 - 1, 0, 2**31, 5]), np.zeros(5000, int), rng.geometric(0.01, 20_000)]
+    packed = [packed_numbers(v) for v in given]
+    back = unpacked_numbers(b"".join(packed))
+    assert [b.tolist() for b in back] == [v.tolist() for v in given]
+    assert len(packed[2]) < 40 and len(packed[3]) < 20_000 * 9 / 8
+    with pytest.raises(ValueError):
+        packed_numbers(np.array([2**34]))
+
+
 def test_answers_are_told_from_questions():
     table, widths = messages(4), {7: ((6, 4), (4, 4)), 9: ((8, 12), (12, 8))}
     short = shortened(table, widths, 1)

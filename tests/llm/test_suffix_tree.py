@@ -8,7 +8,9 @@ import pyarrow as pa
 import pytest
 
 from quayside.llm.chunks import questions
-from quayside.llm.suffix_tree import Settings, _key_bytes, _keys, _settle_states, score_documents
+from quayside.llm.suffix_tree import (
+    Settings, _key_bytes, _keys, _run_keys, _Runs, _settle_counts, _settle_states, score_documents,
+)
 
 
 def tokens(text):
@@ -81,5 +83,45 @@ def test_answers_tell_of_retained_contexts_only():
         assert np.frombuffer(answer, "<f4").reshape(-1, 2).tolist() == [[3, 40], [0, 0]]
 
 
+class Train:
+    def __init__(self, n):
+        self.train = np.ones(n, bool)
+
+
+def drawn_runs(seed, n, n_buckets):
+    """Runs of a context and a word, both of numbers that fall in frequency, a fifth of them in context 3."""
+    r = np.random.default_rng(seed)
+    context, word = (np.minimum(r.zipf(1.3, n), 50_000).astype(np.uint64) for _ in range(2))
+    context[: n // 5] = 3
+    runs = _Runs(Train(n), context, word, np.arange(n))
+    share = np.bincount((runs.hash >> np.uint64(32)).astype(np.int64), runs.train)[runs.hash >> np.uint64(32)] / n
+    runs.deal(n_buckets, share)
+    return runs
+
+
+def test_runs_are_sent_in_fewer_bytes_than_hashes():
+    runs = drawn_runs(1, 200_000, 10)
+    sent = runs.messages(0, 102)
+    assert sum(len(v) for v in sent["data"].to_pylist()) < 2.5 * len(runs.hash)
+
+
+@pytest.mark.parametrize("n_buckets", [1, 16])
+def test_runs_keep_apart_and_frequent_contexts_are_split(n_buckets):
+    chunks = [drawn_runs(0, 40_000, n_buckets)] * 2
+    sent = pa.Table.from_batches([c.messages(i, 102) for i, c in enumerate(chunks)])
+    told, loads = [], []
+    for bucket in range(n_buckets):
+        asked = sent.filter(pa.array(sent["bucket"].to_numpy() == bucket))
+        keys, per_row = _run_keys(asked)
+        assert len(np.unique(keys[: per_row[0]])) == per_row[0]
+        loads.append(per_row[0])
+        raw = [c.train[c.order].astype("<u4")[c.bucket == bucket].tobytes() for c in chunks]
+        asked = asked.set_column(4, "more", pa.array(raw, pa.binary()))
+        told.append(_settle_counts(2, 2, None)(asked)["data"][0].as_py())
+    assert max(loads) < 2 * sum(loads) / n_buckets
+    counts = chunks[0].back(np.frombuffer(b"".join(told), np.uint8) & 127)
+    assert counts.tolist() == np.minimum(2 * chunks[0].train, 127).tolist()
+
+
 def test_empty(spark):
     assert score_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
