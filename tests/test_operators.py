@@ -1,11 +1,16 @@
+import glob
 import json
+import os
 import random
+import time
+from collections import Counter
 from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.operators.breaker import (
     circuit_states,
@@ -32,7 +37,8 @@ from quayside.operators.rules import (
 )
 from quayside.operators.skew import grid_join, heavy_keys
 from quayside.operators.triage import rejects, triage, validate_submissions
-from quayside.plans.feeds import feed
+from quayside.plans.feeds import FEEDS, feed, load_tables
+from quayside.session import shared_folder, stored
 
 VALID = {
     "company_id": "C-4711",
@@ -602,3 +608,72 @@ def test_keys_are_computed_once_and_stored(spark):
         (1, '{"a": 1}', False), (2, '{"a": 1}', True), (3, "{}", False),
     ]
     assert sorted((r.seq, r.was_replay) for r in marked.collect()) == [(1, False), (2, True), (3, False)]
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for folder in folders for f in glob.glob(f"{folder}/**/shuffle_*", recursive=True)}
+
+
+def test_what_is_stored_leaves_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    counted = spark.range(300_000).groupBy((F.col("id") % 70_000).alias("k")).count()
+    assert stored(counted, "counted").count() == 70_000
+    for _ in range(50):
+        if not (left := {f for f in shuffle_files(spark) - before if os.path.getsize(f) > 2000}):
+            break
+        time.sleep(0.2)
+    assert not left and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+
+
+def test_keys_are_stored_as_bytes_and_results_once(spark):
+    folder = shared_folder(spark).removeprefix("file:")
+    seen = set(glob.glob(f"{folder}/*"))
+    rows = spark.createDataFrame([(2, '{"a":1}'), (1, '{"a": 1}'), (3, None), (4, "{}")], "seq long, payload string")
+    ledger = with_key(rows).filter("seq = 4").select(KEY, F.lit("old").alias("payload"))
+    done = process_once(rows, lambda firsts: firsts.select(KEY, "first_seq", "payload"), ledger)
+    new = {f.rsplit("/", 1)[1].split("-")[0]: f for f in set(glob.glob(f"{folder}/*")) - seen}
+    assert spark.read.parquet(new["keyed"]).schema[KEY].dataType == T.BinaryType()
+    assert "results" in new and "Exchange" not in done.fresh._jdf.queryExecution().executedPlan().toString()
+    keys = {r.seq: r[KEY] for r in with_key(rows).collect()}
+    got = {r.seq: (r[KEY], r.payload, r.was_replay) for r in done.records.collect()}
+    assert got == {
+        1: (keys[1], '{"a": 1}', False), 2: (keys[1], '{"a": 1}', True), 3: ("", None, False), 4: (keys[4], "old", True),
+    }
+    assert done.records.columns == [KEY, "seq", "payload", "was_replay"]
+    assert sorted(r[KEY] for r in done.fresh.collect()) == sorted([keys[1], ""])
+
+
+def test_results_that_no_file_can_hold(spark):
+    rows = spark.createDataFrame([(1, "{}"), (2, "{}")], "seq long, payload string")
+    done = process_once(rows, lambda firsts: firsts.select(KEY, "first_seq", F.expr("make_interval(0, 0, 0, 1) as wait")))
+    assert {(r.seq, r.days, r.was_replay) for r in done.records.selectExpr("seq", "cast(wait as string) as days", "was_replay").collect()} == {
+        (1, "1 days", False), (2, "1 days", True),
+    }
+
+
+def test_order_lines_are_dealt_once(spark, tmp_path):
+    """Lines that come twice or have no order, orders that come twice: the rows of the feeds' SQL, with one shuffle of the lines."""
+    spark.createDataFrame(
+        [(k, "A", "RETAIL", (k or 0) % 3, 5.0) for k in (1, 2, 3, 3, None)],
+        "c_custkey long, c_name string, c_mktsegment string, c_nationkey int, c_acctbal double",
+    ).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame(
+        [(k, c, at, "F", "1") for k, c, at in ((7, 1, START), (8, 2, START), (8, 2, START), (9, 3, None), (None, 1, START), (10, None, START))],
+        "o_orderkey long, o_custkey long, o_orderdate timestamp, o_orderstatus string, o_orderpriority string",
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(
+        [(7, 1, "R"), (7, 1, "A"), (7, 2, None), (8, 1, "N"), (9, None, "N"), (None, 1, "N"), (10, 1, "R"), (11, 1, "R")],
+        "l_orderkey long, l_linenumber int, l_returnflag string",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(n, "N", n % 2) for n in range(3)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    load_tables(spark, str(tmp_path), ("customer", "orders", "lineitem", "nation"))
+    needed = ("submissions", "order_deliveries", "deliveries", "api_outcomes")
+    for name, n in (("deliveries", 6), ("api_outcomes", 6)):
+        parts = ", ".join(f"{f} as ({FEEDS[f]})" for f in needed)
+        plain = spark.sql(f"with {parts} select * from {name}")
+        rows = feed(spark, str(tmp_path), name)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(l_orderkey") == 1 and plan.count("REPARTITION_BY_NUM") == 1
+        assert rows.columns == plain.columns and rows.count() == n
+        assert Counter(map(str, rows.collect())) == Counter(map(str, plain.collect()))
