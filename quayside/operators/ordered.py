@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quayside.session import shared_folder
+from quayside.session import is_storable, shared_folder, stored
 
 _ROW, _BY, _RANGE, _HEAD, _END = "_row", "_by", "_range", "_head", "_end"
 
@@ -39,9 +39,12 @@ def before_each(
     """
     since, last = dict(since or {}), dict(last or {})
     scanned = scan_ranges(rows, by, order, since, last, ranges)
-    shared_folder(rows.sparkSession)
     # Where the cuts lie is up to a sample: they are settled before anything refers to them.
-    scanned = scanned.checkpoint()
+    if is_storable(scanned.schema):
+        scanned = stored(scanned, "scanned")
+    else:
+        shared_folder(rows.sparkSession)
+        scanned = scanned.checkpoint()
     passed = F.broadcast(_passed_on(scanned, list(since), list(last)))
     joined = scanned.join(passed, _RANGE)
     sums = [

@@ -677,3 +677,10 @@ def test_order_lines_are_dealt_once(spark, tmp_path):
         assert plan.count("Exchange hashpartitioning(l_orderkey") == 1 and plan.count("REPARTITION_BY_NUM") == 1
         assert rows.columns == plain.columns and rows.count() == n
         assert Counter(map(str, rows.collect())) == Counter(map(str, plain.collect()))
+
+
+def test_ranges_are_stored_in_columns(spark):
+    rows = spark.range(100).select((F.col("id") % 3).alias("k"), "id", F.expr("parse_json('[1]')").alias("v"))
+    found = before_each(rows, F.col("k"), [F.col("id")], last={"before": F.col("id")})
+    assert "LogicalRDD" not in found._jdf.queryExecution().analyzed().toString()
+    assert {r.id: r.before for r in found.collect()} == {i: i - 3 if i > 2 else None for i in range(100)}
