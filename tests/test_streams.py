@@ -1,5 +1,6 @@
 """Keyed state of streams: what is processed when, what is read, and what is kept."""
 
+import pickle
 from datetime import datetime, timedelta
 
 import pytest
@@ -10,7 +11,7 @@ from quayside.operators.breaker import circuit_states
 from quayside.operators.idempotency import KEY
 from quayside.sources.tables import read_stream
 from quayside.streaming.jobs import circuit_state_stream, dedupe_stream, idempotent_stream
-from quayside.streaming.once import Claims, Lifetime, one_per_key
+from quayside.streaming.once import Claims, Lifetime, dealt, one_per_key, packed, unpacked
 
 DAY = datetime(2024, 3, 1)
 LEDGER = T.StructType([T.StructField(KEY, T.StringType()), T.StructField("n", T.IntegerType())])
@@ -244,3 +245,39 @@ def test_by_the_clock_a_key_lives_from_its_own_claim():
 
     assert first(0, "a") == ["a"] and first(3000, "a", "b") == ["b"]
     assert first(5000, "a", "b") == ["a"] and first(8000, "b") == ["b"] and first(8001, "a") == []
+
+
+def test_values_of_state_are_compressed_and_old_ones_read():
+    held = (5, {f"{i:064x}": (i, None, ("payload " * 20, ["w"], None)) for i in range(40)})
+    value = packed(held)
+    assert unpacked(value) == held and len(value) < len(pickle.dumps(held, protocol=5)) / 4
+    assert unpacked(pickle.dumps(held, protocol=5)) == held
+
+
+def test_a_list_stands_where_a_key_repeats(spark):
+    rows = spark.createDataFrame([("a", 3), ("b", 1), ("a", 2), ("a", 2), ("c", None), ("c", 4)], "k string, seq long").coalesce(1)
+    got = {r.k: (r.seq, r.l) for r in one_per_key(rows, ["k"], "seq", "l").collect()}
+    assert got == {"a": (2, [2, 2, 3]), "b": (1, None), "c": (4, [4, None])}
+
+
+def test_both_states_read_one_shuffle_of_the_deliveries(two_tasks, tmp_path):
+    """Deliveries whose number comes twice, keys that come in two batches: a record for each, by the one shuffle."""
+    spark, folder = two_tasks, str(tmp_path)
+    schema = arrive(spark, folder, [(1, 0, '{"a":1}'), (1, 0, '{"a":1}'), (2, 0, '{"b":22}'), (3, 0, None), (4, 0, '{"b":22}')])
+    arrive(spark, folder, [(5, 0, '{"a":1}'), (5, 0, '{"a":1}'), (6, 0, '{"c":333}')])
+    query = run(spark, folder, schema, chars, state_buckets=4)
+    got = sorted((r.seq, r.n, r.was_replay) for r in spark.read.parquet(f"{folder}/records").collect() if r.n)
+    assert got == [
+        (1, 7, False), (1, 7, False), (2, 8, False), (4, 8, True), (5, 7, True), (5, 7, True), (6, 9, False),
+    ]
+    assert spark.read.parquet(f"{folder}/records").filter("seq = 3").count() == 1
+    plan = query._jsq.explainInternal(False)
+    # That of the deliveries, and that of the results; no key ended.
+    assert sum("Exchange hashpartitioning(" in line and "Reused" not in line for line in plan.splitlines()) == 2
+
+
+def test_keys_and_buckets_come_out_of_the_shuffle_as_they_were(spark):
+    keys = ["", "00ff" * 16, "a1" * 32]
+    rows = dealt(spark.createDataFrame([(k,) for k in keys], f"{KEY} string"), 1 << 16)
+    before = spark.createDataFrame([(k,) for k in keys], f"{KEY} string").select(KEY, F.pmod(F.xxhash64(KEY), F.lit(1 << 16)).alias("b"))
+    assert {(r[KEY], r["_bucket"]) for r in rows.collect()} == {(r[KEY], r.b) for r in before.collect()}
